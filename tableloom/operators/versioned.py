@@ -1,0 +1,229 @@
+"""Versioned tables on plain Parquet: snapshots, time travel, merge, changes.
+
+A commit adds immutable data files under ``data/``, then lists the files of
+the new snapshot under ``files/<version>`` and finally writes one log row
+under ``log/<version>``. Readers take the snapshot from the log, so a failed
+commit is never seen and a published file is never rewritten. One writer at
+a time is assumed. Only file names pass through the driver.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Sequence
+from datetime import datetime, timezone
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tableloom.sources.files import list_files
+
+LOG_SCHEMA = (
+    "version long, timestamp timestamp, operation string, mode string, schema string, "
+    "partition_by array<string>, rows long, rows_updated long, rows_inserted long"
+)
+FILE = "__file"
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    # --- log ---------------------------------------------------------------
+
+    def history(self) -> DataFrame:
+        """One row per commit."""
+        try:
+            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log/*")
+        except AnalysisException:
+            return self.spark.createDataFrame([], LOG_SCHEMA)
+
+    def _entry(self, version: int | None = None, timestamp: datetime | None = None):
+        log = self.history()
+        if version is not None:
+            log = log.filter(F.col("version") == version)
+        if timestamp is not None:
+            log = log.filter(F.col("timestamp") <= F.lit(timestamp))
+        return log.orderBy(F.desc("version")).first()
+
+    def version(self) -> int:
+        last = self._entry()
+        return -1 if last is None else last["version"]
+
+    def _files(self, version: int) -> list[str]:
+        listed = self.spark.read.schema("path string").json(f"{self.path}/files/{version:010d}")
+        return [r["path"] for r in listed.collect()]
+
+    def _load(self, files: Sequence[str], schema: T.StructType, with_file: bool = False) -> DataFrame:
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*files)
+        extra = [F.col("_metadata.file_path").alias(FILE)] if with_file else []
+        return rows.select(*schema.names, *extra)
+
+    def _commit(self, df: DataFrame | None, kept: Sequence[str], operation: str, mode: str, schema: T.StructType,
+                partition_by: Sequence[str], updated: int = 0, inserted: int | None = None) -> int:
+        version = self.version() + 1
+        folder = f"{self.path}/data/__commit={version}-{uuid.uuid4().hex}"
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+        added = [r["path"] for r in list_files(self.spark, folder, "part-").select("path").collect()]
+        listed = self.spark.createDataFrame([(p,) for p in [*kept, *added]], "path string")
+        listed.coalesce(1).write.mode("overwrite").json(f"{self.path}/files/{version:010d}")
+        if inserted is None:
+            inserted = self._load(added, schema).count() if added else 0
+        rows = inserted + updated
+        entry = (version, datetime.now(timezone.utc), operation, mode, schema.json(), list(partition_by), rows, updated, inserted)
+        self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("errorifexists").json(f"{self.path}/log/{version:010d}")
+        return version
+
+    # --- reading -------------------------------------------------------------
+
+    def read(self, version: int | None = None, timestamp: datetime | None = None) -> DataFrame:
+        """The newest snapshot, or the one of a version, or the newest at a time."""
+        entry = self._entry(version, timestamp)
+        if entry is None:
+            raise ValueError(f"no such version of {self.path}")
+        return self._load(self._files(entry["version"]), _schema(entry))
+
+    def changes(self, v1: int, v2: int, key: str) -> DataFrame:
+        """Rows that differ between two versions: insert, update or delete.
+
+        Deletes carry the old values, the others the new ones.
+        """
+        new = self.read(v2)
+        cols = [c for c in new.columns if c != key]
+        old = self.read(v1)
+        for c in cols:
+            if c not in old.columns:
+                old = old.withColumn(c, F.lit(None).cast(new.schema[c].dataType))
+        a = old.select(F.col(key).alias("__k1"), F.struct(*cols).alias("__old"))
+        b = new.select(F.col(key).alias("__k2"), F.struct(*cols).alias("__new"))
+        both = a.join(b, F.col("__k1") == F.col("__k2"), "full")
+        kind = (
+            F.when(F.col("__k1").isNull(), "insert").when(F.col("__k2").isNull(), "delete")
+            .when(~F.col("__old").eqNullSafe(F.col("__new")), "update")
+        )
+        shown = F.coalesce("__new", "__old")
+        return both.withColumn("change", kind).filter(F.col("change").isNotNull()).select(
+            F.coalesce("__k2", "__k1").alias(key), "change", *[shown[c].alias(c) for c in cols])
+
+    # --- writing -------------------------------------------------------------
+
+    def write(self, df: DataFrame, mode: str = "append", partition_by: Sequence[str] | None = None) -> int:
+        """Append to or replace the table; returns the new version."""
+        last = self._entry()
+        appending = mode == "append" and last is not None
+        if partition_by is None:
+            partition_by = last["partition_by"] if last is not None else []
+        if appending:
+            known = _schema(last)
+            if set(df.columns) != set(known.names):
+                raise ValueError("columns differ from the table, use evolve")
+            return self._commit(df.select(*known.names), self._files(last["version"]), "WRITE", mode, known, partition_by)
+        return self._commit(df, [], "WRITE", mode, _nullable(df.schema), partition_by)
+
+    def evolve(self, df: DataFrame) -> int:
+        """Append rows that may have new columns or lack some; older rows read NULL there."""
+        last = self._entry()
+        known = _schema(last)
+        merged = T.StructType([*known.fields, *[f for f in _nullable(df.schema).fields if f.name not in known.names]])
+        full = df.select(*[
+            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in merged.fields
+        ])
+        return self._commit(full, self._files(last["version"]), "EVOLVE", "append", merged, last["partition_by"])
+
+    def merge(self, source: DataFrame, key: str, update: Sequence[str] | None = None) -> dict[str, int]:
+        """Update matching rows (all or the chosen columns) and insert the others.
+
+        Only files that hold a matching key are rewritten; the rest of the
+        snapshot is carried over by name. Source keys must be unique.
+        """
+        last = self._entry()
+        schema, files = _schema(last), self._files(last["version"])
+        # Adaptive execution sees the source's size; the key column is all that is read here.
+        target = self._load(files, schema, with_file=True)
+        keys = source.select(key)
+        total = source.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("d")).first()
+        if total["n"] != total["d"]:
+            raise ValueError(f"source has duplicate or missing values of {key}")
+        hits = target.select(key, FILE).join(keys, key, "left_semi")
+        touched = {r[FILE]: r["n"] for r in hits.groupBy(FILE).agg(F.count(F.lit(1)).alias("n")).collect()}
+        updated = sum(touched.values())
+        kept = [f for f in files if _name(f) not in {_name(x) for x in touched}]
+        old = self._load([f for f in files if f not in set(kept)], schema)
+        update = [c for c in (update or schema.names) if c != key and c in source.columns]
+        full = source.select(*[
+            F.col(n) if n in source.columns else F.lit(None).cast(schema[n].dataType).alias(n) for n in schema.names
+        ])
+        fresh = full.select(F.col(key).alias("__k"), F.struct(*[F.col(c) for c in update]).alias("__new")) if update else None
+        rewritten = old
+        if update:
+            rewritten = old.join(fresh, old[key] == F.col("__k"), "left").select(*[
+                F.when(F.col("__k").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
+                for c in schema.names
+            ])
+        new_rows = full.join(target.select(key), key, "left_anti").select(*schema.names)
+        inserted = total["n"] - hits.select(key).distinct().count()
+        version = self._commit(rewritten.unionByName(new_rows), kept, "MERGE", "merge", schema, last["partition_by"],
+                               updated=updated, inserted=inserted)
+        return {"version": version, "rows_updated": updated, "rows_inserted": inserted}
+
+    def optimize(self, target_bytes: int = 128 << 20) -> int:
+        """Rewrite the snapshot into files of about ``target_bytes``."""
+        last = self._entry()
+        files = self._files(last["version"])
+        wanted = {_name(f) for f in files}
+        size = sum(r["size"] for r in list_files(self.spark, f"{self.path}/data", "part-").collect() if _name(r["path"]) in wanted)
+        df = self._load(files, _schema(last)).repartition(max(1, -(-size // target_bytes)))
+        return self._commit(df, [], "OPTIMIZE", "overwrite", _schema(last), last["partition_by"])
+
+    def cluster(self, columns: Sequence[str], files: int, bits: int = 16) -> int:
+        """Rewrite the snapshot along a Z-order curve of numeric columns."""
+        last = self._entry()
+        df = self.read()
+        code = z_order(df, columns, bits)
+        df = df.withColumn("__z", code).repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z")
+        return self._commit(df, [], "CLUSTER", "overwrite", _schema(last), last["partition_by"])
+
+    def vacuum(self, now: datetime, hours: float = 168) -> DataFrame:
+        """Dry run: data files no kept version refers to. Nothing is deleted."""
+        cutoff = F.lit(now) - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")
+        newest = self.version()
+        kept = self.history().filter((F.col("timestamp") >= cutoff) | (F.col("version") == newest)).select("version").collect()
+        paths = [f"{self.path}/files/{r['version']:010d}" for r in kept]
+        used = self.spark.read.schema("path string").json(paths).select(_name_col("path").alias("name")).distinct()
+        return list_files(self.spark, f"{self.path}/data", "part-").join(used, "name", "left_anti").select("path", "size")
+
+
+def z_order(df: DataFrame, columns: Sequence[str], bits: int = 16) -> Column:
+    """Bits of the columns, each scaled to its range, interleaved into one number."""
+    s = df.agg(F.struct(*[x for c in columns for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])).scalar()
+    top = (1 << bits) - 1
+    code = F.lit(0).cast("long")
+    for j, c in enumerate(columns):
+        lo, hi = s.getField(f"lo_{c}"), s.getField(f"hi_{c}")
+        cell = F.coalesce(F.floor(F.try_divide(F.col(c) - lo, hi - lo) * top), F.lit(0)).cast("long")
+        for i in range(bits):
+            bit = F.shiftright(cell, i).bitwiseAND(F.lit(1))
+            code = code.bitwiseOR(F.shiftleft(bit.cast("long"), i * len(columns) + j))
+    return code
+
+
+def _schema(entry) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry["schema"]))
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
+def _name_col(column: str) -> Column:
+    return F.element_at(F.split(column, "/"), -1)

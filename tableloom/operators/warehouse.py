@@ -108,22 +108,27 @@ def star_sales(lines: DataFrame, orders: DataFrame, dim_customer: DataFrame, dim
     return sales_measures(fact, "quantity", "unit_price", "unit_cost", "discount").drop("order_date", "customer_id", "product_id")
 
 
+def _total(column: str) -> Column:
+    """Sum to four places, so that it does not depend on the order of addition."""
+    return F.round(F.sum(column), 4)
+
+
 def sales_monthly(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], keys: Sequence[str]) -> DataFrame:
     """Monthly cube row: sums of sales, quantity and profit, distinct orders and customers, mean sale."""
     joined = fact
     for dim, key in dims:
         joined = joined.join(dim, key)
     return joined.groupBy(*keys).agg(
-        F.sum("sales_amount").alias("total_sales"), F.sum("quantity").alias("total_quantity"),
-        F.sum("profit_amount").alias("total_profit"), F.count_distinct("order_id").alias("order_count"),
-        F.count_distinct("customer_key").alias("customer_count"), F.avg("sales_amount").alias("avg_order_value"))
+        _total("sales_amount").alias("total_sales"), _total("quantity").alias("total_quantity"),
+        _total("profit_amount").alias("total_profit"), F.count_distinct("order_id").alias("order_count"),
+        F.count_distinct("customer_key").alias("customer_count"), (_total("sales_amount") / F.count("sales_amount")).alias("avg_order_value"))
 
 
 def store_daily(fact: DataFrame) -> DataFrame:
     return fact.groupBy("date_key", "store_key").agg(
-        F.sum("sales_amount").alias("total_sales"), F.count_distinct("order_id").alias("transaction_count"),
-        F.count_distinct("customer_key").alias("unique_customers"), F.avg("sales_amount").alias("avg_transaction_value"),
-        F.sum("quantity").alias("total_items_sold"))
+        _total("sales_amount").alias("total_sales"), F.count_distinct("order_id").alias("transaction_count"),
+        F.count_distinct("customer_key").alias("unique_customers"), (_total("sales_amount") / F.count("sales_amount")).alias("avg_transaction_value"),
+        _total("quantity").alias("total_items_sold"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

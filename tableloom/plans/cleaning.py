@@ -137,7 +137,7 @@ def _(t):
 
 
 @query("f17_percent_change", """
-SELECT l_orderkey, l_linenumber, ROUND((l_extendedprice - l_quantity * 937) / (l_quantity * 937) * 100, 2) AS pct FROM lineitem""")
+SELECT l_orderkey, l_linenumber, ROUND((l_extendedprice - l_quantity * 937) / (l_quantity * 937) * 100, 2) + 0.0 AS pct FROM lineitem""")
 def _(t):
     then = F.col("l_quantity") * 937
     return t.lineitem.select("l_orderkey", "l_linenumber", fn.percent_change(F.col("l_extendedprice"), then).alias("pct"))
