@@ -27,16 +27,18 @@ def ingest_dir(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType, max_errors: int = 100) -> DataFrame:
-    """Rows that fit the schema; reading fails when more than ``max_errors`` rows do not."""
+    """Rows that fit the schema; reading fails when more than ``max_errors`` lines do not.
+
+    Lines are parsed one by one after the header is left out, so which
+    columns a query later uses cannot change which lines count as bad.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(wide).option("header", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path)
-    )
-    # Naming every column keeps Spark from judging rows by the corrupt-record column alone.
-    bad = rows.agg(F.count(F.when(F.col(CORRUPT).isNotNull(), F.hash(*schema.names)))).scalar()
+    lines = spark.read.text(path).filter(F.col("value") != ",".join(schema.names))
+    parsed = F.from_csv("value", wide.toDDL(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.select(parsed.alias("r"))
+    bad = rows.agg(F.count_if(F.col(f"r.{CORRUPT}").isNotNull())).scalar()
     within = F.when(bad > max_errors, F.raise_error(F.lit(f"more than {max_errors} bad rows")).cast("boolean")).otherwise(F.lit(True))
-    return rows.withColumn("__within", within).filter(F.col("__within") & F.col(CORRUPT).isNull()).select(*schema.names)
+    return rows.filter(F.col(f"r.{CORRUPT}").isNull() & within).select(*[F.col(f"r.{c}").alias(c) for c in schema.names])
 
 
 def read_text(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
