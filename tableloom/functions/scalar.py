@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Characters that Python's str.split treats as white space.
+WHITE = r"\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    An expression used inside a lambda is otherwise evaluated again for every
+    array element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """One row per key: the one with the smallest ``order`` value.
 
@@ -79,9 +92,14 @@ def clean_word(word: Column) -> Column:
     return F.regexp_replace(word, r"[^\p{L}\p{N}]", "")
 
 
+def strip(text: Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(text, f"^[{WHITE}]+|[{WHITE}]+$", "")
+
+
 def whitespace_words(text: Column) -> Column:
-    """Parts between runs of Unicode white space; empty ones dropped."""
-    return F.filter(F.split(text, r"(?U)[\s\x1C-\x1F]+"), lambda w: w != "")
+    """Parts between runs of white space; empty ones dropped."""
+    return F.filter(F.split(text, f"[{WHITE}]+"), lambda w: w != "")
 
 
 def json_object_text(text: Column) -> Column:

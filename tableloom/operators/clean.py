@@ -24,7 +24,7 @@ OTHER_DEFAULT = "Unknown"
 
 def is_missing(name: str) -> Column:
     """NULL, or text of nothing but white space."""
-    return F.col(name).isNull() | (F.regexp_replace(F.col(name).cast("string"), r"(?U)\s+", "") == "")
+    return F.col(name).isNull() | (fn.strip(F.col(name).cast("string")) == "")
 
 
 def fill(df: DataFrame, columns: Sequence[str] | None = None, defaults: dict | None = None, strategy: str = "default") -> DataFrame:

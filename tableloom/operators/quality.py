@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableloom.functions.scalar import strip
 from tableloom.operators.clean import is_missing
 from tableloom.operators.ordered import join_null_safe, running_totals
 
@@ -212,7 +213,7 @@ def text_checks(text: Column) -> dict[str, Column]:
     odd = F.length(F.regexp_replace(text, r"[\x00-\x7F]", ""))
     gaps = (size - F.length(F.replace(text, F.lit("\n\n\n"), F.lit("")))) / 3
     return {
-        "not_empty": F.length(F.regexp_replace(text, r"(?U)^\s+|\s+$", "")) > 100,
+        "not_empty": F.length(strip(text)) > 100,
         "has_contact_info": F.contains(text, F.lit("@")),
         "has_experience_section": has("EXPERIENCE", "WORK"),
         "has_skills_section": has("SKILL"),

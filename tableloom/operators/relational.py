@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableloom.functions.scalar import bind
 from tableloom.operators.ordered import join_null_safe, numbered
 
 BROADCAST_ROWS = 100_000
@@ -90,14 +91,11 @@ def cooccurrence(items: DataFrame, item_array: str, k: int | None = None) -> Dat
     Pairs are formed inside each row's own array, whose length is bounded by
     the dictionary it was drawn from, and counted with map-side combining.
     """
-    sorted_items = F.array_sort(F.array_distinct(item_array))
-    pairs = F.flatten(F.transform(
-        sorted_items,
-        lambda a, i: F.transform(
-            F.slice(sorted_items, i + 2, F.size(sorted_items)),
-            lambda b: F.struct(a.alias("item_1"), b.alias("item_2")),
-        ),
-    ))
+    def paired(found: Column) -> Column:
+        return F.flatten(F.transform(found, lambda a, i: F.transform(
+            F.slice(found, i + 2, F.size(found)), lambda b: F.struct(a.alias("item_1"), b.alias("item_2")))))
+
+    pairs = bind(F.array_sort(F.array_distinct(item_array)), paired)
     counted = (
         items.select(F.explode(pairs).alias("p"))
         .groupBy(F.col("p.item_1").alias("item_1"), F.col("p.item_2").alias("item_2"))

@@ -63,10 +63,9 @@ def extract_terms(text: Column, terms: Sequence[str] = TERMS, whole_words: bool
 
     Plain substrings by default, so "java" is found inside "javascript".
     """
-    low = F.lower(text)
     if not whole_words:
-        return F.filter(_array(terms), lambda term: F.contains(low, term))
-    found = [F.when(low.rlike(rf"(?<![\p{{L}}\p{{N}}])\Q{t}\E(?![\p{{L}}\p{{N}}])"), F.lit(t)) for t in terms]
+        return fn.bind(F.lower(text), lambda low: F.filter(_array(terms), lambda term: F.contains(low, term)))
+    found = [F.when(F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}])\Q{t}\E(?![\p{{L}}\p{{N}}])"), F.lit(t)) for t in terms]
     return F.array_compact(F.array(*found))
 
 
@@ -186,16 +185,19 @@ def match_score(text: Column, job: Column) -> Column:
     """
     wanted = F.array_distinct(F.filter(
         fn.whitespace_words(F.lower(job)), lambda w: (F.length(w) > 2) & ~w.isin(*STOP_WORDS)))
-    low = F.lower(text)
-    hits = F.size(F.filter(wanted, lambda w: F.contains(low, w)))
-    scored = fn.capped_percent(hits, F.size(wanted))
+    found = fn.bind(
+        F.struct(F.lower(text).alias("low"), wanted.alias("wanted")),
+        lambda b: F.struct(F.size(F.filter(b["wanted"], lambda w: F.contains(b["low"], w))).alias("hits"), F.size(b["wanted"]).alias("of")))
+    scored = fn.bind(found, lambda f: fn.capped_percent(f["hits"], f["of"]))
     return F.when((F.coalesce(text, F.lit("")) == "") | (F.coalesce(job, F.lit("")) == ""), 0).otherwise(scored)
 
 
 def words(text: Column) -> Column:
     """Distinct cleaned words of three letters or more that are no stop words."""
-    cleaned = F.transform(fn.whitespace_words(F.lower(text)), fn.clean_word)
-    return F.array_distinct(F.filter(cleaned, lambda w: (F.length(w) >= 3) & ~w.isin(*STOP_WORDS)))
+    # White space stays, so cleaning the whole text at once cleans each word.
+    cleaned = F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{N}}{fn.WHITE}]", "")
+    kept = F.filter(F.split(cleaned, f"[{fn.WHITE}]+"), lambda w: (F.length(w) >= 3) & ~w.isin(*STOP_WORDS))
+    return F.array_distinct(kept)
 
 
 def skill_match(text_words: Column, job_words: Column, k: int = 10) -> tuple[Column, Column]:
@@ -219,9 +221,10 @@ def overlap(a: Column, b: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Lines of a text, as Python's ``splitlines``: no empty line after a last line end."""
-    parts = F.split(text, LINE_END, -1)
-    return F.when(text == "", F.array().cast("array<string>")).when(
-        F.get(parts, F.size(parts) - 1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    def without_last(parts: Column) -> Column:
+        return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+
+    return fn.bind(F.split(text, LINE_END, -1), without_last)
 
 
 def sections(text: Column) -> Column:
@@ -232,21 +235,25 @@ def sections(text: Column) -> Column:
     first and each one owns the slice up to the next, so a document is walked
     once however long it is.
     """
-    kept = F.filter(F.transform(lines(text), lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", "")), lambda s: s != "")
-    kind = lambda s: F.when(F.contains(F.upper(s), F.lit("EDUCATION")), "education").when(
-        F.contains(F.upper(s), F.lit("SKILL")), "skills")
-    marked = F.transform(kept, lambda s, i: F.struct(kind(s).alias("kind"), i.alias("at")))
-    start = F.array(F.struct(F.lit("experience").alias("kind"), F.lit(-1).alias("at")))
-    heads = F.concat(start, F.filter(marked, lambda m: m["kind"].isNotNull()))
-
-    def owned(section: str) -> Column:
+    def kind(line: Column) -> Column:
+        upper = F.upper(line)
+        return F.when(F.contains(upper, F.lit("EDUCATION")), "education").when(F.contains(upper, F.lit("SKILL")), "skills")
+
+    def owned(b: Column, section: str) -> Column:
         def body(head: Column, i: Column) -> Column:
-            end = F.coalesce(F.get(heads, i + 1)["at"], F.size(kept))
-            return F.when(head["kind"] == section, F.slice(kept, head["at"] + 2, F.greatest(end - head["at"] - 1, F.lit(0)))) \
+            end = F.coalesce(F.get(b["heads"], i + 1)["at"], F.size(b["kept"]))
+            return F.when(head["kind"] == section, F.slice(b["kept"], head["at"] + 2, end - head["at"] - 1)) \
                 .otherwise(F.array().cast("array<string>"))
-        return F.flatten(F.transform(heads, body)).alias(section)
+        return F.flatten(F.transform(b["heads"], body)).alias(section)
+
+    def with_heads(kept: Column) -> Column:
+        marked = F.transform(kept, lambda s, i: F.struct(kind(s).alias("kind"), i.alias("at")))
+        start = F.array(F.struct(F.lit("experience").alias("kind"), F.lit(-1).alias("at")))
+        heads = F.concat(start, F.filter(marked, lambda m: m["kind"].isNotNull()))
+        return F.struct(kept.alias("kept"), heads.alias("heads"))
 
-    return F.struct(owned("experience"), owned("education"), owned("skills"))
+    kept = F.filter(F.transform(lines(text), fn.strip), lambda s: s != "")
+    return fn.bind(fn.bind(kept, with_heads), lambda b: F.struct(*[owned(b, s) for s in ("experience", "education", "skills")]))
 
 
 def keywords(text: Column) -> Column:
@@ -256,30 +263,32 @@ def keywords(text: Column) -> Column:
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """Number of times each cleaned word longer than two letters occurs."""
-    each = df.select(F.explode(fn.whitespace_words(F.lower(text))).alias("w")).select(fn.clean_word(F.col("w")).alias("word"))
-    return each.filter(F.length("word") > 2).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """How often each cleaned word occurs, short and empty ones included.
+
+    Raw words are counted first, so cleaning runs once per different word.
+    """
+    raw = df.select(F.explode(fn.whitespace_words(F.lower(text))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    return raw.groupBy(fn.clean_word(F.col("w")).alias("word")).agg(F.sum("c").alias("n"))
 
 
-def word_count_report(df: DataFrame, text: str = "text", k: int = 20) -> DataFrame:
+def word_count_report(df: DataFrame, text: str = "text", k: int = 20, longer_than: int = 2) -> DataFrame:
     """The ``k`` most frequent words beside the totals of words and of different words."""
     counts = word_counts(df, text)
-    total = df.agg(F.sum(F.size(fn.whitespace_words(F.lower(text))))).scalar()
-    different = counts.agg(F.count(F.lit(1))).scalar()
-    return counts.orderBy(F.desc("n"), "word").limit(k).select(
+    total = counts.agg(F.sum("n")).scalar()
+    different = counts.agg(F.count_if(F.length("word") > longer_than)).scalar()
+    return counts.filter(F.length("word") > longer_than).orderBy(F.desc("n"), "word").limit(k).select(
         "word", "n", total.alias("total_words"), different.alias("unique_words"))
 
 
 def text_features(df: DataFrame, text: str = "text") -> DataFrame:
     t = F.col(text)
-    upper = F.upper(t)
     return df.withColumns({
         "word_count": F.size(fn.whitespace_words(t)),
         "line_count": F.size(lines(t)),
         "char_count": F.length(t),
         "has_email": F.contains(t, F.lit("@")),
         "has_phone": t.rlike(r"\p{Nd}"),
-        "sections_found": F.filter(_array(HEADINGS), lambda h: F.contains(upper, h)),
+        "sections_found": fn.bind(F.upper(t), lambda upper: F.filter(_array(HEADINGS), lambda h: F.contains(upper, h))),
     })
 
 

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,18 +64,20 @@ class VersionedTable:
         extra = [F.col("_metadata.file_path").alias(FILE)] if with_file else []
         return rows.select(*schema.names, *extra)
 
-    def _commit(self, df: DataFrame | None, kept: Sequence[str], operation: str, mode: str, schema: T.StructType,
-                partition_by: Sequence[str], updated: int = 0, inserted: int | None = None) -> int:
-        version = self.version() + 1
+    def _commit(self, df: DataFrame, kept: Sequence[str], operation: str, mode: str, schema: T.StructType,
+                partition_by: Sequence[str], last: Row | None, watch: Observation | None = None) -> int:
+        """Write new files, list the snapshot, then log it. Counts are taken while the rows are written."""
+        version = 0 if last is None else last["version"] + 1
         folder = f"{self.path}/data/__commit={version}-{uuid.uuid4().hex}"
-        writer = df.write.mode("errorifexists")
+        written = Observation()
+        counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+        writer = counted.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
         added = [r["path"] for r in list_files(self.spark, folder, "part-").select("path").collect()]
         listed = self.spark.createDataFrame([(p,) for p in [*kept, *added]], "path string")
         listed.coalesce(1).write.mode("overwrite").json(f"{self.path}/files/{version:010d}")
-        if inserted is None:
-            inserted = self._load(added, schema).count() if added else 0
-        rows = inserted + updated
+        rows = written.get["rows"]
+        updated, inserted = (watch.get["updated"], watch.get["inserted"]) if watch else (0, rows)
         entry = (version, datetime.now(timezone.utc), operation, mode, schema.json(), list(partition_by), rows, updated, inserted)
         self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("errorifexists").json(f"{self.path}/log/{version:010d}")
         return version
@@ -123,8 +125,8 @@ class VersionedTable:
             known = _schema(last)
             if set(df.columns) != set(known.names):
                 raise ValueError("columns differ from the table, use evolve")
-            return self._commit(df.select(*known.names), self._files(last["version"]), "WRITE", mode, known, partition_by)
-        return self._commit(df, [], "WRITE", mode, _nullable(df.schema), partition_by)
+            return self._commit(df.select(*known.names), self._files(last["version"]), "WRITE", mode, known, partition_by, last)
+        return self._commit(df, [], "WRITE", mode, _nullable(df.schema), partition_by, last)
 
     def evolve(self, df: DataFrame) -> int:
         """Append rows that may have new columns or lack some; older rows read NULL there."""
@@ -134,7 +136,7 @@ class VersionedTable:
         full = df.select(*[
             F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in merged.fields
         ])
-        return self._commit(full, self._files(last["version"]), "EVOLVE", "append", merged, last["partition_by"])
+        return self._commit(full, self._files(last["version"]), "EVOLVE", "append", merged, last["partition_by"], last)
 
     def merge(self, source: DataFrame, key: str, update: Sequence[str] | None = None) -> dict[str, int]:
         """Update matching rows (all or the chosen columns) and insert the others.
@@ -144,33 +146,31 @@ class VersionedTable:
         """
         last = self._entry()
         schema, files = _schema(last), self._files(last["version"])
-        # Adaptive execution sees the source's size; the key column is all that is read here.
         target = self._load(files, schema, with_file=True)
-        keys = source.select(key)
-        total = source.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("d")).first()
-        if total["n"] != total["d"]:
+        unique = source.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("d")).first()
+        if unique["n"] != unique["d"]:
             raise ValueError(f"source has duplicate or missing values of {key}")
-        hits = target.select(key, FILE).join(keys, key, "left_semi")
-        touched = {r[FILE]: r["n"] for r in hits.groupBy(FILE).agg(F.count(F.lit(1)).alias("n")).collect()}
-        updated = sum(touched.values())
-        kept = [f for f in files if _name(f) not in {_name(x) for x in touched}]
-        old = self._load([f for f in files if f not in set(kept)], schema)
+        # Only the key column is read here; the result is one name per file.
+        hits = target.select(key, FILE).join(source.select(key), key, "left_semi").select(FILE).distinct()
+        touched = {_name(r[FILE]) for r in hits.collect()}
+        kept = [f for f in files if _name(f) not in touched]
+        old = self._load([f for f in files if _name(f) in touched], schema)
         update = [c for c in (update or schema.names) if c != key and c in source.columns]
+        fresh = source.select(F.col(key).alias("__k"), F.struct(key, *update).alias("__new"))
+        matched = F.col("__k").isNotNull()
+        rewritten = old.join(fresh, old[key] == F.col("__k"), "left").select(*[
+            F.when(matched, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in schema.names
+        ], matched.cast("long").alias("__updated"), F.lit(0).cast("long").alias("__inserted"))
         full = source.select(*[
             F.col(n) if n in source.columns else F.lit(None).cast(schema[n].dataType).alias(n) for n in schema.names
         ])
-        fresh = full.select(F.col(key).alias("__k"), F.struct(*[F.col(c) for c in update]).alias("__new")) if update else None
-        rewritten = old
-        if update:
-            rewritten = old.join(fresh, old[key] == F.col("__k"), "left").select(*[
-                F.when(F.col("__k").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-                for c in schema.names
-            ])
-        new_rows = full.join(target.select(key), key, "left_anti").select(*schema.names)
-        inserted = total["n"] - hits.select(key).distinct().count()
-        version = self._commit(rewritten.unionByName(new_rows), kept, "MERGE", "merge", schema, last["partition_by"],
-                               updated=updated, inserted=inserted)
-        return {"version": version, "rows_updated": updated, "rows_inserted": inserted}
+        added = full.join(old.select(key), key, "left_anti").select(
+            *schema.names, F.lit(0).cast("long").alias("__updated"), F.lit(1).cast("long").alias("__inserted"))
+        watch = Observation()
+        result = rewritten.unionByName(added).observe(
+            watch, F.coalesce(F.sum("__updated"), F.lit(0)).alias("updated"), F.coalesce(F.sum("__inserted"), F.lit(0)).alias("inserted"))
+        version = self._commit(result.select(*schema.names), kept, "MERGE", "merge", schema, last["partition_by"], last, watch)
+        return {"version": version, "rows_updated": watch.get["updated"], "rows_inserted": watch.get["inserted"]}
 
     def optimize(self, target_bytes: int = 128 << 20) -> int:
         """Rewrite the snapshot into files of about ``target_bytes``."""
@@ -179,7 +179,7 @@ class VersionedTable:
         wanted = {_name(f) for f in files}
         size = sum(r["size"] for r in list_files(self.spark, f"{self.path}/data", "part-").collect() if _name(r["path"]) in wanted)
         df = self._load(files, _schema(last)).repartition(max(1, -(-size // target_bytes)))
-        return self._commit(df, [], "OPTIMIZE", "overwrite", _schema(last), last["partition_by"])
+        return self._commit(df, [], "OPTIMIZE", "overwrite", _schema(last), last["partition_by"], last)
 
     def cluster(self, columns: Sequence[str], files: int, bits: int = 16) -> int:
         """Rewrite the snapshot along a Z-order curve of numeric columns."""
@@ -187,7 +187,7 @@ class VersionedTable:
         df = self.read()
         code = z_order(df, columns, bits)
         df = df.withColumn("__z", code).repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z")
-        return self._commit(df, [], "CLUSTER", "overwrite", _schema(last), last["partition_by"])
+        return self._commit(df, [], "CLUSTER", "overwrite", _schema(last), last["partition_by"], last)
 
     def vacuum(self, now: datetime, hours: float = 168) -> DataFrame:
         """Dry run: data files no kept version refers to. Nothing is deleted."""

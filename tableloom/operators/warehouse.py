@@ -72,9 +72,11 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, as_of: Column) -> D
     return kept.unionByName(opened, allowMissingColumns=True)
 
 
-def lookup_keys(fact: DataFrame, dim: DataFrame, natural: str, dim_natural: str, surrogate: str) -> DataFrame:
-    """Add the surrogate key of the dimension's current row; NULL where there is none."""
-    current = dim.filter("is_current").select(F.col(dim_natural).alias("__nk"), surrogate)
+def lookup_keys(
+    fact: DataFrame, dim: DataFrame, natural: str, dim_natural: str, surrogate: str, attributes: Sequence[str] = ()
+) -> DataFrame:
+    """Add the surrogate key, and attributes, of the dimension's current row; NULL where there is none."""
+    current = dim.filter("is_current").select(F.col(dim_natural).alias("__nk"), surrogate, *attributes)
     return fact.join(current, F.col(natural) == F.col("__nk"), "left").drop("__nk")
 
 
@@ -99,12 +101,9 @@ def star_sales(lines: DataFrame, orders: DataFrame, dim_customer: DataFrame, dim
     Columns expected: lines(order_id, product_id, store_key, quantity,
     unit_price, discount), orders(order_id, customer_id, order_date).
     """
-    joined = lines.join(orders, "order_id")
-    keyed = lookup_keys(joined, dim_customer, "customer_id", "customer_id", "customer_key")
-    keyed = lookup_keys(keyed, dim_product.withColumnRenamed("unit_cost", "__cost"), "product_id", "product_id", "product_key")
-    costs = dim_product.filter("is_current").select("product_key", "unit_cost")
-    fact = keyed.join(costs, "product_key", "left").withColumn(
-        "date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
+    fact = lines.join(orders, "order_id").withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
+    fact = lookup_keys(fact, dim_customer, "customer_id", "customer_id", "customer_key")
+    fact = lookup_keys(fact, dim_product, "product_id", "product_id", "product_key", ["unit_cost"])
     return sales_measures(fact, "quantity", "unit_price", "unit_cost", "discount").drop("order_date", "customer_id", "product_id")
 
 

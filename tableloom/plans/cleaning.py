@@ -288,12 +288,12 @@ def _(t):
 
 @query("c15_enrich_skills", """
 WITH e AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS skill FROM part),
- s AS (SELECT skill, COUNT(*) AS uses FROM e GROUP BY 1 HAVING COUNT(*) % 2 = 0) SELECT p_partkey, skill, uses FROM e LEFT JOIN s USING (skill)""")
+ s AS (SELECT skill, COUNT(*) AS uses FROM e GROUP BY 1 HAVING COUNT(*) % 2 = 0) SELECT p_partkey, skill, CAST(uses AS DOUBLE) AS uses FROM e LEFT JOIN s USING (skill)""")
 def _(t):
     people = t.part.select("p_partkey", F.replace("p_name", F.lit(" "), F.lit(", ")).alias("skills"))
     skills = people.select(F.explode(fn.split_list(F.col("skills"))).alias("skill")).groupBy("skill") \
         .agg(F.count(F.lit(1)).alias("uses")).filter("uses % 2 = 0")
-    return clean.enrich_skills(people, skills).select("p_partkey", "skill", "uses")
+    return clean.enrich_skills(people, skills).select("p_partkey", "skill", F.col("uses").cast("double").alias("uses"))
 
 
 # --- data quality -----------------------------------------------------------------
@@ -361,11 +361,12 @@ def _(t):
 
 @query("q10_rule_results", " UNION ALL ".join(
     f"""SELECT '{n}' AS rule, '{c}' AS "column", '{s}' AS severity, COUNT(*) FILTER (WHERE NOT {n}) AS violations,
- (SELECT list(id ORDER BY id) FROM (SELECT id FROM {CHECKED_SQL} WHERE NOT {n} ORDER BY id LIMIT 5)) AS samples FROM {CHECKED_SQL}"""
+ (SELECT string_agg(id, ',' ORDER BY id) FROM (SELECT id FROM {CHECKED_SQL} WHERE NOT {n} ORDER BY id LIMIT 5)) AS samples FROM {CHECKED_SQL}"""
     for n, c, s in [("email_complete", "email", "error"), ("experience_years_range", "experience_years", "error"),
                     ("phone_pattern", "phone", "warning"), ("email_unique", "email", "error")]))
 def _(t):
-    return dq.rule_results(raw(t), candidate_rules(), "id")
+    found = dq.rule_results(raw(t), candidate_rules(), "id")
+    return found.withColumn("samples", F.array_join(F.transform("samples", lambda k: k.cast("string")), ","))
 
 
 @query("q11_split_valid", f"""
@@ -451,7 +452,7 @@ SELECT *, CASE WHEN quality_score >= 70 THEN 'Resume passes quality checks' ELSE
   CAST(round_even(({' + '.join(f'CAST({c} AS INT)' for c in CHECK_SQL)}) / 8.0 * 100, 0) AS INT) AS quality_score
  FROM (SELECT doc_id, {', '.join(f'({e}) AS {c}' for c, e in CHECK_SQL.items())} FROM documents))""")
 def _(t):
-    return dq.text_quality(t.documents.select("doc_id", "text")).drop("text")
+    return dq.text_quality(t.wide("documents", "doc_id").select("doc_id", "text")).drop("text")
 
 
 @query("q19_quality_report", " UNION ALL ".join(

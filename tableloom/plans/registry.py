@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.session import table
+from tableloom.session import table, widen
 
 
 @dataclass
@@ -22,6 +22,10 @@ class Tables:
             raise AttributeError(name)
         return table(self.spark, self.folder, name)
 
+    def wide(self, name: str, key: str) -> DataFrame:
+        """The table spread over all cores, for work that is heavy per row."""
+        return widen(getattr(self, name), key)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

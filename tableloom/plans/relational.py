@@ -218,11 +218,11 @@ def _(t):
 
 
 @query("j8_left_condition", """
-SELECT o_orderkey, l_linenumber, l_quantity FROM orders LEFT JOIN lineitem
+SELECT o_orderkey, l_quantity FROM orders LEFT JOIN lineitem
 ON l_orderkey = o_orderkey AND l_quantity >= 45""")
 def _(t):
     on = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_quantity") >= 45)
-    return t.orders.join(t.lineitem, on, "left").select("o_orderkey", "l_linenumber", "l_quantity")
+    return t.orders.join(t.lineitem, on, "left").select("o_orderkey", "l_quantity")
 
 
 SUPPLIED = """
@@ -338,11 +338,12 @@ def _(t):
 
 
 @query("g10_collect_by_key", """
-SELECT user_id, chunk_no, list(event_id ORDER BY event_id) AS "values" FROM (
+SELECT user_id, chunk_no, string_agg(event_id, ',' ORDER BY event_id) AS ids FROM (
  SELECT user_id, event_id, CAST(floor((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) / 50) AS BIGINT) AS chunk_no FROM events)
 GROUP BY ALL""")
 def _(t):
-    return rel.collect_by_key(t.events, "user_id", "event_id", ["event_id"], 50)
+    lists = rel.collect_by_key(t.events, "user_id", "event_id", ["event_id"], 50)
+    return lists.select("user_id", "chunk_no", F.array_join(F.transform("values", lambda v: v.cast("string")), ",").alias("ids"))
 
 
 @query("g11_reduce", "SELECT MAX(value) AS top, CAST(SUM(user_id) AS BIGINT) AS users FROM events")

@@ -23,7 +23,7 @@ RESUME_SQL = "(" + RESUME.format(documents="documents") + ")"
 
 
 def resumes(t):
-    return t.spark.sql(RESUME, documents=t.documents)
+    return t.spark.sql(RESUME, documents=t.wide("documents", "doc_id"))
 
 
 def with_job(t):
@@ -81,7 +81,7 @@ SUMMARY_SQL = """'This resume shows a ' || lower(level) || ' profile with ' || l
 
 @query("x1_terms", f"SELECT doc_id, array_to_string({terms_sql(tx.TERMS)}, '|') AS terms, array_to_string({terms_sql(CORPUS_TERMS)}, '|') AS common FROM documents")
 def _(t):
-    return t.documents.select("doc_id", joined(tx.extract_terms(F.col("text"))).alias("terms"),
+    return t.wide("documents", "doc_id").select("doc_id", joined(tx.extract_terms(F.col("text"))).alias("terms"),
                               joined(tx.extract_terms(F.col("text"), CORPUS_TERMS)).alias("common"))
 
 
@@ -155,7 +155,7 @@ def _(t):
 
 @query("x12_words", f"SELECT doc_id, CAST(len(w) AS INT) AS n, md5(array_to_string(list_sort(w), ' ')) AS words FROM (SELECT doc_id, {WORDS_SQL.format('text')} AS w FROM documents)")
 def _(t):
-    d = t.documents.select("doc_id", tx.words(F.col("text")).alias("w"))
+    d = t.wide("documents", "doc_id").select("doc_id", tx.words(F.col("text")).alias("w"))
     return d.select("doc_id", F.size("w").alias("n"), F.md5(joined(F.array_sort("w"), " ")).alias("words"))
 
 
@@ -198,7 +198,7 @@ def _(t):
 SELECT doc_id, CAST(len(k) AS INT) AS n, md5(array_to_string(k, ' ')) AS keywords FROM
  (SELECT doc_id, list_sort(list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z0-9+#.]{3,}'), lambda w: lower(w)))) AS k FROM documents)""")
 def _(t):
-    d = t.documents.select("doc_id", tx.keywords(F.col("text")).alias("k"))
+    d = t.wide("documents", "doc_id").select("doc_id", tx.keywords(F.col("text")).alias("k"))
     return d.select("doc_id", F.size("k").alias("n"), F.md5(joined(F.col("k"), " ")).alias("keywords"))
 
 
@@ -207,7 +207,7 @@ WITH r AS (SELECT unnest({SPLIT_SQL.format('text')}) AS w FROM documents), c AS
  n AS (SELECT word, COUNT(*) AS n FROM c WHERE len(word) > 2 GROUP BY 1)
 SELECT word, n, (SELECT COUNT(*) FROM r) AS total_words, (SELECT COUNT(*) FROM n) AS unique_words FROM n ORDER BY n DESC, word LIMIT 20""")
 def _(t):
-    return tx.word_count_report(t.documents)
+    return tx.word_count_report(t.wide("documents", "doc_id"))
 
 
 @query("x18_text_features", r"""
@@ -243,7 +243,7 @@ def _(t):
 WITH d AS (SELECT doc_id, unnest({terms_sql(CORPUS_TERMS)}) AS term FROM documents)
 SELECT a.term AS item_1, b.term AS item_2, COUNT(*) AS co_occurrences FROM d a JOIN d b ON a.doc_id = b.doc_id AND a.term < b.term GROUP BY 1, 2""")
 def _(t):
-    return rel.cooccurrence(t.documents.select(tx.extract_terms(F.col("text"), CORPUS_TERMS).alias("terms")), "terms")
+    return rel.cooccurrence(t.wide("documents", "doc_id").select(tx.extract_terms(F.col("text"), CORPUS_TERMS).alias("terms")), "terms")
 
 
 @query("g21_prevalence", f"""

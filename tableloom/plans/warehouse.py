@@ -56,7 +56,7 @@ def _(t):
     return src.read_text(t.spark, path)
 
 
-@query("a5_read_json", "SELECT s_suppkey AS id, s_name AS name, [s_name, 'n' || s_nationkey] AS skills FROM supplier")
+@query("a5_read_json", "SELECT s_suppkey AS id, s_name AS name, s_name || '|n' || s_nationkey AS skills FROM supplier")
 def _(t):
     item = F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
                               F.array("s_name", F.concat(F.lit("n"), "s_nationkey")).alias("skills")))
@@ -64,7 +64,8 @@ def _(t):
     path = scratch(t.spark, "profiles")
     chunks.select("s_nationkey", "chunk_no", F.concat(F.lit("["), F.array_join("values", ","), F.lit("]")).alias("value")) \
         .write.partitionBy("s_nationkey", "chunk_no").text(path)
-    return src.read_json(t.spark, path, "id long, name string, skills array<string>", array_files=True).select("id", "name", "skills")
+    return src.read_json(t.spark, path, "id long, name string, skills array<string>", array_files=True).select(
+        "id", "name", F.array_join("skills", "|").alias("skills"))
 
 
 @query("a6_parse_log", "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, upper(event_type) AS level, 'event ' || event_id AS message FROM events")
@@ -76,13 +77,13 @@ def _(t):
     return src.parse_log(src.read_text(t.spark, path)).withColumn("ts", F.col("ts").cast("string"))
 
 
-@query("a7_blank_line_records", "SELECT p_partkey AS candidate, p_size AS experience, string_split(p_name, ' ') AS skills FROM part")
+@query("a7_blank_line_records", "SELECT p_partkey AS candidate, p_size AS experience, replace(p_name, ' ', '|') AS skills FROM part")
 def _(t):
     text = F.concat(F.lit("CANDIDATE "), F.col("p_partkey"), F.lit("\nExperience: "), F.col("p_size"), F.lit(" years\nSkills: "),
                     F.replace("p_name", F.lit(" "), F.lit(", ")))
     path = scratch(t.spark, "records")
     t.part.select(text.alias("value")).write.option("lineSep", "\n\n").text(path)
-    return src.parse_candidates(src.read_text(t.spark, path, "\n\n"))
+    return src.parse_candidates(src.read_text(t.spark, path, "\n\n")).withColumn("skills", F.array_join("skills", "|"))
 
 
 def order_store(t):
@@ -217,12 +218,12 @@ def _(t):
 
 
 @query("j14_lookup_keys", """
-SELECT o_orderkey, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE k END AS customer_key FROM orders LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS k FROM customer) ON o_custkey = c_custkey""")
+SELECT o_orderkey, CAST(CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE k END AS DOUBLE) AS customer_key FROM orders LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS k FROM customer) ON o_custkey = c_custkey""")
 def _(t):
     # Customers whose row was closed get a new, not yet numbered, row: their key is NULL.
     dim = wh.scd2_merge(customer_dim(t), customer_updates(t), "c_custkey", F.lit("1997-01-01"))
     return wh.lookup_keys(t.orders.select("o_orderkey", "o_custkey"), dim, "o_custkey", "c_custkey", "customer_key") \
-        .select("o_orderkey", "customer_key")
+        .select("o_orderkey", F.col("customer_key").cast("double").alias("customer_key"))
 
 
 def sales_fact(t):
@@ -230,10 +231,11 @@ def sales_fact(t):
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_key"),
         F.col("l_quantity").alias("quantity"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"), F.col("l_discount").alias("discount"))
     orders = t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.to_date("o_orderdate").alias("order_date"))
-    customers = customer_dim(t).withColumnRenamed("c_custkey", "customer_id")
-    products = wh.scd2_open(wh.with_key(t.part.select(
+    # Dimensions are stored tables: numbered once, then read by every lookup.
+    customers = src.save(customer_dim(t).withColumnRenamed("c_custkey", "customer_id"), scratch(t.spark, "dim_customer"))
+    products = src.save(wh.scd2_open(wh.with_key(t.part.select(
         F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category_name"), (F.col("p_retailprice") * 0.6).alias("unit_cost")),
-        ["product_id"], "product_key"), F.lit("1992-01-01"))
+        ["product_id"], "product_key"), F.lit("1992-01-01")), scratch(t.spark, "dim_product"))
     return wh.star_sales(lines, orders, customers, products), customers, products
 
 

@@ -35,3 +35,13 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def widen(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that is read by fewer tasks than there are cores.
+
+    For work that is heavy per row on a table of few files. A large table has
+    more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
