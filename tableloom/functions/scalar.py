@@ -78,9 +78,9 @@ def fingerprint(columns: Sequence[str]) -> Column:
 
 
 def md5_partition(key: Column, n: int) -> Column:
-    """``int(md5(key), 16) mod n``, taken over the digest in 7-digit pieces."""
+    """``int(md5(key), 16) mod n``, taken over the digest in 15-digit pieces."""
     digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
-    pieces = [(s, min(7, 33 - s)) for s in range(1, 33, 7)]
+    pieces = [(1, 15), (16, 15), (31, 2)]
     rest = F.lit(0).cast("long")
     for start, width in pieces:
         value = F.conv(F.substring(digest, start, width), 16, 10).cast("long")

@@ -263,21 +263,26 @@ def keywords(text: Column) -> Column:
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """How often each cleaned word occurs, short and empty ones included.
+    """How often each cleaned word occurs, with its length; short and empty ones included.
 
     Raw words are counted first, so cleaning runs once per different word.
     """
     raw = df.select(F.explode(fn.whitespace_words(F.lower(text))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
-    return raw.groupBy(fn.clean_word(F.col("w")).alias("word")).agg(F.sum("c").alias("n"))
+    word = fn.clean_word(F.col("w"))
+    return raw.groupBy(word.alias("word")).agg(F.sum("c").alias("n"), F.max(F.length(word)).alias("len"))
 
 
 def word_count_report(df: DataFrame, text: str = "text", k: int = 20, longer_than: int = 2) -> DataFrame:
-    """The ``k`` most frequent words beside the totals of words and of different words."""
+    """The ``k`` most frequent words beside the totals of words and of different words.
+
+    The length test reads an aggregate, so it stays above the shuffle and the
+    totals reuse the counts instead of making them again.
+    """
     counts = word_counts(df, text)
-    total = counts.agg(F.sum("n")).scalar()
-    different = counts.agg(F.count_if(F.length("word") > longer_than)).scalar()
-    return counts.filter(F.length("word") > longer_than).orderBy(F.desc("n"), "word").limit(k).select(
-        "word", "n", total.alias("total_words"), different.alias("unique_words"))
+    long = F.col("len") > longer_than
+    totals = counts.agg(F.struct(F.sum("n").alias("all"), F.count_if(long).alias("different"))).scalar()
+    return counts.filter(long).orderBy(F.desc("n"), "word").limit(k).select(
+        "word", "n", totals.getField("all").alias("total_words"), totals.getField("different").alias("unique_words"))
 
 
 def text_features(df: DataFrame, text: str = "text") -> DataFrame:

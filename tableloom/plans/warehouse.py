@@ -181,7 +181,7 @@ MEASURES_SQL = """(SELECT *, q * pr * (1 - disc) AS sales FROM (SELECT l_orderke
 
 
 def priced_lines(t):
-    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    return t.wide("lineitem", "l_orderkey").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         (F.col("p_retailprice") * 0.6).alias("unit_cost"), F.col("l_discount").alias("discount"), "l_partkey", "l_suppkey", "l_shipdate", "p_type")
 
@@ -227,7 +227,7 @@ def _(t):
 
 
 def sales_fact(t):
-    lines = t.lineitem.select(
+    lines = t.wide("lineitem", "l_orderkey").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_key"),
         F.col("l_quantity").alias("quantity"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"), F.col("l_discount").alias("discount"))
     orders = t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.to_date("o_orderdate").alias("order_date"))
