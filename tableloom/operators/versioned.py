@@ -13,6 +13,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -152,7 +153,7 @@ class VersionedTable:
             raise ValueError(f"source has duplicate or missing values of {key}")
         # Only the key column is read here; the result is one name per file.
         hits = target.select(key, FILE).join(source.select(key), key, "left_semi").select(FILE).distinct()
-        touched = {_name(r[FILE]) for r in hits.collect()}
+        touched = {_name(unquote(r[FILE])) for r in hits.collect()}  # the metadata column holds an encoded URI
         kept = [f for f in files if _name(f) not in touched]
         old = self._load([f for f in files if _name(f) in touched], schema)
         update = [c for c in (update or schema.names) if c != key and c in source.columns]
@@ -196,7 +197,8 @@ class VersionedTable:
         kept = self.history().filter((F.col("timestamp") >= cutoff) | (F.col("version") == newest)).select("version").collect()
         paths = [f"{self.path}/files/{r['version']:010d}" for r in kept]
         used = self.spark.read.schema("path string").json(paths).select(_name_col("path").alias("name")).distinct()
-        return list_files(self.spark, f"{self.path}/data", "part-").join(used, "name", "left_anti").select("path", "size")
+        stored = list_files(self.spark, f"{self.path}/data", "part-").withColumn("name", _name_col("path"))
+        return stored.join(used, "name", "left_anti").select("path", "size")
 
 
 def z_order(df: DataFrame, columns: Sequence[str], bits: int = 16) -> Column:
@@ -222,8 +224,9 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 def _name(path: str) -> str:
-    return path.rsplit("/", 1)[-1]
+    """Path below ``data/``; a task uses the same file name in every partition folder."""
+    return path[path.index("__commit="):]
 
 
 def _name_col(column: str) -> Column:
-    return F.element_at(F.split(column, "/"), -1)
+    return F.regexp_extract(column, "(__commit=.*)$", 1)
