@@ -98,13 +98,12 @@ def running_totals(
         .withColumn(_SLICE, _slice_of(n))
     )
     group = F.struct(*[F.col(f"{_KEY}.k{i}") for i in range(len(keys))]) if keys else F.lit(True)
-    if keys:
-        split_groups = F.array_distinct(
-            F.transform(_SPLITS, lambda s: F.struct(*[s[f"k{i}"].alias(f"k{i}") for i in range(len(keys))]))
-        )
-        spans = F.array_contains(split_groups, group)
-    else:
-        spans = F.lit(True)
+    # Split points are sorted by group first, so a group reaches over several slices
+    # exactly when the split point before or after one of its rows belongs to it.
+    around = [F.get(F.col(_SPLITS), F.col(_SLICE) - 1), F.get(F.col(_SPLITS), F.col(_SLICE))]
+    spans = F.lit(not keys)
+    for point in around if keys else []:
+        spans = spans | F.struct(*[point[f"k{i}"].alias(f"k{i}") for i in range(len(keys))]).eqNullSafe(group)
 
     before = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -210,6 +210,32 @@ def rate_limit(df: DataFrame, client: str, ts: str, unique: str, limit: int, sec
     return ordered.mapInPandas(walk, schema)
 
 
+def rate_limit_stream(stream: DataFrame, client: str, ts: str, unique: str, limit: int, seconds: int) -> DataFrame:
+    """The same decision on a stream, with the last accepted times as state.
+
+    A task gets at most one micro-batch of a client, however busy it is, so
+    the trigger size bounds the work. Times must rise from batch to batch.
+    """
+    schema = T.StructType([stream.schema[unique], T.StructField("accepted", T.BooleanType())])
+    state = T.StructType([T.StructField("held", T.ArrayType(T.LongType()))])
+    span = seconds * 1_000_000
+
+    def update(keys: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        held = list(kept.get[0]) if kept.exists else []
+        rows = pd.concat(list(batches)).sort_values(["__at", unique])
+        flags = []
+        for at in rows["__at"].tolist():
+            held = [h for h in held if h >= at - span]
+            flags.append(len(held) < limit)
+            if flags[-1]:
+                held.append(at)
+        kept.update((held,))
+        yield pd.DataFrame({unique: rows[unique], "accepted": flags})
+
+    timed = stream.select(client, F.unix_micros(ts).alias("__at"), unique)
+    return timed.groupBy(client).applyInPandasWithState(update, schema, state, "append", GroupStateTimeout.NoTimeout)
+
+
 def foreach_rows(df: DataFrame, action: Callable) -> None:
     """Call ``action(row)`` for every row, inside the tasks."""
     def visit(rows) -> None:

@@ -116,6 +116,12 @@ def test_rate_limit(events, limit, seconds):
     assert len(got) == 2000
 
 
+def test_rate_limit_on_a_stream(spark, events, stream):
+    table = {r["id"]: r["accepted"] for r in streams.rate_limit(events, "user", "ts", "id", 3, 90).collect()}
+    got = run(spark, streams.rate_limit_stream(stream, "user", "ts", "id", 3, 90))
+    assert {r["id"]: r["accepted"] for r in got.collect()} == table
+
+
 def test_late_split(events):
     marked = streams.late_split(events, "ts", 600)
     newest = events.agg(F.max("ts")).first()[0]
