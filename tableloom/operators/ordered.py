@@ -20,10 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableloom.functions.scalar import bind
+
 SAMPLE_PER_SLICE = 16
 BLOCK_ROWS = 65_536
 
-_KEY, _SPLITS, _SLICE, _OFFSETS = "__key", "__splits", "__slice", "__offsets"
+_KEY, _POINTS, _PLACE, _SLICE = "__key", "__points", "__place", "__slice"
 
 
 def _slices(df: DataFrame, slices: int | None) -> int:
@@ -64,16 +66,27 @@ def _split_points(keyed: DataFrame, slices: int) -> Column:
     return sample.select(picked.alias("p")).scalar()
 
 
-def _slice_of(slices: int) -> Column:
-    """Number of split points at or below the row's key, by binary search."""
-    steps = [1 << b for b in range(slices.bit_length(), -1, -1)]
+def _place(slices: int) -> Column:
+    """Struct of the row's slice and the split points on either side of its key.
+
+    The slice is the number of split points at or below the key, found by
+    binary search. The split points are bound once, so the sample is one
+    subquery of the plan.
+    """
+    steps = F.array(*[F.lit(1 << b) for b in range(slices.bit_length(), -1, -1)])
+
+    def search(both: Column) -> Column:
+        points, key = both["points"], both["key"]
+
+        def step(found: Column, width: Column) -> Column:
+            inside = found + width <= F.size(points)
+            below = F.get(points, found + width - 1) <= key
+            return F.when(inside & below, found + width).otherwise(found)
 
-    def step(found: Column, width: Column) -> Column:
-        inside = found + width <= F.size(_SPLITS)
-        below = F.get(F.col(_SPLITS), found + width - 1) <= F.col(_KEY)
-        return F.when(inside & below, found + width).otherwise(found)
+        return bind(F.aggregate(steps, F.lit(0), step), lambda at: F.struct(
+            at.alias("slice"), F.get(points, at - 1).alias("before"), F.get(points, at).alias("after")))
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+    return bind(F.struct(F.col(_POINTS).alias("points"), F.col(_KEY).alias("key")), search)
 
 
 def running_totals(
@@ -93,17 +106,16 @@ def running_totals(
     n = _slices(df, slices)
     keys = list(keys)
     keyed = df.withColumn(_KEY, sort_key(df, keys, order))
-    cut = (
-        keyed.withColumn(_SPLITS, _split_points(keyed, n))
-        .withColumn(_SLICE, _slice_of(n))
-    )
-    group = F.struct(*[F.col(f"{_KEY}.k{i}") for i in range(len(keys))]) if keys else F.lit(True)
+    pointed = keyed.withColumn(_POINTS, _split_points(keyed, n))
+    cut = pointed.withColumn(_PLACE, _place(n)).drop(_POINTS).withColumn(_SLICE, F.col(f"{_PLACE}.slice"))
+
+    def group_of(key: Column) -> Column:
+        return F.struct(*[key[f"k{i}"].alias(f"k{i}") for i in range(len(keys))]) if keys else F.lit(True)
+
     # Split points are sorted by group first, so a group reaches over several slices
     # exactly when the split point before or after one of its rows belongs to it.
-    around = [F.get(F.col(_SPLITS), F.col(_SLICE) - 1), F.get(F.col(_SPLITS), F.col(_SLICE))]
-    spans = F.lit(not keys)
-    for point in around if keys else []:
-        spans = spans | F.struct(*[point[f"k{i}"].alias(f"k{i}") for i in range(len(keys))]).eqNullSafe(group)
+    group = group_of(F.col(_KEY))
+    spans = group_of(F.col(f"{_PLACE}.before")).eqNullSafe(group) | group_of(F.col(f"{_PLACE}.after")).eqNullSafe(group)
 
     before = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -116,7 +128,7 @@ def running_totals(
         Window.partitionBy(*keys, _SLICE).orderBy(_KEY)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = cut.drop(_SPLITS).join(
+    placed = cut.drop(_PLACE).join(
         F.broadcast(offsets),
         group.eqNullSafe(F.col("g")) & (F.col(_SLICE) == F.col("b")),
         "left",

@@ -98,10 +98,10 @@ def _(t):
     return closed.select(text_time("window_start"), "event_type", "n")
 
 
-@query("r10_complete_stats", "SELECT user_id, COUNT(*) AS n, ROUND(AVG(value), 6) AS mean_value, COUNT(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1")
+@query("r10_complete_stats", "SELECT user_id, COUNT(*) AS n, ROUND(AVG(value), 9) AS mean_value, COUNT(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1")
 def _(t):
     done = run(t, streams.endpoint_stats(event_stream(t), "user_id", "value", is_error()), "complete")
-    return streams.last_complete(done).withColumn("mean_value", F.round("mean_value", 6))
+    return streams.last_complete(done).withColumn("mean_value", F.round("mean_value", 9))
 
 
 @query("r11_hourly", f"""
@@ -237,9 +237,9 @@ def _(t):
     return runlog.success_rate_at_end(runs(t)).withColumn("success_rate", F.round("success_rate", 6))
 
 
-@query("l2_avg_duration", f"SELECT task_id, ROUND(AVG(duration), 6) AS avg_duration FROM {RUNS_SQL} GROUP BY 1")
+@query("l2_avg_duration", f"SELECT task_id, ROUND(AVG(duration), 9) AS avg_duration FROM {RUNS_SQL} GROUP BY 1")
 def _(t):
-    return runlog.avg_duration(runs(t)).withColumn("avg_duration", F.round("avg_duration", 6))
+    return runlog.avg_duration(runs(t)).withColumn("avg_duration", F.round("avg_duration", 9))
 
 
 @query("l3_sla_misses", f"SELECT event_id, task_id, duration FROM {RUNS_SQL} WHERE duration > 30")

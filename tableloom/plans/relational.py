@@ -123,11 +123,11 @@ def _(t):
 
 
 @query("p17_temp_view", """
-SELECT event_type, COUNT(*) AS n, ROUND(AVG(value), 4) AS mean_value FROM events WHERE value > 5 GROUP BY event_type""")
+SELECT event_type, COUNT(*) AS n, ROUND(AVG(value), 9) AS mean_value FROM events WHERE value > 5 GROUP BY event_type""")
 def _(t):
     t.events.createOrReplaceTempView("tableloom_events")
     return t.spark.sql("""
-        SELECT event_type, COUNT(*) AS n, ROUND(AVG(value), 4) AS mean_value
+        SELECT event_type, COUNT(*) AS n, ROUND(AVG(value), 9) AS mean_value
         FROM tableloom_events WHERE value > 5 GROUP BY event_type""")
 
 
@@ -135,7 +135,7 @@ BANDS = """
 WITH bands AS (
   SELECT p_retailprice, CASE WHEN p_size = 0 THEN '0' WHEN p_size BETWEEN 1 AND 10 THEN '1-10'
     WHEN p_size BETWEEN 11 AND 25 THEN '11-25' ELSE '25+' END AS band FROM {part})
-SELECT band, COUNT(*) AS n, ROUND(AVG(p_retailprice), 4) AS avg_price, MIN(p_retailprice) AS lo, MAX(p_retailprice) AS hi
+SELECT band, COUNT(*) AS n, ROUND(AVG(p_retailprice), 9) AS avg_price, MIN(p_retailprice) AS lo, MAX(p_retailprice) AS hi
 FROM bands GROUP BY band"""
 
 
