@@ -26,10 +26,10 @@ def raw(t):
 
 # A twice-loaded raw table, so that duplicates exist.
 def raw_twice(t):
-    return raw(t).unionByName(raw(t).filter("id % 5 = 0"))
+    return raw(t).unionByName(raw(t).filter("salary = '8000'"))
 
 
-RAW_TWICE_SQL = f"(SELECT * FROM {RAW_SQL} UNION ALL SELECT * FROM {RAW_SQL} WHERE id % 5 = 0)"
+RAW_TWICE_SQL = f"(SELECT * FROM {RAW_SQL} UNION ALL SELECT * FROM {RAW_SQL} WHERE salary = '8000')"
 
 # --- scalar functions -------------------------------------------------------------
 
@@ -288,11 +288,11 @@ def _(t):
 
 @query("c15_enrich_skills", """
 WITH e AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS skill FROM part),
- s AS (SELECT skill, COUNT(*) AS uses FROM e GROUP BY 1 HAVING COUNT(*) % 2 = 0) SELECT p_partkey, skill, CAST(uses AS DOUBLE) AS uses FROM e LEFT JOIN s USING (skill)""")
+ s AS (SELECT skill, COUNT(*) AS uses FROM e GROUP BY 1 HAVING len(skill) > 4) SELECT p_partkey, skill, CAST(uses AS DOUBLE) AS uses FROM e LEFT JOIN s USING (skill)""")
 def _(t):
     people = t.part.select("p_partkey", F.replace("p_name", F.lit(" "), F.lit(", ")).alias("skills"))
     skills = people.select(F.explode(fn.split_list(F.col("skills"))).alias("skill")).groupBy("skill") \
-        .agg(F.count(F.lit(1)).alias("uses")).filter("uses % 2 = 0")
+        .agg(F.count(F.lit(1)).alias("uses")).filter("length(skill) > 4")
     return clean.enrich_skills(people, skills).select("p_partkey", "skill", F.col("uses").cast("double").alias("uses"))
 
 

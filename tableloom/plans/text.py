@@ -226,15 +226,18 @@ def _(t):
     return tx.top_terms(resumes(t).select(tx.extract_terms(F.col("text"), tx.TERMS + CORPUS_TERMS).alias("terms")))
 
 
+REMOTE_SQL = "lang = 'en' AND source <> 'src5'"
+
+
 @query("x21_prefer_valid", f"""
-SELECT doc_id, CASE WHEN l.doc_id % 3 <> 0 AND l.doc_id % 5 <> 0 THEN 'primary' ELSE 'local' END AS source,
- CASE WHEN l.doc_id % 3 <> 0 AND l.doc_id % 5 <> 0 THEN 'remote ' || l.doc_id ELSE l.summary END AS summary, array_to_string(skills, '|') AS skills FROM {ANALYSIS_SQL} l""")
+SELECT doc_id, CASE WHEN {REMOTE_SQL} THEN 'primary' ELSE 'local' END AS source, CASE WHEN {REMOTE_SQL} THEN 'remote ' || doc_id ELSE summary END AS summary,
+ array_to_string(skills, '|') AS skills FROM {ANALYSIS_SQL} JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id)""")
 def _(t):
-    local = tx.analyze(resumes(t).select("doc_id", "text"))
-    # The primary results lack every third document and, for every fifth, one of the five fields.
-    remote = local.filter("doc_id % 3 <> 0").withColumns({
+    local = tx.analyze(resumes(t).select("doc_id", "lang", "source", "text"))
+    # The primary results exist for English documents, and those of one source lack a field.
+    remote = local.filter("lang = 'en'").withColumns({
         "summary": F.concat(F.lit("remote "), F.col("doc_id")),
-        "strengths": F.when(F.col("doc_id") % 5 != 0, F.col("strengths")),
+        "strengths": F.when(F.col("source") != "src5", F.col("strengths")),
     })
     return tx.prefer_valid(remote, local, "doc_id").select("doc_id", "source", "summary", joined(F.col("skills")).alias("skills"))
 

@@ -40,12 +40,12 @@ def _(t):
     return rows.groupBy(F.regexp_extract("source_file", r"folder=([^/]+)/", 1).alias("folder")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("a3_tolerant_load", "SELECT p_partkey, p_size FROM part WHERE p_partkey % 50 <> 3")
+@query("a3_tolerant_load", "SELECT p_partkey, p_size FROM part WHERE p_size < 45")
 def _(t):
-    size = F.when(F.col("p_partkey") % 50 == 3, "large").otherwise(F.col("p_size").cast("string"))
+    size = F.when(F.col("p_size") >= 45, "large").otherwise(F.col("p_size").cast("string"))
     path = csv_copy(t, t.part.select("p_partkey", size.alias("p_size")), "parts")
     schema = T.StructType.fromDDL("p_partkey long, p_size int")
-    bad = t.part.filter("p_partkey % 50 = 3").count()
+    bad = t.part.filter("p_size >= 45").count()
     return src.load_csv(t.spark, path, schema, max_errors=bad)
 
 
@@ -201,26 +201,31 @@ def customer_dim(t):
 
 
 def customer_updates(t):
-    changed = t.customer.filter("c_custkey % 3 = 0").select(
-        "c_custkey", F.when(F.col("c_custkey") % 6 == 0, "MOVED").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"), "c_nationkey")
-    added = t.customer.filter("c_custkey % 100 = 0").select(
-        (F.col("c_custkey") + 1000000).alias("c_custkey"), F.lit("NEW").alias("c_mktsegment"), "c_nationkey")
+    """Customers with a good balance are sent again, those in HOUSEHOLD with a new segment; indebted ones get a second account."""
+    changed = t.customer.filter("c_acctbal > 3000").select(
+        "c_custkey", F.when(F.col("c_mktsegment") == "HOUSEHOLD", "MOVED").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"), "c_nationkey")
+    added = t.customer.filter("c_acctbal < 0").select(
+        (-F.col("c_custkey") - 1).alias("c_custkey"), F.lit("NEW").alias("c_mktsegment"), "c_nationkey")
     return changed.unionByName(added)
 
 
-@query("w4_scd2", """
-SELECT c_custkey, c_mktsegment, c_nationkey, '1992-01-01' AS effective_date, CASE WHEN c_custkey % 6 = 0 THEN '1997-01-01' ELSE '9999-12-31' END AS expiration_date, c_custkey % 6 <> 0 AS is_current FROM customer
-UNION ALL SELECT c_custkey, 'MOVED', c_nationkey, '1997-01-01', '9999-12-31', TRUE FROM customer WHERE c_custkey % 6 = 0
-UNION ALL SELECT c_custkey + 1000000, 'NEW', c_nationkey, '1997-01-01', '9999-12-31', TRUE FROM customer WHERE c_custkey % 100 = 0""")
+MOVED_SQL = "(c_acctbal > 3000 AND c_mktsegment = 'HOUSEHOLD')"
+
+
+@query("w4_scd2", f"""
+SELECT c_custkey, c_mktsegment, c_nationkey, '1992-01-01' AS effective_date, CASE WHEN {MOVED_SQL} THEN '1997-01-01' ELSE '9999-12-31' END AS expiration_date, NOT {MOVED_SQL} AS is_current FROM customer
+UNION ALL SELECT c_custkey, 'MOVED', c_nationkey, '1997-01-01', '9999-12-31', TRUE FROM customer WHERE {MOVED_SQL}
+UNION ALL SELECT -c_custkey - 1, 'NEW', c_nationkey, '1997-01-01', '9999-12-31', TRUE FROM customer WHERE c_acctbal < 0""")
 def _(t):
     dim = wh.scd2_merge(customer_dim(t), customer_updates(t), "c_custkey", F.lit("1997-01-01"))
     return dim.drop("customer_key").withColumns({c: F.col(c).cast("string") for c in ("effective_date", "expiration_date")})
 
 
-@query("j14_lookup_keys", """
-SELECT o_orderkey, CAST(CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE k END AS DOUBLE) AS customer_key FROM orders LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS k FROM customer) ON o_custkey = c_custkey""")
+@query("j14_lookup_keys", f"""
+SELECT o_orderkey, CAST(CASE WHEN {MOVED_SQL} THEN NULL ELSE k END AS DOUBLE) AS customer_key FROM orders LEFT JOIN
+ (SELECT *, row_number() OVER (ORDER BY c_custkey) AS k FROM customer) ON o_custkey = c_custkey""")
 def _(t):
-    # Customers whose row was closed get a new, not yet numbered, row: their key is NULL.
+    # Customers whose row was closed have a new, not yet numbered, row: their key is NULL.
     dim = wh.scd2_merge(customer_dim(t), customer_updates(t), "c_custkey", F.lit("1997-01-01"))
     return wh.lookup_keys(t.orders.select("o_orderkey", "o_custkey"), dim, "o_custkey", "c_custkey", "customer_key") \
         .select("o_orderkey", F.col("customer_key").cast("double").alias("customer_key"))
@@ -313,14 +318,14 @@ def _(t):
 
 
 def price_changes(t):
-    """Every seventh open order at double price, and the pending orders."""
+    """Cheap open orders at double price, and the pending orders."""
     o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return o.filter("o_orderstatus = 'O' AND o_orderkey % 7 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2) \
+    return o.filter("o_orderstatus = 'O' AND o_totalprice < 100000").withColumn("o_totalprice", F.col("o_totalprice") * 2) \
         .unionByName(o.filter("o_orderstatus = 'P'"))
 
 
 @query("v4_merge", """
-SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 7 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders""")
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' AND o_totalprice < 100000 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders""")
 def _(t):
     table = order_table(t)
     table.merge(price_changes(t), "o_orderkey", ["o_totalprice"])
@@ -358,7 +363,7 @@ def _(t):
 
 @query("v9_changes", """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'insert' ELSE 'update' END AS change, CASE WHEN o_orderstatus = 'P' THEN o_totalprice ELSE o_totalprice * 2 END AS o_totalprice
-FROM orders WHERE o_orderstatus = 'P' OR (o_orderstatus = 'O' AND o_orderkey % 7 = 0)""")
+FROM orders WHERE o_orderstatus = 'P' OR (o_orderstatus = 'O' AND o_totalprice < 100000)""")
 def _(t):
     table = order_table(t)
     table.merge(price_changes(t), "o_orderkey")

@@ -110,6 +110,27 @@ def test_text_sources(spark):
     assert raw.select(F.replace(F.make_valid_utf8(F.col("b").cast("string")), F.lit("�"), F.lit(""))).first()[0] == "né!"
 
 
+def test_inventory_and_checksums(spark):
+    path = scratch(spark, "files")
+    for name in ("a", "b"):
+        spark.range(20).coalesce(1).write.csv(f"{path}/{name}")
+    spark.range(5).coalesce(1).write.csv(f"{path}/c")
+    listed = src.list_files(spark, path, "part-").collect()
+    assert len(listed) == 3 and src.list_files(spark, path, "none").count() == 0
+    size = src.store_size(spark, path).first()
+    assert size["object_count"] == 3 and size["total_size_bytes"] == sum(r["size"] for r in listed)
+    assert size["total_size_mb"] == round(size["total_size_bytes"] / 1048576, 4)
+    twice = src.duplicate_files(src.file_hashes(spark, path)).collect()
+    assert [r["copies"] for r in twice] == [2] and "/a/" in twice[0]["first_path"]
+
+
+def test_approximate_count(spark):
+    import __spark_entry__ as entry
+    got = {r[0]: r[1] for r in entry.queries()["g6_approx_distinct"](spark, "/root/testdata/sf0.001").collect()}
+    exact = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").groupBy("l_returnflag").agg(F.count_distinct("l_partkey")).collect()
+    assert all(abs(got[f] - n) <= 0.1 * n for f, n in exact)
+
+
 def test_partitioned_save_prunes(spark):
     stored = src.save(spark.range(50).select("id", (F.col("id") % 5).alias("p")), scratch(spark, "p"), partition_by=["p"], cluster_by=["id"])
     plan = stored.filter("p = 2")._jdf.queryExecution().executedPlan().toString()
