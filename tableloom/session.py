@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,12 +25,16 @@ def shared_root(spark: SparkSession) -> str:
     cluster a missing setting is an error rather than a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tableloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tableloom-")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

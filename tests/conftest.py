@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
