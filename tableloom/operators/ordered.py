@@ -4,8 +4,8 @@ A plain window hands a whole group to one task, so a group holding a third of
 a large table cannot finish. Here the sort order is cut at split points, as a
 range partitioner does, each slice is numbered on its own, and the totals of
 the earlier slices of the group are added. The split points come from a small
-hash-ordered sample; they only decide where slices begin, never which rows
-are kept, so results are exact.
+sample by hash; they only decide where slices begin, never which rows are
+kept, so results are exact.
 
 Orders are lists of column names, ``"-name"`` meaning descending. NULLs come
 first ascending and last descending, as in Spark. An order must end in a
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableloom.functions.scalar import bind
+from tableloom.session import stored
 
 SAMPLE_PER_SLICE = 16
 BLOCK_ROWS = 65_536
@@ -54,16 +55,19 @@ def sort_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column
 
 
 def _split_points(keyed: DataFrame, slices: int) -> Column:
-    """Scalar subquery: sorted array of ``slices - 1`` keys or fewer."""
-    sample = (
-        keyed.select(_KEY)
-        .orderBy(F.xxhash64(_KEY))
-        .limit(slices * SAMPLE_PER_SLICE)
-        .agg(F.array_distinct(F.sort_array(F.collect_list(_KEY))).alias("s"))
-    )
+    """Scalar subquery: sorted array of about ``slices`` keys.
+
+    Keys are sampled by hash with a chance set from the row count, so about
+    ``SAMPLE_PER_SLICE`` keys per slice are gathered whatever the table's
+    size, and the same ones on every run. Equal keys collapse before that.
+    """
+    rows = keyed.agg(F.count(F.lit(1))).scalar()
+    chance = F.try_divide(F.lit(float(slices * SAMPLE_PER_SLICE)), rows)
+    sample = keyed.filter(F.pmod(F.xxhash64(_KEY), F.lit(1 << 40)) < chance * float(1 << 40)).select(_KEY).distinct()
+    gathered = sample.agg(F.sort_array(F.collect_list(_KEY)).alias("s"))
     step = F.greatest(F.size("s") / F.lit(slices), F.lit(1.0))
     picked = F.filter("s", lambda _, i: F.floor((i + 1) / step) > F.floor(i / step))
-    return sample.select(picked.alias("p")).scalar()
+    return gathered.select(picked.alias("p")).scalar()
 
 
 def _place(slices: int) -> Column:
@@ -98,7 +102,7 @@ def running_totals(
 ) -> DataFrame:
     """Add inclusive running sums of each expression within its group.
 
-    One sample pass and one counting pass read only the key columns; the data
+    Counting, sampling and totalling read only the key columns; the data
     is shuffled once, on (group, slice). Offsets are kept for groups that a
     split point falls into, hence at most two rows per split point, which is
     the proven bound that lets them be broadcast.
@@ -160,11 +164,11 @@ def ranked(
 
     Ties are collapsed to one counted row before anything is ordered, so a
     value shared by a third of the table costs one row. The rank is joined
-    back on (group, value).
+    back on (group, value). The counts are stored, as several passes read them.
     """
     col = by.lstrip("-")
     keys = list(keys)
-    counts = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
+    counts = stored(df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n")), "value-counts")
     placed = running_totals(
         counts, keys, [by], {"__upto": F.col("__n"), "__dense": F.lit(1).cast("long")}, slices
     ).withColumn("__rank", F.col("__upto") - F.col("__n") + 1)

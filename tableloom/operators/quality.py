@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tableloom.functions.scalar import strip
 from tableloom.operators.clean import is_missing
 from tableloom.operators.ordered import join_null_safe, running_totals
+from tableloom.session import stored
 
 
 @dataclass(frozen=True)
@@ -158,8 +159,9 @@ def baseline(df: DataFrame, column: str) -> DataFrame:
     """
     value = F.col(column).cast("double")
     given = df.filter(F.col(column).isNotNull()).select(value.alias("v"))
-    upto = running_totals(given.groupBy("v").agg(F.count(F.lit(1)).alias("c")), [], ["v"], {"upto": F.col("c")})
-    size = given.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counts = stored(given.groupBy("v").agg(F.count(F.lit(1)).alias("c")), "value-counts")
+    upto = running_totals(counts, [], ["v"], {"upto": F.col("c")})
+    size = counts.agg(F.sum("c").alias("n")).scalar()
     placed = upto.withColumn("n", size)
     n = F.col("n")
 

@@ -42,6 +42,17 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The table written once to the shared folder and read back.
+
+    For an intermediate result that several passes read; unlike a cache it
+    survives the loss of executors.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def widen(df: DataFrame, key: str) -> DataFrame:
     """Spread a table that is read by fewer tasks than there are cores.
 
