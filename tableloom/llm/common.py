@@ -16,7 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Rows that a task hands to Python at once while a result is written.
+BATCH_ROWS = 1024
 
 
 @cache
@@ -36,16 +38,24 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back: they survive the loss of executors."""
-    path = shared_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, shared_path(df.sparkSession, label)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n + 1 offsets of its rows; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
     n = len(column)
     offsets = np.frombuffer(column.buffers()[1], np.int64, n + 1, column.offset * 8)
     if n == 0 or column.buffers()[2] is None:
@@ -117,7 +127,7 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 def _size_class(n: int) -> int:
-    return 1 << max(20, int(n).bit_length())
+    return 1 << max(18, int(n).bit_length())
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -101,6 +101,13 @@ def set_names(whole: np.ndarray, rows: np.ndarray, n: int) -> list[bytes]:
 EMPTY = np.uint16(0xFFFF)
 
 
+@cache
+def _search_order() -> np.ndarray:
+    """[step][register]: where an empty register looks, in an order of its own that is the same for all texts."""
+    rank = mixed(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(0x1000193)).reshape(REGISTERS, REGISTERS)
+    return np.argsort(rank, axis=0)
+
+
 def registers(whole: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """HyperMinHash registers [row][register]; empty ones filled from others."""
     out = np.full(n * REGISTERS, EMPTY, np.uint16)
@@ -113,21 +120,20 @@ def registers(whole: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     part = ((rest << zeros) << np.uint64(1)) >> np.uint64(64 - MANTISSA)
     # A smaller hash has more zeros, then a smaller mantissa: keep the least of the reversed count and the mantissa.
     value = ((np.uint64(62) - zeros) << np.uint64(MANTISSA) | part).astype(np.uint16)
-    order = np.lexsort((value, at))
-    first = order[np.concatenate([[True], at[order][1:] != at[order][:-1]])] if len(order) else order
-    out[at[first]] = value[first]
+    both = np.sort(at.astype(np.uint64) << np.uint64(16) | value)
+    place = (both >> np.uint64(16)).astype(np.int64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    out[place[first]] = (both[first] & np.uint64(0xFFFF)).astype(np.uint16)
     out = out.reshape(n, REGISTERS)
     filled = out.copy()
     empty = np.argwhere((out == EMPTY) & (out != EMPTY).any(1, keepdims=True))
-    step = 1
-    while len(empty):
-        # The order of search differs from register to register and is the same for all texts.
-        source = mixed(empty[:, 1].astype(np.uint64) * np.uint64(0x1000193) + np.uint64(step)) % np.uint64(REGISTERS) if step < 512 \
-            else (empty[:, 1].astype(np.uint64) + np.uint64(step)) % np.uint64(REGISTERS)
-        found = out[empty[:, 0], source.astype(np.int64)]
+    for sources in _search_order():
+        if not len(empty):
+            break
+        found = out[empty[:, 0], sources[empty[:, 1]]]
         done = found != EMPTY
         filled[empty[done, 0], empty[done, 1]] = found[done]
-        empty, step = empty[~done], step + 1
+        empty = empty[~done]
     return filled
 
 
@@ -327,7 +333,7 @@ def _rooted(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
     texts = docs.select(_row_key(key, text).alias("row_key"), F.col(text).alias("text")).join(
         wanted.select("row_key").distinct(), "row_key", "left_semi")
     made = F.arrow_udf(_set_column(rule.width), "node binary, set binary")(F.coalesce(F.col("text"), F.lit("")))
-    sets = texts.select(made.alias("s")).select("s.*").groupBy("node").agg(F.max("set").alias("set"))
+    sets = stored(texts.select(made.alias("s")).select("s.*"), "sets").groupBy("node").agg(F.max("set").alias("set"))
     linked = components(_compared(wanted.join(sets, "node"), rule, confirm=True))
     rooted = classes.select("node", "head").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = rooted.groupBy("root").agg(F.min("head").alias("head"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import decontam, language, neardup, quality
+from tableloom.llm import decontam, language, neardup, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,42 @@ def op1_language(table):
                         F.col("found.score").alias("score"), F.col("found.bits").alias("bits"))
 
 
+def _spans_sql(kind: str, rank: int, pattern: str, where: str = "true") -> str:
+    """Rows (doc_id, kind, rank, s, e) of a pattern's leftmost matches; ``where`` sees the match m and t, the text from it on."""
+    quoted = pattern.replace("'", "''")
+    return rf"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, e - len(m) AS s, e FROM (
+        SELECT doc_id, m[i] AS m, CAST(list_sum(list_transform(gaps[1:i], lambda x: len(x))) + list_sum(list_transform(m[1:i], lambda x: len(x))) AS BIGINT) AS e
+        FROM (SELECT doc_id, m, gaps, unnest(range(1, len(m) + 1)) AS i
+              FROM (SELECT doc_id, regexp_extract_all(text, '{quoted}') AS m, string_split_regex(text, '{quoted}') AS gaps FROM d))) WHERE {where}"""
+
+
+def _digest_sql(base: int) -> str:
+    """Per document: hash of its base spans and list of all spans, from ``found``."""
+    one = "kind || ':' || s || ':' || e"
+    return f"""SELECT d.doc_id, sha256(coalesce(string_agg({one}, ',' ORDER BY s, rank) FILTER (rank < {base}), '')) AS base_sha256,
+        coalesce(string_agg({one}, ',' ORDER BY s, rank) FILTER (rank IS NOT NULL), '') AS spans,
+        %s FROM (SELECT doc_id FROM d) d LEFT JOIN found USING (doc_id) GROUP BY d.doc_id"""
+
+
+def _secrets_sql() -> str:
+    parts = []
+    for i, rule in enumerate(secrets.RULES):
+        held = "m" if not rule.group else f"regexp_extract(m, '{rule.pattern.replace(chr(39), chr(39) * 2)}', {rule.group})"
+        parts.append(_spans_sql(rule.kind, i, rule.pattern, f"len({held}) >= {rule.least}"))
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    return ("WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), found AS (" + " UNION ALL ".join(parts) + ") "
+            + _digest_sql(len(secrets.BASE)) % counts)
+
+
+@_query("op2_secrets", _secrets_sql())
+def op2_secrets(table):
+    found = secrets.scanned(table("documents"), "doc_id", "text")
+    base = F.concat(*[F.col(r.kind) for r in secrets.BASE])
+    every = F.concat(*[F.col(r.kind) for r in secrets.RULES])
+    return found.select("doc_id", *[F.size(r.kind).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE],
+                        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(every).alias("spans"))
+
+
 @_query("op4_quality")
 def op4_quality(table):
     rows = quality.judged(table("documents"), "doc_id", "text", "lang", "source")
@@ -62,6 +98,21 @@ def op6_near_duplicates(table):
     return neardup.groups(table("documents"), "doc_id", "text", neardup.TIGHT)
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, which is part of every machine's image."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query("op7_packing")
+def op7_packing(table):
+    # The checksums are of the stored ids; only they go on to the placement.
+    cut = packing.pieces(table("documents"), "doc_id", "text", vocabulary("word_bpe_49k.json"), end=1)
+    narrow = cut.select("piece", "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.packed(narrow).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
