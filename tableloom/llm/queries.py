@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import decontam, language, neardup, packing, quality, secrets
+from tableloom.llm import decontam, language, licenses, neardup, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,6 +68,33 @@ def op2_secrets(table):
                         F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(every).alias("spans"))
 
 
+def _licenses_sql() -> str:
+    words = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    phrases = ", ".join(f"('{label}', '{p}', {len(p.split())})" for p, label in licenses.PHRASES.items())
+    templates = ", ".join(f"({i}, '{label}', list_distinct(string_split('{t}', ' ')), {o})"
+                          for (i, label, _, o), (_, t) in zip(licenses._sets(), licenses.TEMPLATES))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {words.format("coalesce(text, '')")} AS w FROM documents),
+phrases(label, p, k) AS (VALUES {phrases}), templates(t, label, w, o) AS (VALUES {templates}),
+places AS (SELECT doc_id, label, i - 1 AS i FROM (SELECT doc_id, w, label, p, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, phrases WHERE len(w) >= k)
+           WHERE w[i] = string_split(p, ' ')[1] AND array_to_string(w[i:i + k - 1], ' ') = p),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b FROM places GROUP BY doc_id),
+lines AS (SELECT doc_id, list_distinct({words.format("line")}) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+held AS (SELECT doc_id, label, len(list_intersect(l.w, t.w)) / len(t.w) AS share FROM lines l, templates t WHERE len(list_intersect(l.w, t.w)) >= t.o),
+labels AS (SELECT DISTINCT doc_id, label FROM places UNION SELECT DISTINCT doc_id, label FROM held)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS first_word, base.b AS last_word,
+       coalesce((SELECT string_agg(label, ',' ORDER BY label) FROM (SELECT DISTINCT label FROM places p WHERE p.doc_id = d.doc_id)), '') AS base_labels,
+       coalesce((SELECT string_agg(label, ',' ORDER BY label) FROM labels l WHERE l.doc_id = d.doc_id), '') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce((SELECT max(share) FROM held h WHERE h.doc_id = d.doc_id), 0.0) END AS score
+FROM d LEFT JOIN base USING (doc_id)"""
+
+
+@_query("op3_licenses", _licenses_sql())
+def op3_licenses(table):
+    found = licenses.labelled(table("documents"), "doc_id", "text")
+    return found.withColumns({c: F.concat_ws(",", c) for c in ("base_labels", "labels")})
+
+
 @_query("op4_quality")
 def op4_quality(table):
     rows = quality.judged(table("documents"), "doc_id", "text", "lang", "source")

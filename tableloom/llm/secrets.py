@@ -177,8 +177,8 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
 
     def placed(parts: Column) -> Column:
         lengths = F.zip_with(parts["gaps"], parts["whole"], lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("long"))
-        ends = running_sums(lengths)
-        found = F.zip_with(F.slice(ends, F.lit(1), F.size(parts["whole"])), F.arrays_zip(parts["whole"], parts["held"]), lambda e, m: F.struct(
+        ends = F.slice(bind(lengths, running_sums), F.lit(1), F.size(parts["whole"]))
+        found = F.zip_with(ends, F.arrays_zip(parts["whole"], parts["held"]), lambda e, m: F.struct(
             (e - F.length(m["whole"])).alias("start"), F.lit(rank).alias("rank"), e.alias("end"), F.lit(rule.kind).alias("kind"), F.length(m["held"]).alias("size")))
         return F.transform(F.filter(found, lambda s: s["size"] >= rule.least), lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
