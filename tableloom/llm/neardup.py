@@ -331,7 +331,7 @@ def _rooted(docs: DataFrame, key: str, text: str, rule: Rule) -> DataFrame:
     wanted = stored(classes.join(family, "node").select("node", "team", "n", "regs", F.col("head.row_key").alias("row_key")), "families")
     # Full sets of the families' classes, from one row of each.
     texts = docs.select(_row_key(key, text).alias("row_key"), F.col(text).alias("text")).join(
-        wanted.select("row_key").distinct(), "row_key", "left_semi")
+        wanted.select("row_key").distinct().hint("merge"), "row_key", "left_semi")  # grows with the corpus: never broadcast
     made = F.arrow_udf(_set_column(rule.width), "node binary, set binary")(F.coalesce(F.col("text"), F.lit("")))
     sets = stored(texts.select(made.alias("s")).select("s.*"), "sets").groupBy("node").agg(F.max("set").alias("set"))
     linked = components(_compared(wanted.join(sets, "node"), rule, confirm=True))
