@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tableloom.llm import decontam, language, neardup
+from tableloom.llm import decontam, language, neardup, packing, pii
 from tableloom.llm.common import stored
+from tableloom.llm.queries import vocabulary
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +28,27 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontam.clean(docs, "doc_id", "text", bench, "item_id", "text")
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by the name of its kind."""
+    tagger = pii.train(pii.training_sample(docs, "doc_id", "text"))
+    found = docs.withColumn("__found", pii.spans(F.col("text"), tagger))
+    clean = found.withColumn("text", pii.masked(F.col("text"), F.col("__found")))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their ids and their place in sequences of 2048 tokens."""
+    cut = packing.pieces(docs, "doc_id", "text", vocabulary("word_bpe_49k.json"), end=1)
+    placed = packing.packed(cut)
+    return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
+
+
 STAGES = [
     ("language", in_known_language),
     ("near-duplicates", without_near_duplicates),
     ("benchmark", without_benchmark),
+    ("personal data", without_personal_data),
+    ("packing", packed_sequences),
 ]
 
 #: Learned models and tokenizers take part, which SQL can't express.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import decontam, language, licenses, neardup, packing, quality, secrets
+from tableloom.llm import decontam, language, licenses, neardup, packing, pages, pii, quality, secrets, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,6 +108,12 @@ _SHINGLES = r"""
                                             '[^\x20\x09-\x0D]+') AS w FROM documents)"""
 
 
+@_query("op5_pages")
+def op5_pages(table):
+    found = pages.extracted(table("pages"), "page_id", "url", "html")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @_query("op6_near_duplicates", rf"""
 WITH RECURSIVE sets AS ({_SHINGLES}),
 classes AS (SELECT min(doc_id) AS id, s, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
@@ -140,6 +146,22 @@ def op7_packing(table):
     return packing.packed(narrow).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@_query("op8_personal_data")
+def op8_personal_data(table):
+    docs = table("documents")
+    tagger = pii.train(pii.training_sample(docs, "doc_id", "text"))
+    found = docs.select("doc_id", pii.spans(F.col("text"), tagger).alias("s"))
+    base = F.filter("s", lambda x: x["base"])
+    of = lambda kind: F.size(F.filter("s", lambda x: x["base"] & (x["kind"] == kind))).cast("long")
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("s")).alias("spans"))
+
+
+@_query("op9_token_files")
+def op9_token_files(table):
+    segments = tokenfiles.write(table("documents"), "doc_id", "text", vocabulary("byte_bpe_50k.json"), end=0)
+    return tokenfiles.read(segments).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
