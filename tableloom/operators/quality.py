@@ -52,13 +52,20 @@ def is_type(column: str, kind: str, severity: str = "error") -> Rule:
 
 
 def unique(column: str, order: str, severity: str = "error") -> Rule:
-    """Every occurrence after the first by ``order`` fails; NULL counts as a value."""
-    first = f"__first_{column}"
+    """Every occurrence after the first by ``order`` fails; NULL counts as a value, and rows without an order come last.
+
+    Of rows with the same value and order one passes, the first by a hash of the
+    whole row, so exact copies fail but for one.
+    """
+    first, copy = f"__first_{column}", f"__copy_{column}"
+    place = F.struct(F.col(order).isNull(), F.col(order))
 
     def prepare(df: DataFrame) -> DataFrame:
-        return join_null_safe(df, df.groupBy(column).agg(F.min(order).alias(first)), [column])
+        copies = Window.partitionBy(column, order).orderBy(F.xxhash64(*df.columns))
+        numbered = df.withColumn(copy, F.row_number().over(copies))
+        return join_null_safe(numbered, df.groupBy(column).agg(F.min(place).alias(first)), [column])
 
-    return Rule(f"{column}_unique", column, F.col(order) == F.col(first), severity, prepare)
+    return Rule(f"{column}_unique", column, (place == F.col(first)) & (F.col(copy) == 1), severity, prepare)
 
 
 def in_reference(column: str, reference: DataFrame, ref_column: str, severity: str = "error") -> Rule:
@@ -77,8 +84,9 @@ def flagged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     prepared = df
     for rule in rules:
         prepared = rule.prepare(prepared) if rule.prepare else prepared
-    failed = F.array_compact(F.array(*[F.when(~r.passes, F.lit(r.name)) for r in rules]))
-    serious = [r.passes for r in rules if r.severity == "error"]
+    passed = {r.name: F.coalesce(r.passes, F.lit(False)) for r in rules}  # what can't be told fails
+    failed = F.array_compact(F.array(*[F.when(~passed[r.name], F.lit(r.name)) for r in rules]))
+    serious = [passed[r.name] for r in rules if r.severity == "error"]
     valid = F.lit(True)
     for passes in serious:
         valid = valid & passes

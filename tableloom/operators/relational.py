@@ -11,14 +11,6 @@ from pyspark.sql import functions as F
 from tableloom.functions.scalar import bind
 from tableloom.operators.ordered import join_null_safe, numbered
 
-BROADCAST_ROWS = 100_000
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when the table has at most ``rows`` rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def join(
     left: DataFrame,
     right: DataFrame,
@@ -26,16 +18,14 @@ def join(
     how: str = "inner",
     hint: str | None = None,
     null_safe: bool = False,
-    max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Equi-join on same-named columns.
 
-    ``hint="broadcast"`` is honoured only after counting the right side up to
-    a bound; a larger one is left to Spark's own choice of a shuffle join.
+    ``hint`` names Spark's join strategy for the right side. Ask for
+    ``"broadcast"`` only where the side has a bound of its own, such as a table
+    of nations; without a hint Spark decides by size in bytes while it runs.
     """
-    if hint == "broadcast":
-        right = F.broadcast(right) if is_small(right, max_broadcast_rows) else right
-    elif hint is not None:
+    if hint is not None:
         right = right.hint(hint)
     if null_safe:
         return join_null_safe(left, right, on, how)
@@ -48,41 +38,27 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -
     return df.filter(F.col(column).isNotNull()).join(ref, F.col(column) == F.col("__pk"), "left_anti")
 
 
-def first_pairs(
-    df: DataFrame, group: str, unique: str, k: int, show: Sequence[str] = ()
-) -> DataFrame:
-    """The first ``k`` pairs of each group in (unique1, unique2) order, unique1 < unique2.
+def pairs_within(df: DataFrame, group: str, unique: str, show: Sequence[str] = ()) -> DataFrame:
+    """All pairs of rows of one group, unique1 < unique2; NULL groups and numbers pair with nothing.
 
-    Those pairs can only involve the first ``k + 1`` rows of a group, so the
-    self-join runs on that many rows per group and never builds all pairs.
+    Meant for groups of bounded size, such as the lines of an order: the result
+    has as many rows as all groups have pairs.
     """
-    order = Window.partitionBy(group).orderBy(unique)
-    lead = (
-        df.filter(F.col(group).isNotNull()).select(group, unique, *show)
-        .withColumn("__rn", F.row_number().over(order)).filter(F.col("__rn") <= k + 1).drop("__rn")
-    )
-    left = lead.select(group, *[F.col(c).alias(f"{c}_1") for c in [unique, *show]])
-    right = lead.select(group, *[F.col(c).alias(f"{c}_2") for c in [unique, *show]])
-    pairs = left.join(right, group).filter(F.col(f"{unique}_1") < F.col(f"{unique}_2"))
-    place = Window.partitionBy(group).orderBy(f"{unique}_1", f"{unique}_2")
-    return pairs.withColumn("__rn", F.row_number().over(place)).filter(F.col("__rn") <= k).drop("__rn")
+    left = df.select(group, *[F.col(c).alias(f"{c}_1") for c in [unique, *show]])
+    right = df.select(group, *[F.col(c).alias(f"{c}_2") for c in [unique, *show]])
+    return left.join(right, group).filter(F.col(f"{unique}_1") < F.col(f"{unique}_2"))
 
 
-def first_matches(
-    people: DataFrame, offers: DataFrame, person: str, offer: str, have: str, need: str, k: int
-) -> DataFrame:
-    """The first ``k`` (person, offer) rows with ``have >= need``, in that order.
+def in_band(df: DataFrame, value: str, bands: DataFrame, width: float) -> DataFrame:
+    """Each row with the band ``low <= value < low + width`` that holds it; rows outside all bands are left out.
 
-    Only the first ``k`` people who meet the lowest need can take part, so
-    ``k`` rows are compared with the offers instead of every person.
+    Bands start at multiples of ``width`` and thus don't overlap, so the range
+    join is an equi-join on the band's number and keeps at most one match a row.
+    ``bands`` has one row per band, with its start as ``low``.
     """
-    lowest = offers.agg(F.min(need)).scalar()
-    lead = people.withColumn("__low", lowest).filter(F.col(have) >= F.col("__low")).drop("__low")
-    lead = lead.orderBy(person).limit(k)
-    return (
-        offers.join(F.broadcast(lead), F.col(have) >= F.col(need))
-        .orderBy(person, offer).limit(k)
-    )
+    number = lambda c: F.floor(F.col(c) / F.lit(width))
+    numbered_bands = bands.withColumn("__band", number("low"))
+    return df.withColumn("__band", number(value)).join(numbered_bands, "__band").drop("__band")
 
 
 def cooccurrence(items: DataFrame, item_array: str, k: int | None = None) -> DataFrame:

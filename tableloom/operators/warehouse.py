@@ -48,11 +48,12 @@ def scd2_open(df: DataFrame, effective: Column) -> DataFrame:
     })
 
 
-def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, as_of: Column) -> DataFrame:
+def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, as_of: Column, surrogate: str | None = None) -> DataFrame:
     """Close changed current rows on ``as_of`` and open a new row for changed and new keys.
 
     ``updates`` has one row per key with the key and all tracked columns;
-    rows without a change leave the dimension as it is.
+    rows without a change leave the dimension as it is. Opened rows get
+    ``surrogate`` numbers above the largest one so far, in the order of ``key``.
     """
     tracked = [c for c in updates.columns if c != key]
     day = as_of.cast("date")
@@ -69,6 +70,9 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, as_of: Column) -> D
         }).select(*dim.columns)
     )
     opened = scd2_open(compared.select(key, *[F.col(f"__new.{c}").alias(c) for c in tracked]), as_of)
+    if surrogate is not None:
+        above = F.coalesce(dim.agg(F.max(surrogate)).scalar(), F.lit(0))
+        opened = with_key(opened, [key], surrogate).withColumn(surrogate, (F.col(surrogate) + above).cast(dim.schema[surrogate].dataType))
     return kept.unionByName(opened, allowMissingColumns=True)
 
 

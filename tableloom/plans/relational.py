@@ -199,22 +199,25 @@ def _(t):
 
 
 @query("j6_self_pairs", """
-SELECT c_nationkey, c_custkey_1, c_custkey_2, c_acctbal_1, c_acctbal_2 FROM (
- SELECT a.c_nationkey, a.c_custkey AS c_custkey_1, b.c_custkey AS c_custkey_2, a.c_acctbal AS c_acctbal_1,
-  b.c_acctbal AS c_acctbal_2, row_number() OVER (PARTITION BY a.c_nationkey ORDER BY a.c_custkey, b.c_custkey) AS rn
- FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey) WHERE rn <= 10""")
+SELECT a.l_orderkey, a.l_linenumber AS l_linenumber_1, b.l_linenumber AS l_linenumber_2, a.l_partkey AS l_partkey_1, b.l_partkey AS l_partkey_2
+FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber""")
 def _(t):
-    return rel.first_pairs(t.customer, "c_nationkey", "c_custkey", 10, ["c_acctbal"])
+    return rel.pairs_within(t.lineitem, "l_orderkey", "l_linenumber", ["l_partkey"])
 
 
-@query("j7_theta", """
-SELECT c_custkey, s_suppkey, CASE WHEN c_acctbal BETWEEN s_acctbal - 1000 AND s_acctbal + 1000
-  THEN 'Salary Match' ELSE 'Salary Mismatch' END AS fit
-FROM customer, supplier WHERE c_nationkey >= s_nationkey ORDER BY c_custkey, s_suppkey LIMIT 200""")
+# Suppliers' offers by balance, one band per thousand.
+BANDS = "(SELECT floor(s_acctbal / 1000) * 1000 AS low, MIN(s_acctbal) AS offer_min, MAX(s_acctbal) AS offer_max FROM supplier GROUP BY 1)"
+
+
+@query("j7_theta", f"""
+SELECT c_custkey, low, CASE WHEN c_acctbal BETWEEN offer_min AND offer_max THEN 'Salary Match' ELSE 'Salary Mismatch' END AS fit
+FROM customer JOIN {BANDS} ON c_acctbal >= low AND c_acctbal < low + 1000""")
 def _(t):
-    fit = F.when(F.col("c_acctbal").between(F.col("s_acctbal") - 1000, F.col("s_acctbal") + 1000), "Salary Match")
-    rows = rel.first_matches(t.customer, t.supplier, "c_custkey", "s_suppkey", "c_nationkey", "s_nationkey", 200)
-    return rows.select("c_custkey", "s_suppkey", fit.otherwise("Salary Mismatch").alias("fit"))
+    low = (F.floor(F.col("s_acctbal") / 1000) * 1000).cast("double").alias("low")
+    bands = t.supplier.groupBy(low).agg(F.min("s_acctbal").alias("offer_min"), F.max("s_acctbal").alias("offer_max"))
+    # The labels.
+    fit = F.when(F.col("c_acctbal").between(F.col("offer_min"), F.col("offer_max")), "Salary Match").otherwise("Salary Mismatch")
+    return rel.in_band(t.customer, "c_acctbal", bands, 1000.0).select("c_custkey", "low", fit.alias("fit"))
 
 
 @query("j8_left_condition", """
@@ -233,8 +236,10 @@ JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name"""
 def _supplied(t, hint):
     lines = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), "l_quantity")
     joined = rel.join(lines, t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey")), ["s_suppkey"], hint=hint)
-    return rel.join(joined, t.nation, ["n_nationkey"], hint=hint).groupBy("n_name") \
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"))
+    # One row per nation is left before nations, a table of fixed size, are named.
+    summed = joined.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    return rel.join(summed, t.nation, ["n_nationkey"], hint=hint).groupBy("n_name") \
+        .agg(F.sum("n").alias("n"), F.round(F.sum("q"), 2).alias("qty"))
 
 
 @query("j9_broadcast", SUPPLIED)
@@ -254,7 +259,6 @@ WHERE fk IS NOT NULL AND fk NOT IN (SELECT s_suppkey FROM supplier)""")
 def _(t):
     fk = F.when(F.col("l_orderkey") % 11 == 0, None).when(F.col("l_orderkey") % 7 == 0, F.col("l_suppkey") + 1000000)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", fk.otherwise(F.col("l_suppkey")).alias("fk"))
-    lines = lines.withColumn("fk", F.when(F.col("l_orderkey") % 11 == 0, None).otherwise(F.col("fk")))
     return rel.orphans(lines, "fk", t.supplier, "s_suppkey")
 
 

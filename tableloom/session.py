@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -21,20 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session (tests, laptops) gets a folder of its own; on a
-    cluster a missing setting is an error rather than a machine-local folder.
+    A session on one machine's threads that has no such setting gets one, in a
+    folder that goes when the process ends; elsewhere a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_root()
+    return _own_root()
 
 
 @cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tableloom-")
+def _own_root() -> str:
+    root = tempfile.mkdtemp(prefix="tableloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -51,13 +55,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def widen(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table that is read by fewer tasks than there are cores.
-
-    For work that is heavy per row on a table of few files. A large table has
-    more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -1,14 +1,13 @@
-"""Sources, star schema and versioned tables."""
+"""Sources, star schema and changes of tables."""
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableloom.operators import relational as rel, warehouse as wh
-from tableloom.operators.versioned import VersionedTable
+from tableloom.operators import changes as ch, relational as rel, warehouse as wh
 from tableloom.session import scratch
 from tableloom.sources import files as src
 
@@ -18,78 +17,53 @@ def rows(df, *cols):
     return sorted(found, key=lambda r: [(v is None, 0 if v is None else v) for v in r])
 
 
-@pytest.fixture
-def table(spark):
-    t = VersionedTable(spark, scratch(spark, "table"))
-    t.write(spark.range(100).select("id", (F.col("id") % 4).alias("part"), (F.col("id") * 10).alias("score")).repartition(5), partition_by=["part"])
-    return t
+def orders(spark):
+    return spark.range(100).select("id", (F.col("id") % 4).alias("part"), (F.col("id") * 10).alias("score"))
 
 
-def test_versions_do_not_change(spark, table):
-    before = rows(table.read(0), "*")
-    table.write(spark.createDataFrame([(200, 1, 5)], "id long, part long, score long"))
-    table.write(spark.createDataFrame([(1, 1, 1)], "id long, part long, score long"), "overwrite")
-    assert rows(table.read(0), "*") == before
-    assert table.read(1).count() == 101 and rows(table.read(), "*") == [(1, 1, 1)]
-    stamps = {r["version"]: r["timestamp"] for r in table.history().collect()}
-    assert table.read(timestamp=stamps[1]).count() == 101
-    assert [r["rows"] for r in table.history().orderBy("version").collect()] == [100, 1, 1]
-    with pytest.raises(ValueError):
-        table.read(9)
-    with pytest.raises(ValueError):
-        table.write(spark.range(1))
-
-
-def test_merge_rewrites_only_touched_files(spark, table):
-    files = set(table._files(0))
-    source = spark.createDataFrame([(4, 0, 999), (500, 0, 7)], "id long, part long, score long")
-    assert table.merge(source, "id") == {"version": 1, "rows_updated": 1, "rows_inserted": 1}
-    assert len(files & set(table._files(1))) == len(files) - 1
-    got = {r["id"]: r["score"] for r in table.read().collect()}
-    assert len(got) == 101 and got[4] == 999 and got[500] == 7 and got[5] == 50
-    after = rows(table.read(), "*")
-    assert table.merge(source, "id")["rows_updated"] == 2
-    assert rows(table.read(), "*") == after
-    with pytest.raises(ValueError):
-        table.merge(source.union(source), "id")
+def test_merge_updates_and_inserts(spark):
+    source = spark.createDataFrame([(4, 0, 999), (500, 0, 7), (None, 1, 1)], "id long, part long, score long")
+    got = ch.merged(orders(spark), source, "id")
+    assert {r["outcome"]: r["count"] for r in got.groupBy("outcome").count().collect()} == {"kept": 99, "updated": 1, "inserted": 2}
+    byid = {r["id"]: (r["part"], r["score"]) for r in got.collect()}
+    assert byid[4] == (0, 999) and byid[500] == (0, 7) and byid[5] == (1, 50) and byid[None] == (1, 1)
+    again = ch.merged(got.drop("outcome").filter("id IS NOT NULL"), source.filter("id IS NOT NULL"), "id").drop("outcome")
+    assert rows(again, "*") == rows(got.drop("outcome").filter("id IS NOT NULL"), "*")
 
 
-def test_partition_values_with_odd_characters(spark):
-    t = VersionedTable(spark, scratch(spark, "odd"))
-    t.write(spark.createDataFrame([(1, "a b:c%d"), (2, "x=y")], "id int, p string"), partition_by=["p"])
-    t.merge(spark.createDataFrame([(1, "a b:c%d"), (3, "é#")], "id int, p string"), "id")
-    assert rows(t.read(), "*") == [(1, "a b:c%d"), (2, "x=y"), (3, "é#")]
+def test_merge_of_chosen_columns(spark):
+    source = spark.createDataFrame([(4, 999), (500, 7)], "id long, score long")
+    byid = {r["id"]: (r["part"], r["score"]) for r in ch.merged(orders(spark), source, "id", ["score"]).collect()}
+    assert byid[4] == (0, 999) and byid[500] == (None, 7)
 
 
-def test_merge_chosen_columns(spark, table):
-    source = spark.createDataFrame([(4, 999), (500, 7)], "id long, score long")
-    table.merge(source, "id", ["score"])
-    got = {r["id"]: (r["part"], r["score"]) for r in table.read().collect()}
-    assert got[4] == (0, 999) and got[500] == (None, 7)
-
-
-def test_evolve_and_changes(spark, table):
-    table.evolve(spark.createDataFrame([(300, "x")], "id long, url string"))
-    assert table.read().columns == ["id", "part", "score", "url"]
-    assert rows(table.read().filter("id >= 299"), "*") == [(300, None, None, "x")]
-    assert table.read().filter("url IS NULL").count() == 100
-    table.merge(spark.createDataFrame([(1, 1, -1, "y"), (301, 1, 0, None)], "id long, part long, score long, url string"), "id")
-    changed = {r["id"]: (r["change"], r["score"]) for r in table.changes(0, 2, "id").collect()}
+def test_evolve_and_changes(spark):
+    old = orders(spark)
+    new = ch.evolved(old, spark.createDataFrame([(300, "x")], "id long, url string"))
+    assert new.columns == ["id", "part", "score", "url"]
+    assert rows(new.filter("id >= 299"), "*") == [(300, None, None, "x")]
+    new = ch.merged(new, spark.createDataFrame([(1, 1, -1, "y"), (301, 1, 0, None)], "id long, part long, score long, url string"), "id").drop("outcome")
+    changed = {r["id"]: (r["change"], r["score"]) for r in ch.changes(old, new, "id").collect()}
     assert changed == {300: ("insert", None), 1: ("update", -1), 301: ("insert", 0)}
-    back = {r["id"]: r["change"] for r in table.changes(2, 0, "id").collect()}
+    back = {r["id"]: r["change"] for r in ch.changes(new, old, "id").collect()}
     assert back == {300: "delete", 301: "delete", 1: "update"}
 
 
-def test_optimize_cluster_vacuum(spark, table):
-    before = rows(table.read(), "*")
-    table.optimize()
-    assert rows(table.read(), "*") == before and len(table._files(1)) <= len(table._files(0))
-    table.cluster(["id", "score"], 3)
-    assert rows(table.read(), "*") == before
-    later = datetime.now(timezone.utc) + timedelta(hours=1)
-    assert table.vacuum(later, hours=2).count() == 0
-    stale = {r["path"].rsplit("/", 1)[-1] for r in table.vacuum(later, hours=0).collect()}
-    assert stale == {f.rsplit("/", 1)[-1] for f in [*table._files(0), *table._files(1)]}
+def test_types_must_agree(spark):
+    table = spark.createDataFrame([(1, 2)], "id long, x int")
+    with pytest.raises(ValueError):
+        ch.evolved(table, spark.createDataFrame([(2, "a")], "id long, x string"))
+    assert ch.evolved(table, spark.createDataFrame([(2,)], "id int")).dtypes == table.dtypes
+
+
+def test_clustering_keeps_rows_and_codes_are_not_negative(spark):
+    table = orders(spark)
+    assert rows(ch.clustered(table, ["id", "score"], 3), "*") == rows(table, "*")
+    wide = table.select("id", *[(F.col("id") * (i + 1)).alias(f"c{i}") for i in range(7)])
+    for n in (1, 2, 4, 5, 7):
+        code = ch.z_order(wide, [f"c{i}" for i in range(n)])
+        low, high = wide.select(code.alias("z")).agg(F.min("z"), F.max("z")).first()
+        assert low == 0 and high > 0
 
 
 def test_tolerant_load(spark):
@@ -171,22 +145,28 @@ def test_upsert_last_wins(spark):
     assert rows(wh.upsert(stored, incoming, "k", ["n"]), "*") == [(1, "a"), (2, "d"), (3, "e")]
 
 
-def test_broadcast_needs_a_bounded_side(spark):
+def test_join_strategy_is_named(spark):
     big, small = spark.range(1000).withColumnRenamed("id", "k"), spark.range(10).withColumnRenamed("id", "k")
     plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(rel.join(big, small, ["k"], hint="broadcast", max_broadcast_rows=10))
-    assert "broadcast" not in plan(rel.join(big, small, ["k"], hint="broadcast", max_broadcast_rows=9))
+    assert "broadcast" in plan(rel.join(big, small, ["k"], hint="broadcast"))
+    assert "strategy" not in plan(rel.join(big, small, ["k"]))
     a = spark.createDataFrame([(None, 1), (2, 2)], "k int, x int")
     b = spark.createDataFrame([(None, 5), (2, 6)], "k int, y int")
     assert rel.join(a, b, ["k"]).count() == 1 and rel.join(a, b, ["k"], null_safe=True).count() == 2
 
 
-def test_first_pairs_and_matches(spark):
-    df = spark.createDataFrame([("g", i) for i in (5, 1, 3, 2)] + [("h", 9)], "g string, id int")
-    assert rows(rel.first_pairs(df, "g", "id", 4), "id_1", "id_2") == [(1, 2), (1, 3), (1, 5), (2, 3)]
-    people = spark.createDataFrame([(1, 0), (2, 5), (3, 9)], "p int, have int")
-    offers = spark.createDataFrame([(10, 4), (11, 9)], "o int, need int")
-    assert rows(rel.first_matches(people, offers, "p", "o", "have", "need", 2), "p", "o") == [(2, 10), (3, 10)]
+def test_pairs_and_bands(spark):
+    df = spark.createDataFrame([("g", i) for i in (5, 1, 3)] + [("h", 9), (None, 1), (None, 2)], "g string, id int")
+    assert rows(rel.pairs_within(df, "g", "id"), "id_1", "id_2") == [(1, 3), (1, 5), (3, 5)]
+    people = spark.createDataFrame([(1, -5.0), (2, 10.0), (3, 19.9), (4, 20.0), (5, None)], "p int, have double")
+    bands = spark.createDataFrame([(-10.0, "a"), (10.0, "b")], "low double, name string")
+    assert rows(rel.in_band(people, "have", bands, 10.0), "p", "name") == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_opened_versions_get_new_keys(spark):
+    dim = wh.scd2_open(wh.with_key(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), ["id"], "k"), F.lit("2020-01-01"))
+    new = wh.scd2_merge(dim, spark.createDataFrame([(2, "c"), (1, "a"), (7, "z")], "id long, v string"), "id", F.lit("2021-01-01"), "k")
+    assert rows(new.filter("is_current"), "id", "v", "k") == [(1, "a", 1), (2, "c", 3), (7, "z", 4)]
 
 
 def test_qualified_counts_keep_zero(spark):
