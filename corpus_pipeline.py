@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.llm import decontam, language, neardup, packing, pii
-from tableloom.llm.common import stored
+from tableloom.llm.common import stored, unused
 from tableloom.llm.queries import vocabulary
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the rest goes."""
     models = language.train(language.training_sample(docs, "doc_id", "text", "lang"))
-    found = language.with_language(docs, models, "text", "__found")
-    return found.filter(language.accepted("__found", "text")).drop("__found")
+    name = unused(docs, "__found")
+    found = language.with_language(docs, models, "text", name)
+    return found.filter(language.accepted(name, "text")).drop(name)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +32,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by the name of its kind."""
     tagger = pii.train(pii.training_sample(docs, "doc_id", "text"))
-    found = docs.withColumn("__found", pii.spans(F.col("text"), tagger))
-    clean = found.withColumn("text", pii.masked(F.col("text"), F.col("__found")))
+    name = unused(docs, "__found")
+    found = docs.withColumn(name, pii.spans(F.col("text"), tagger))
+    clean = found.withColumn("text", pii.masked(F.col("text"), F.col(name)))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.llm.common import ALNUM, LOWER, hashes, mixed, pieces, runs, stored, text_bytes
+from tableloom.llm.common import ALNUM, LOWER, hashes, mixed, pieces, runs, stored, text_bytes, unused
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
@@ -199,6 +199,7 @@ def matches(docs: DataFrame, key: str, text: str, bench: DataFrame, item: str, i
 
 def clean(docs: DataFrame, key: str, text: str, bench: DataFrame, item: str, item_text: str) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no window of the benchmark."""
-    hit = matches(docs, key, text, bench, item, item_text).filter("n_hit > 0").select(F.col("key").alias("__key"), F.col("print").alias("__print")).distinct()
-    same = docs[key].eqNullSafe(F.col("__key")) & (F.xxhash64(docs[text]) == F.col("__print"))
+    named, printed = unused(docs, "__key"), unused(docs, "__print")
+    hit = matches(docs, key, text, bench, item, item_text).filter("n_hit > 0").select(F.col("key").alias(named), F.col("print").alias(printed)).distinct()
+    same = docs[key].eqNullSafe(F.col(named)) & (F.xxhash64(docs[text]) == F.col(printed))
     return docs.join(hit, same, "left_anti")

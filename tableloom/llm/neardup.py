@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.llm.common import LOWER, SPACED, hashes, mixed, pieces, runs, shingles, stored, text_bytes
+from tableloom.llm.common import LOWER, SPACED, hashes, mixed, pieces, runs, shingles, stored, text_bytes, unused
 from tableloom.llm.graph import components
 
 REGISTERS, MANTISSA = 256, 10
@@ -347,6 +347,6 @@ def deduplicated(docs: DataFrame, key: str, text: str, rule: Rule = LOOSE) -> Da
     Rows of one key are one document, whose rows beyond the first met go as well.
     Rows without shingles stay, one for each key.
     """
-    name = "__row_key"
+    name = unused(docs, "__row_key")
     kept = _rooted(docs, key, text, rule).filter("kept").select(F.col("row_key").alias(name)).distinct()
     return docs.withColumn(name, _row_key(key, text)).join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
