@@ -81,10 +81,13 @@ def standardise(df: DataFrame) -> DataFrame:
 def etl(raw: DataFrame) -> DataFrame:
     """Clean before loading: dedupe, fill, cast, standardise, level, filter, categorise.
 
-    Rows without an ``@`` in the e-mail or with a bad or negative experience
-    are left out.
+    Only fields that are NULL or empty, as a file's empty field is read, are
+    filled. Rows without an ``@`` in the e-mail, such as one of blanks, or with a
+    bad or negative experience are left out.
     """
-    filled = fill(raw.distinct(), ["email", "phone", "experience_years"], {"email": "unknown@example.com"})
+    defaults = {**DEFAULTS, "email": "unknown@example.com"}
+    filled = raw.distinct().withColumns({
+        c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(defaults[c])) for c in ("email", "phone", "experience_years")})
     typed = filled.withColumns({c: fn.to_number(F.col(c)) for c in ("experience_years", "salary")})
     kept = typed.transform(standardise).filter(F.contains("email", F.lit("@")) & (F.col("experience_years") >= 0))
     category = bucket(F.col("salary"), [50000, 100000, 150000], ["Low", "Medium", "High", "Premium"], right=True)

@@ -37,13 +37,22 @@ def _slices(df: DataFrame, slices: int | None) -> int:
 
 def _descending(df: DataFrame, name: str) -> list[Column]:
     kind, col = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.NumericType):
+    if isinstance(kind, T.BooleanType):
+        return [col.isNull(), ~col]
+    if isinstance(kind, T.IntegralType):  # has no smallest value whose negative overflows
+        return [col.isNull(), F.bitwise_not(col)]
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return [col.isNull(), ~F.isnan(col), -col]
+    if isinstance(kind, T.DecimalType):
         return [col.isNull(), -col]
     if isinstance(kind, T.DateType):
-        return [col.isNull(), -F.unix_date(col)]
+        return [col.isNull(), F.bitwise_not(F.unix_date(col))]
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return [col.isNull(), -F.unix_micros(col.cast("timestamp"))]
-    raise ValueError(f"descending order needs a number, date or time: {name}")
+        return [col.isNull(), F.bitwise_not(F.unix_micros(col.cast("timestamp")))]
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        # Bytes as hexadecimal digits, each turned round; the end sorts after all digits, so a longer text comes first.
+        return [col.isNull(), F.concat(F.translate(F.hex(col), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))]
+    raise ValueError(f"no descending order for {kind.simpleString()}: {name}")
 
 
 def sort_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Column:

@@ -87,8 +87,9 @@ def education(text: Column) -> Column:
 
 
 def years(text: Column) -> Column:
-    """First "N years"; 0 when there is none."""
-    return F.coalesce(F.regexp_extract(text, _ci(YEARS), 1).try_cast("long"), F.lit(0))
+    """First "N years"; 0 when there is none. Numbers beyond 18 digits count as the largest one of 18."""
+    digits = F.ltrim(F.regexp_extract(text, _ci(YEARS), 1), F.lit("0"))
+    return F.when(F.length(digits) > 18, F.lit(10**18 - 1)).otherwise(F.coalesce(digits.try_cast("long"), F.lit(0)))
 
 
 def signals(text: Column) -> dict[str, Column]:
@@ -200,12 +201,16 @@ def words(text: Column) -> Column:
     return F.array_distinct(kept)
 
 
-def skill_match(text_words: Column, job_words: Column, k: int = 10) -> tuple[Column, Column]:
-    """Words of the job that the text has and lacks, sorted, the first ``k`` of each."""
-    return tuple(
-        F.slice(F.array_sort(found), 1, k)
-        for found in (F.array_intersect(text_words, job_words), F.array_except(job_words, text_words))
-    )
+def skill_match(text_words: Column, job_words: Column, k: int = 10, given: Column | None = None) -> tuple[Column, Column]:
+    """Words of the job that the text has and lacks, sorted, the first ``k`` of each.
+
+    Both are empty where ``given`` is not true: without a text and a job there is nothing to compare.
+    """
+    found = (F.array_intersect(text_words, job_words), F.array_except(job_words, text_words))
+    shown = tuple(F.slice(F.array_sort(f), 1, k) for f in found)
+    if given is None:
+        return shown
+    return tuple(F.when(given, s).otherwise(F.array().cast("array<string>")) for s in shown)
 
 
 def overlap(a: Column, b: Column) -> Column:

@@ -222,9 +222,9 @@ CATEGORY_RIGHT = "CASE WHEN salary <= 0 OR salary IS NULL THEN NULL WHEN salary
 ETL_SQL = f"""
 SELECT id, name, email, phone, experience_years, salary, CASE WHEN experience_years >= 7 THEN 'Senior' WHEN experience_years >= 3 THEN 'Mid' ELSE 'Junior' END AS experience_level,
  {CATEGORY_RIGHT} AS salary_category FROM (
- SELECT DISTINCT id, trim({TITLE_SQL.format('name')}) AS name, trim(lower(CASE WHEN {MISSING.format('email')} THEN 'unknown@example.com' ELSE email END)) AS email,
-  CASE WHEN {MISSING.format('phone')} THEN '000-000-0000' ELSE phone END AS phone,
-  TRY_CAST(CASE WHEN {MISSING.format('experience_years')} THEN '0' ELSE experience_years END AS DOUBLE) AS experience_years, TRY_CAST(salary AS DOUBLE) AS salary FROM {RAW_TWICE_SQL})
+ SELECT DISTINCT id, trim({TITLE_SQL.format('name')}) AS name, trim(lower(COALESCE(NULLIF(email, ''), 'unknown@example.com'))) AS email,
+  COALESCE(NULLIF(phone, ''), '000-000-0000') AS phone,
+  TRY_CAST(COALESCE(NULLIF(experience_years, ''), '0') AS DOUBLE) AS experience_years, TRY_CAST(salary AS DOUBLE) AS salary FROM {RAW_TWICE_SQL})
 WHERE contains(email, '@') AND experience_years >= 0"""
 
 
@@ -303,9 +303,16 @@ def _(t):
     return raw(t).select("id", dq.completeness("email").passes.alias("ok"))
 
 
-@query("q2_unique", f"SELECT id, row_number() OVER (PARTITION BY phone ORDER BY id) = 1 AS ok FROM {RAW_SQL}")
+# Some rows come twice, and some copies lack the number that orders them.
+COPIED_SQL = f"(SELECT id, phone FROM {RAW_SQL} UNION ALL SELECT id, phone FROM {RAW_SQL} WHERE id % 7 <> 3 UNION ALL SELECT NULL, phone || '!' FROM {RAW_SQL} WHERE id % 11 = 0)"
+
+
+@query("q2_unique", f"SELECT id, phone, row_number() OVER (PARTITION BY phone ORDER BY id NULLS LAST) = 1 AS ok FROM {COPIED_SQL}")
 def _(t):
-    return dq.flagged(raw(t), [dq.unique("phone", "id")]).select("id", F.col("valid").alias("ok"))
+    r = raw(t).select("id", "phone")
+    copied = r.unionByName(r.filter("id % 7 <> 3")).unionByName(r.filter("id % 11 = 0").select(
+        F.lit(None).cast("long").alias("id"), F.concat("phone", F.lit("!")).alias("phone")))
+    return dq.flagged(copied, [dq.unique("phone", "id")]).select("id", "phone", F.col("valid").alias("ok"))
 
 
 RANGE_SQL = "(experience_years IS NULL OR COALESCE(TRY_CAST(experience_years AS DOUBLE) BETWEEN 0 AND 15, FALSE))"

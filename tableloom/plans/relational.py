@@ -206,12 +206,12 @@ def _(t):
 
 
 # Suppliers' offers by balance, one band per thousand.
-BANDS = "(SELECT floor(s_acctbal / 1000) * 1000 AS low, MIN(s_acctbal) AS offer_min, MAX(s_acctbal) AS offer_max FROM supplier GROUP BY 1)"
+OFFER_BANDS = "(SELECT floor(s_acctbal / 1000) * 1000 AS low, MIN(s_acctbal) AS offer_min, MAX(s_acctbal) AS offer_max FROM supplier GROUP BY 1)"
 
 
 @query("j7_theta", f"""
 SELECT c_custkey, low, CASE WHEN c_acctbal BETWEEN offer_min AND offer_max THEN 'Salary Match' ELSE 'Salary Mismatch' END AS fit
-FROM customer JOIN {BANDS} ON c_acctbal >= low AND c_acctbal < low + 1000""")
+FROM customer JOIN {OFFER_BANDS} ON c_acctbal >= low AND c_acctbal < low + 1000""")
 def _(t):
     low = (F.floor(F.col("s_acctbal") / 1000) * 1000).cast("double").alias("low")
     bands = t.supplier.groupBy(low).agg(F.min("s_acctbal").alias("offer_min"), F.max("s_acctbal").alias("offer_max"))

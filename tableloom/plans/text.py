@@ -159,16 +159,18 @@ def _(t):
     return d.select("doc_id", F.size("w").alias("n"), F.md5(joined(F.array_sort("w"), " ")).alias("words"))
 
 
+# Every 17th document comes as an empty text.
 @query("x13_skill_match", f"""
-SELECT doc_id, array_to_string(list_slice(list_sort(list_filter(jw, lambda w: list_contains(dw, w))), 1, 10), '|') AS matched,
- array_to_string(list_slice(list_sort(list_filter(jw, lambda w: NOT list_contains(dw, w))), 1, 10), '|') AS missing
+SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN '' ELSE array_to_string(list_slice(list_sort(list_filter(jw, lambda w: list_contains(dw, w))), 1, 10), '|') END AS matched,
+ CASE WHEN doc_id % 17 = 0 THEN '' ELSE array_to_string(list_slice(list_sort(list_filter(jw, lambda w: NOT list_contains(dw, w))), 1, 10), '|') END AS missing
 FROM (SELECT doc_id, {WORDS_SQL.format('text')} AS dw, {WORDS_SQL.format('job')} AS jw FROM {PAIR_SQL})""")
 def _(t):
     # Job words are prepared once per job text, before the join.
     jobs = t.benchmark.select("item_id", tx.words(F.col("text")).alias("jw"))
     n = t.benchmark.agg(F.count(F.lit(1))).scalar()
-    docs = resumes(t).select("doc_id", F.pmod(F.col("doc_id"), n).alias("item_id"), tx.words(F.col("text")).alias("dw"))
-    matched, missing = tx.skill_match(F.col("dw"), F.col("jw"))
+    given = resumes(t).withColumn("text", F.when(F.col("doc_id") % 17 == 0, "").otherwise(F.col("text")))
+    docs = given.select("doc_id", F.pmod(F.col("doc_id"), n).alias("item_id"), tx.words(F.col("text")).alias("dw"), (F.col("text") != "").alias("given"))
+    matched, missing = tx.skill_match(F.col("dw"), F.col("jw"), given=F.col("given"))
     return docs.join(jobs, "item_id").select("doc_id", joined(matched).alias("matched"), joined(missing).alias("missing"))
 
 

@@ -145,19 +145,30 @@ def hourly_stats(df: DataFrame, ts: str, user: str, is_error: Column) -> DataFra
 
 
 def keyed_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
-    """Custom keyed state: running count and maximum per key, kept across batches."""
+    """Custom keyed state: running count and maximum per key, kept across batches.
+
+    Rows are folded to one per key before they are shuffled, so a busy key
+    brings a few rows per task to its state. A key with NULL values alone has no
+    maximum.
+    """
     schema = T.StructType([
         stream.schema[key], T.StructField("n", T.LongType()), T.StructField("top", T.DoubleType())])
     state = T.StructType([T.StructField("n", T.LongType()), T.StructField("top", T.DoubleType())])
 
     def update(keys: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        n, top = held.get if held.exists else (0, float("-inf"))
+        n, top = held.get if held.exists else (0, None)
         for batch in batches:
-            n, top = n + len(batch), max(top, float(batch[value].max()))
+            tops = [x for x in (top, *batch["top"]) if x is not None and x == x]
+            n, top = n + int(batch["n"].sum()), max(tops, default=None)
         held.update((n, top))
-        yield pd.DataFrame({key: [keys[0]], "n": [n], "top": [top]})
+        yield pd.DataFrame({key: [keys[0]], "n": [n], "top": pd.array([top], "Float64")})
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            grouped = batch.groupby(key, dropna=False)[value]
+            yield pd.DataFrame({"n": grouped.size(), "top": grouped.max().astype("Float64")}).reset_index()
 
-    return stream.select(key, value).groupBy(key).applyInPandasWithState(
+    return stream.select(key, F.col(value).cast("double").alias(value)).mapInPandas(fold, schema).groupBy(key).applyInPandasWithState(
         update, schema, state, "update", GroupStateTimeout.NoTimeout)
 
 

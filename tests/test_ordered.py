@@ -76,9 +76,15 @@ def test_top_per_group_keeps_ties(skewed, by):
     same(ordered.top_per_group(skewed, ["k"], by, 3, "rk"), plain)
 
 
-def test_descending_text_is_refused(spark):
+def test_descending_values_of_all_kinds(spark):
+    rows = [("a", -(2**63), True, float("nan")), ("ab", 2**63 - 1, False, 1.0), ("", 0, None, float("inf")), ("b", -1, True, -0.5), (None, None, False, None),
+            ("é", 1, True, 2.0), ("z", 2, False, float("-inf")), ("日", 3, None, 0.5)]
+    df = spark.createDataFrame(rows, "s string, n long, f boolean, x double")
+    for order in (["-s"], ["-n"], ["-f", "-s"], ["-x"]):
+        w = Window.orderBy(*[F.desc_nulls_last(c[1:]) for c in order])
+        same(ordered.numbered(df, [], order, "rn", 3), df.withColumn("rn", F.row_number().over(w).cast("long")))
     with pytest.raises(ValueError):
-        ordered.numbered(spark.createDataFrame([("a",)], "s string"), [], ["-s"], "rn")
+        ordered.numbered(spark.createDataFrame([([1],)], "a array<int>"), [], ["-a"], "rn")
 
 
 def test_descending_times(spark):
