@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.llm import decontam, language, neardup, packing, pii
-from tableloom.llm.common import stored, unused
+from tableloom.llm.common import bounded_batches, stored, unused
 from tableloom.llm.queries import vocabulary
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the rest goes."""
+    bounded_batches(spark)
     models = language.train(language.training_sample(docs, "doc_id", "text", "lang"))
     name = unused(docs, "__found")
     found = language.with_language(docs, models, "text", name)
@@ -31,6 +32,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by the name of its kind."""
+    bounded_batches(spark)
     tagger = pii.train(pii.training_sample(docs, "doc_id", "text"))
     name = unused(docs, "__found")
     found = docs.withColumn(name, pii.spans(F.col("text"), tagger))

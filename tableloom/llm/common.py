@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 PIECE = 1 << 18
-#: Rows that a task hands to Python at once while a result is written.
+#: Rows that a task hands to Python at once.
 BATCH_ROWS = 1024
 
 
@@ -36,16 +36,19 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand at most ``BATCH_ROWS`` rows to Python at once in this session: Spark's 10,000 whole texts don't fit small workers."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    if before <= 0 or before > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back: they survive the loss of executors."""
     spark, path = df.sparkSession, shared_path(df.sparkSession, label)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS)
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(name, before)
+    bounded_batches(spark)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.llm import decontam, language, licenses, neardup, packing, pages, pii, quality, secrets, tokenfiles
+from tableloom.llm.common import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,7 +16,11 @@ ORACLE: dict[str, str] = {}
 
 def _query(name: str, sql: str | None = None):
     def register(fn: Callable[[Callable[[str], DataFrame]], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bounded_batches(spark)
+            return fn(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
