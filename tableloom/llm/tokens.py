@@ -4,8 +4,8 @@ A text is cut at its spaces, and a chunk keeps the space before it. No token
 reaches over such a cut: both kinds of tokenizer here begin a new piece at a
 space unless white space stands on both sides of the place, and texts with such
 a place are encoded whole. The ids of a text are thus those of its chunks in
-order. Chunks repeat a lot, so each task remembers the ids of up to
-``REMEMBERED`` chunks and as many pieces; pieces are encoded by the library's
+order. Chunks repeat a lot, so each worker remembers the ids of up to
+``CHUNKS`` chunks and ``PIECES`` pieces; pieces are encoded by the library's
 model. Anything unusual goes to the library's whole encoder.
 """
 
@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-REMEMBERED, CHUNK_CHARS, TEXTS = 600_000, 64, 256
+CHUNKS, PIECES, CHUNK_CHARS, TEXTS = 400_000, 200_000, 64, 256
 #: White space on both sides of a cut.
 _UNSURE = re.compile(r"[^\S ] (?:\s|\Z)|  (?:\s|\Z)")
 #: Fixed value: how byte-level tokenizers cut text into pieces.
@@ -44,14 +44,14 @@ _NAMES = str.maketrans(_byte_names())
 class _Memory(dict):
     """Remembers what ``make`` gives for a key, and starts anew when full."""
 
-    def __init__(self, make, longest: int) -> None:
+    def __init__(self, make, most: int) -> None:
         super().__init__()
-        self.make, self.longest = make, longest
+        self.make, self.most = make, most
 
     def __missing__(self, key: str) -> bytes:
         value = self.make(key)
-        if len(key) <= self.longest:
-            if len(self) >= REMEMBERED:
+        if len(key) <= CHUNK_CHARS:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = value
         return value
@@ -73,8 +73,8 @@ class Encoder:
         cutter = form["pre_tokenizer"]
         self.lower = form["normalizer"] is not None
         self.cut = regex.compile(_PIECES if cutter["type"] == "ByteLevel" else cutter["pretokenizers"][0]["pattern"]["Regex"])
-        self.pieces = _Memory(self._piece, CHUNK_CHARS)
-        self.chunks = _Memory(self._chunk, CHUNK_CHARS)
+        self.pieces = _Memory(self._piece, PIECES)
+        self.chunks = _Memory(self._chunk, CHUNKS)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
