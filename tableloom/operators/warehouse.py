@@ -111,9 +111,19 @@ def star_sales(lines: DataFrame, orders: DataFrame, dim_customer: DataFrame, dim
     return sales_measures(fact, "quantity", "unit_price", "unit_cost", "discount").drop("order_date", "customer_id", "product_id")
 
 
-def _total(column: str) -> Column:
-    """Sum to four places, so that it does not depend on the order of addition."""
-    return F.round(F.sum(column), 4)
+def _cube(df: DataFrame, keys: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """Sums (to four places), counts of sales and of different orders and customers per group.
+
+    An order has one customer, so rows are summed per order, then per customer,
+    and both counts are counts of rows: no distinct count that repeats every row.
+    """
+    kept = lambda: [F.sum(c).alias(c) for c in (*totals, "__n")]
+    rows = df.withColumn("__n", F.col("sales_amount").isNotNull().cast("long"))
+    by_order = rows.groupBy(*keys, "customer_key", "order_id").agg(*kept())
+    orders = F.count("order_id").alias("__orders")
+    by_customer = by_order.groupBy(*keys, "customer_key").agg(*kept(), orders)
+    return by_customer.groupBy(*keys).agg(
+        *[F.round(F.sum(c), 4).alias(c) for c in totals], F.sum("__n").alias("__n"), F.sum("__orders").alias("__orders"), F.count("customer_key").alias("__customers"))
 
 
 def sales_monthly(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], keys: Sequence[str]) -> DataFrame:
@@ -121,17 +131,17 @@ def sales_monthly(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], keys:
     joined = fact
     for dim, key in dims:
         joined = joined.join(dim, key)
-    return joined.groupBy(*keys).agg(
-        _total("sales_amount").alias("total_sales"), _total("quantity").alias("total_quantity"),
-        _total("profit_amount").alias("total_profit"), F.count_distinct("order_id").alias("order_count"),
-        F.count_distinct("customer_key").alias("customer_count"), (_total("sales_amount") / F.count("sales_amount")).alias("avg_order_value"))
+    return _cube(joined, keys, ["sales_amount", "quantity", "profit_amount"]).select(
+        *keys, F.col("sales_amount").alias("total_sales"), F.col("quantity").alias("total_quantity"), F.col("profit_amount").alias("total_profit"),
+        F.col("__orders").alias("order_count"), F.col("__customers").alias("customer_count"), (F.col("sales_amount") / F.col("__n")).alias("avg_order_value"))
 
 
 def store_daily(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("date_key", "store_key").agg(
-        _total("sales_amount").alias("total_sales"), F.count_distinct("order_id").alias("transaction_count"),
-        F.count_distinct("customer_key").alias("unique_customers"), (_total("sales_amount") / F.count("sales_amount")).alias("avg_transaction_value"),
-        _total("quantity").alias("total_items_sold"))
+    keys = ["date_key", "store_key"]
+    return _cube(fact, keys, ["sales_amount", "quantity"]).select(
+        *keys, F.col("sales_amount").alias("total_sales"), F.col("__orders").alias("transaction_count"),
+        F.col("__customers").alias("unique_customers"), (F.col("sales_amount") / F.col("__n")).alias("avg_transaction_value"),
+        F.col("quantity").alias("total_items_sold"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

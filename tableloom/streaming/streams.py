@@ -8,6 +8,7 @@ are Spark's own. Event time must be ``timestamp`` on a stream (see
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -113,12 +114,7 @@ def sessions(df: DataFrame, ts: str, key: str, gap_seconds: int) -> DataFrame:
 
 def _micros(ts: str) -> Column:
     """Microseconds of a wall-clock time, whatever the session time zone."""
-    c = F.col(ts)
-    return (
-        F.unix_date(c.cast("date")).cast("long") * 86_400_000_000
-        + (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * 1_000_000
-        + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
-    )
+    return F.timestamp_diff("MICROSECOND", F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
 
 
 def late_split(df: DataFrame, ts: str, delay_seconds: int) -> DataFrame:
