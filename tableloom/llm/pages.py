@@ -1,6 +1,6 @@
 """Main text of HTML pages by equivalence classes of tokens.
 
-Pages of a host are compared in shards of about ``SHARD_PAGES``. A token is a tag
+Pages of a host are compared in shards of ``SHARD_PAGES`` or somewhat more. A token is a tag
 in its place (the tags open around it) or a whole text block. Tokens with equal
 occurrence vectors over the shard's pages form a class. A class is valid if its
 tokens keep their order on every page and it lies within a single gap of its
@@ -17,6 +17,7 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages of a shard, about; pages from which a repeated text block counts as template.
+#: Pages and packed bytes of a shard, about; pages from which a repeated text block counts as template.
 SHARD_PAGES, SHARD_BYTES, REPEATED_PAGES = 64, 8 << 20, 8
 
 _TOKEN = re.compile(
@@ -172,26 +173,46 @@ def _pack(column: pa.Array) -> pa.Array:
     return pa.array([squeeze.compress((t or "").encode()) for t in column.to_pylist()], pa.binary())
 
 
-def _extract(table: pa.Table) -> pa.Table:
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of rows sorted by host. A host's pages are taken SHARD_PAGES at a time, the last up to twice as many."""
     expand = zstandard.ZstdDecompressor()
-    texts = main_texts([expand.decompress(b).decode() for b in table.column("packed").to_pylist()])
-    return pa.table({"key": table.column("key"), "url": table.column("url"), "text": pa.array(texts, pa.string())})
+    held: list[tuple] = []
+
+    def shard(n: int) -> pa.RecordBatch:
+        some = held[:n]
+        del held[:n]
+        texts = main_texts([expand.decompress(packed).decode() for _, _, _, packed in some])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[1] for r in some], kind), pa.array([r[2] for r in some], pa.string()), pa.array(texts, pa.string())], ["key", "url", "text"])
+
+    size = 0
+    for batch in batches:
+        kind = batch.schema.field(1).type
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if held and held[0][0] != row[0]:
+                yield shard(len(held))
+                size = 0
+            held.append(row)
+            size += len(row[3])
+            if len(held) == 2 * SHARD_PAGES or size >= SHARD_BYTES:
+                yield shard(min(SHARD_PAGES, len(held)))
+                size = sum(len(r[3]) for r in held)
+    if held:
+        yield shard(len(held))
 
 
 def extracted(pages: DataFrame, key: str, url: str, source: str) -> DataFrame:
     """Per row of ``pages``: key, url and text, blocks of the article joined by line breaks.
 
-    A null or empty page has an empty text. Pages with a null url, or one without
-    a host, form shards of their own. Repeated rows give equal texts where they
-    share a shard; a null key is a key like others.
+    Pages are dealt out in ranges of host and hash, so that a host with any share
+    of the pages goes to many tasks. A null or empty page has an empty text. Pages
+    with a null url, or one without a host, count as one host. Repeated rows give
+    equal texts where they share a shard; a null key is a key like others.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    sizes = pages.select(host.alias("host"), F.octet_length(source).alias("n")).groupBy("host").agg(
-        F.greatest(F.ceil(F.count("*") / SHARD_PAGES), F.ceil(F.sum("n") / SHARD_BYTES), F.lit(1)).cast("int").alias("shards"))
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host.alias("host"),
-                        F.arrow_udf(_pack, "binary")(F.coalesce(F.col(source), F.lit(""))).alias("packed"))
-    placed = rows.join(sizes, "host").withColumn("shard", F.pmod(F.xxhash64("key", "url", "packed"), F.col("shards")))
-    kind = dict(pages.dtypes)[key]
-    out = placed.select("host", "shard", "key", "url", "packed").groupBy("host", "shard").applyInArrow(
-        _extract, f"key {kind}, url string, text string")
+    rows = pages.select(host.alias("host"), F.col(key).alias("key"), F.col(url).alias("url"),
+                        F.arrow_udf(_pack, "binary")(F.coalesce(F.col(source), F.lit(""))).alias("packed"),
+                        F.xxhash64(F.col(key), F.col(url), F.monotonically_increasing_id()).alias("spread"))
+    dealt = rows.repartitionByRange("host", "spread").sortWithinPartitions("host", "spread").select("host", "key", "url", "packed")
+    out = dealt.mapInArrow(_extract, f"key {dict(pages.dtypes)[key]}, url string, text string")
     return out.select(F.col("key").alias(key), F.col("url").alias(url), "text")
