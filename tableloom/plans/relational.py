@@ -235,7 +235,9 @@ JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name"""
 
 def _supplied(t, hint):
     lines = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), "l_quantity")
-    joined = rel.join(lines, t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey")), ["s_suppkey"], hint=hint)
+    # Suppliers grow with the data: they are never broadcast by hint.
+    joined = rel.join(lines, t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey")), ["s_suppkey"],
+                      hint=None if hint == "broadcast" else hint)
     # One row per nation is left before nations, a table of fixed size, are named.
     summed = joined.groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
     return rel.join(summed, t.nation, ["n_nationkey"], hint=hint).groupBy("n_name") \
