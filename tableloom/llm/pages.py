@@ -1,33 +1,38 @@
 """Main text of HTML pages by equivalence classes of tokens.
 
-Pages of a host are compared in shards of ``SHARD_PAGES`` or somewhat more. A token is a tag
-in its place (the tags open around it) or a whole text block. Tokens with equal
-occurrence vectors over the shard's pages form a class. A class is valid if its
-tokens keep their order on every page and it lies within a single gap of its
-parent; the class of tokens that every page has once is the root, and valid
-classes nested in it make up the template. What stands between the root's tokens
-are slots. Slots for menus, adverts and the like are told by the tags around
-them; of the others, the article's slots are those inside an article or main
-element, or else the ones with the most words. Text blocks that every page of a
-shard of some size has once belong to the template and not to the article.
+A token is a tag in its place (the tags open around it) or a whole text block.
+Tokens with equal occurrence vectors over all distinct pages of a host form a
+class; a vector is known by the exclusive or of a hash per page and count, so
+classes come from grouped counts whatever the host's size. Only tokens on more
+than half of a host's pages take part, which bounds a host's classes by the size
+of its pages. The class on the most pages is the root. A class is valid where
+more than half of the host's pages hold its tokens in one order (a repeated class
+as a whole number of rounds) and in one gap of the root. Valid classes are the
+host's template; they are nested in the root's gaps, not in each other. What
+stands between the template's tokens are slots, and no slot is dropped for its
+size. Slots for menus, adverts and the like are told by the tags around them.
+
+A page with text in an article or main element has that text, none of which is
+ever template. Other pages have all blocks but the template's and the asides'.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import Counter
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Pages and packed bytes of a shard, about; pages from which a repeated text block counts as template.
-SHARD_PAGES, SHARD_BYTES, REPEATED_PAGES = 64, 8 << 20, 8
+from tableloom.llm.common import stored
+
+#: Distinct pages of a host from which it has a template; parts into which a host's pages are dealt.
+REPEATED_PAGES, SALTS = 8, 64
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|title|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?/a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[!?/a-zA-Z][^>]*>",
@@ -59,23 +64,29 @@ def _read(tag: str) -> tuple[bool, str, str, bool, bool, bool] | None:
 
 
 class _Page:
-    """Tokens of a page: name (tag or text block in its place), text or None, and whether an aside or a main part holds it."""
+    """Tokens of a page: name (tag or text block in its place), text or None, and whether an aside or a main part holds it.
+
+    An aside that holds a main part doesn't make that part an aside: ``buried``
+    tells tokens whose only asides are outside their main part.
+    """
 
     def __init__(self, source: str) -> None:
         self.names: list[str] = []
         self.texts: list[str | None] = []
         self.aside: list[bool] = []
         self.main: list[bool] = []
-        # Open elements: element, place up to and with it, inside an aside, inside a main part.
-        path: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        self.buried: list[bool] = []
+        # Open elements: element, place up to and with it, inside an aside, inside a main part, inside an aside of the main part.
+        path: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
         part: list[str] = []
 
         def add(name: str, text: str | None) -> None:
-            _, place, aside, main = path[-1]
+            _, place, aside, main, inner = path[-1]
             self.names.append(f"{place}|{name}")
             self.texts.append(text)
             self.aside.append(aside)
             self.main.append(main)
+            self.buried.append(main and not inner)
 
         def flush() -> None:
             if part:
@@ -108,111 +119,131 @@ class _Page:
                         break
             add(f"</{name}>" if closing else f"<{full}>", None)
             if opens and not closing:
-                _, place, in_aside, in_main = path[-1]
+                _, place, in_aside, in_main, inner = path[-1]
                 # The header of an article holds its title.
                 aside = aside and not (in_main and name == "header")
-                path.append((name, place if name == "p" else f"{place}/{full}", in_aside or aside, in_main or own))
+                path.append((name, place if name == "p" else f"{place}/{full}", in_aside or aside, in_main or own, inner or in_main and aside))
         if at < len(source):
             part.append(source[at:])
         flush()
 
 
-def _root(pages: list[_Page], classes: dict[bytes, list[str]], once: bytes) -> list[str]:
-    """Tokens of the root class that keep their order on all pages."""
-    tokens = set(classes.get(once, []))
-    if len(pages) < REPEATED_PAGES:
-        tokens = {t for t in tokens if "|#" not in t}
-    places = [{n: i for i, n in enumerate(p.names) if n in tokens} for p in pages]
-    order = sorted(tokens, key=lambda t: places[0][t])
-    kept, last = [], np.full(len(pages), -1)
-    for t in order:
-        now = np.array([x[t] for x in places])
-        if (now > last).all():
-            kept.append(t)
-            last = now
-    return kept
-
-
-def main_texts(sources: list[str]) -> list[str]:
-    """Main text of each page of a shard."""
-    pages = [_Page(s) for s in sources]
-    vectors: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(pages), np.int32))
-    for i, p in enumerate(pages):
-        for n in p.names:
-            vectors[n][i] += 1
-    classes: dict[bytes, list[str]] = defaultdict(list)
-    for n, v in vectors.items():
-        classes[v.tobytes()].append(n)
-    root = _root(pages, classes, np.ones(len(pages), np.int32).tobytes())
-    number = {t: i + 1 for i, t in enumerate(root)}
-    # Gap of each token on its page; a class whose tokens all lie in one gap is nested there.
-    gaps = []
-    for p in pages:
-        gaps.append(np.maximum.accumulate(np.array([number.get(n, 0) for n in p.names] or [0])))
-    # Slots: gaps with text that isn't the template's, split by whether a main part or an aside holds it.
-    words: dict[int, int] = defaultdict(int)
-    has_main = False
-    for p, gap in zip(pages, gaps):
-        for i, text in enumerate(p.texts):
-            if text is not None and not p.aside[i] and p.names[i] not in number:
-                has_main |= p.main[i]
-                words[int(gap[i])] += len(text.split())
-    best = max(words.values(), default=0)
-    out = []
-    for p, gap in zip(pages, gaps):
-        own = has_main and any(p.main)
-        kept = [text for i, text in enumerate(p.texts)
-                if text is not None and not p.aside[i] and p.names[i] not in number
-                and (p.main[i] if own else words[int(gap[i])] * 4 >= best)]
-        out.append("\n".join(kept))
-    return out
+    def blocks(self) -> list[int]:
+        """Text blocks that the page's text is made of, but for the template's."""
+        texts = [i for i, text in enumerate(self.texts) if text is not None]
+        return [i for i in texts if self.main[i] and not self.aside[i]] or [i for i in texts if not self.aside[i]]
+
+
+def _token(name: str, text: bool) -> int:
+    """64-bit hash of a token; odd for a text block, even for a tag."""
+    value = int.from_bytes(blake2b(name.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return value | 1 if text else value & ~1
+
 
+_BLOCKS = "array<struct<token: bigint, text: string>>"
 
-def _pack(column: pa.Array) -> pa.Array:
-    squeeze = zstandard.ZstdCompressor(level=3)
-    return pa.array([squeeze.compress((t or "").encode()) for t in column.to_pylist()], pa.binary())
 
+def _read_pages(column: pa.Array) -> pa.Array:
+    """Per page: tokens outside main parts in their order, and the blocks of its text, those in main parts with a null token."""
+    tokens, blocks = [], []
+    for source in column:
+        p = _Page(source.as_py() or "")
+        own = {i: _token(n, p.texts[i] is not None) for i, n in enumerate(p.names) if not p.main[i]}
+        tokens.append(np.fromiter(own.values(), np.int64, len(own)))
+        blocks.append([{"token": own.get(i), "text": p.texts[i]} for i in p.blocks()])
+    kind = pa.list_(pa.struct([("token", pa.int64()), ("text", pa.string())]))
+    return pa.StructArray.from_arrays([pa.array(tokens, pa.list_(pa.int64())), pa.array(blocks, kind)], ["tokens", "blocks"])
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of rows sorted by host. A host's pages are taken SHARD_PAGES at a time, the last up to twice as many."""
-    expand = zstandard.ZstdDecompressor()
-    held: list[tuple] = []
 
-    def shard(n: int) -> pa.RecordBatch:
-        some = held[:n]
-        del held[:n]
-        texts = main_texts([expand.decompress(packed).decode() for _, _, _, packed in some])
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[1] for r in some], kind), pa.array([r[2] for r in some], pa.string()), pa.array(texts, pa.string())], ["key", "url", "text"])
+def _counted(column: pa.Array) -> pa.Array:
+    """Distinct tokens of each page and how often it has them."""
+    kind = pa.list_(pa.struct([("token", pa.int64()), ("times", pa.int32())]))
+    return pa.array([[{"token": t, "times": n} for t, n in Counter(x.as_py()).items()] for x in column], kind)
+
+
+def placed(tokens: list[int], known: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(class, gap, order) of each class that a page holds in whole rounds, each within one gap of class 0, the root.
+
+    ``known`` has the class of each token. The gap is that of the first round, the
+    order a hash of the class's tokens as they follow each other.
+    """
+    size = Counter(known.values())
+    seen: dict[int, list[tuple[int, int]]] = {}
+    gap = 0
+    for t in tokens:
+        c = known.get(t)
+        if c is None:
+            continue
+        gap += c == 0
+        seen.setdefault(c, []).append((t, gap))
+    out = []
+    for c, found in seen.items():
+        n = size[c]
+        first = [t for t, _ in found[:n]]
+        rounds = len(found) % n == 0 and len(set(first)) == n and all(t == first[i % n] for i, (t, _) in enumerate(found))
+        if rounds and (c == 0 or all(found[i][1] == found[i + n - 1][1] for i in range(0, len(found), n))):
+            out.append((c, found[0][1], _token(",".join(map(str, first)), True)))
+    return out
+
 
-    size = 0
-    for batch in batches:
-        kind = batch.schema.field(1).type
-        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if held and held[0][0] != row[0]:
-                yield shard(len(held))
-                size = 0
-            held.append(row)
-            size += len(row[3])
-            if len(held) == 2 * SHARD_PAGES or size >= SHARD_BYTES:
-                yield shard(min(SHARD_PAGES, len(held)))
-                size = sum(len(r[3]) for r in held)
-    if held:
-        yield shard(len(held))
+def _placed(tokens: pa.Array, classes: pa.Array) -> pa.Array:
+    """``placed`` of each page; ``classes`` has its host's (class, token) pairs."""
+    kind = pa.list_(pa.struct([("class", pa.int32()), ("gap", pa.int32()), ("order", pa.int64())]))
+    out, last, known = [], None, {}
+    for page, pairs in zip(tokens, classes):
+        if last is None or not pairs.equals(last):
+            last, known = pairs, {x["token"]: x["class"] for x in pairs.as_py()}
+        out.append([{"class": c, "gap": g, "order": o} for c, g, o in placed(page.as_py(), known)])
+    return pa.array(out, kind)
+
+
+def _salted(hosts: DataFrame) -> DataFrame:
+    return hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salt(value: Column) -> Column:
+    return F.pmod(value, F.lit(SALTS)).cast("int").alias("salt")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, template): the text blocks of each host's template. ``pages``: host, page, tokens, each page of a host once."""
+    sizes = _salted(pages.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= REPEATED_PAGES))
+    each = pages.select("host", "page", F.explode(F.arrow_udf(_counted, "array<struct<token: bigint, times: int>>")("tokens")).alias("x"))
+    vectors = each.groupBy("host", F.col("x.token").alias("token")).agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("page", "x.times")).alias("vector")).filter(2 * F.col("n") >= REPEATED_PAGES)
+    often = vectors.select("*", _salt(F.xxhash64("token"))).join(sizes, ["host", "salt"]).filter(2 * F.col("n") > F.col("pages"))
+    # A host has fewer of these tokens than two of its pages on average.
+    size = F.count("*").over(Window.partitionBy("host", "n", "vector"))
+    number = F.dense_rank().over(Window.partitionBy("host").orderBy(F.desc("n"), F.desc("size"), "vector")) - 1
+    classes = often.select("host", "pages", "token", "n", "vector", size.alias("size")).withColumn("class", number)
+    hosts = stored(classes.groupBy("host", "pages").agg(
+        F.sort_array(F.collect_list(F.struct("class", "token"))).alias("classes")), "classes")
+    # More than half of the pages agree on one gap and one order at most.
+    dealt = pages.select("host", "tokens", _salt(F.col("page"))).join(_salted(hosts), ["host", "salt"])
+    kind = "array<struct<class: int, gap: int, order: bigint>>"
+    held = dealt.select("host", "pages", F.explode(F.arrow_udf(_placed, kind)("tokens", "classes")).alias("x")).groupBy(
+        "host", "pages", "x.class", "x.gap", "x.order").agg(F.count("*").alias("n")).filter(2 * F.col("n") > F.col("pages"))
+    valid = held.select("host", "class").join(hosts.select("host", "classes"), "host")
+    texts = F.transform(F.filter("classes", lambda x: (x["class"] == F.col("class")) & (x["token"].bitwiseAND(F.lit(1)) == 1)), lambda x: x["token"])
+    return valid.select("host", texts.alias("texts")).groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("template"))
 
 
 def extracted(pages: DataFrame, key: str, url: str, source: str) -> DataFrame:
     """Per row of ``pages``: key, url and text, blocks of the article joined by line breaks.
 
-    Pages are dealt out in ranges of host and hash, so that a host with any share
-    of the pages goes to many tasks. A null or empty page has an empty text. Pages
-    with a null url, or one without a host, count as one host. Repeated rows give
-    equal texts where they share a shard; a null key is a key like others.
+    A host's pages are dealt out by a salt, so that a host with any share of the
+    pages goes to many tasks. A null or empty page has an empty text. Pages with a
+    null url, or one without a host, count as one host. Repeated rows give equal
+    texts and count as one page; a null key is a key like others.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select(host.alias("host"), F.col(key).alias("key"), F.col(url).alias("url"),
-                        F.arrow_udf(_pack, "binary")(F.coalesce(F.col(source), F.lit(""))).alias("packed"),
-                        F.xxhash64(F.col(key), F.col(url), F.monotonically_increasing_id()).alias("spread"))
-    dealt = rows.repartitionByRange("host", "spread").sortWithinPartitions("host", "spread").select("host", "key", "url", "packed")
-    out = dealt.mapInArrow(_extract, f"key {dict(pages.dtypes)[key]}, url string, text string")
-    return out.select(F.col("key").alias(key), F.col("url").alias(url), "text")
+    read = F.arrow_udf(_read_pages, f"tokens array<bigint>, blocks {_BLOCKS}")
+    rows = stored(pages.select(
+        host.alias("host"), F.col(key).alias("key"), F.col(url).alias("url"), F.xxhash64(F.coalesce(F.col(source), F.lit(""))).alias("page"),
+        _salt(F.xxhash64(F.col(key), F.col(url), F.monotonically_increasing_id())), read(F.col(source)).alias("r")).select(
+        "host", "key", "url", "page", "salt", "r.tokens", "r.blocks"), "pages")
+    once = stored(rows.select("host", "page", "tokens").dropDuplicates(["host", "page"]), "tokens")
+    found = rows.join(_salted(stored(templates(once), "templates")), ["host", "salt"], "left")
+    template = F.coalesce("template", F.array().cast("array<bigint>"))
+    kept = F.filter("blocks", lambda b: b["token"].isNull() | ~F.array_contains(template, b["token"]))
+    return found.select(F.col("key").alias(key), F.col("url").alias(url), F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))

@@ -218,6 +218,19 @@ def test_main_text(spark):
     assert pages.extracted(table.limit(0), "page_id", "url", "html").count() == 0
 
 
+def page_texts(spark, rows):
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {(r.page_id, r.text) for r in pages.extracted(table, "page_id", "url", "html").collect()}
+
+
+def test_copies_and_shared_article_blocks_keep_their_text(spark):
+    page = "<html><body><p>Menu words</p>{}</body></html>"
+    plain, article = page.format("<p>First part</p><p>Second part</p>"), page.format("<article><p>Number {}</p><p>Shared end</p></article>")
+    rows = [(i, "https://mirror.example/x", plain) for i in range(70)] + [(100 + i, "https://news.example", article.format(i)) for i in range(200)]
+    want = {(i, "Menu words\nFirst part\nSecond part") for i in range(70)} | {(100 + i, f"Number {i}\nShared end") for i in range(200)}
+    assert page_texts(spark, rows) == want
+
+
 # --- pipeline ---------------------------------------------------------------------
 
 def test_stages_take_effect(spark):
