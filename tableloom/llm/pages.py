@@ -40,7 +40,7 @@ _TOKEN = re.compile(
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(.*?)(/?)>\Z", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements whose text is never an article's, elements without an end, and elements within a line.
-_ASIDE = frozenset("nav header footer aside form button menu dialog figure figcaption label input".split())
+_ASIDE = frozenset("nav header footer aside form button menu dialog label input".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Words in a class, id or role that tell menus, adverts, notices, comments and the like.
@@ -58,8 +58,9 @@ def _read(tag: str) -> tuple[bool, str, str, bool, bool, bool] | None:
         return None
     name = parts.group(2).lower()
     marks = " ".join(a or b or c for a, b, c in _NAMED.findall(parts.group(3)))
-    own = name in ("article", "main") or bool(_MAIN.search(marks))
-    aside = name in _ASIDE or bool(_OTHER.search(marks)) and not own
+    whole = name in ("html", "body")
+    own = name in ("article", "main") or bool(_MAIN.search(marks)) and not whole
+    aside = name in _ASIDE or bool(_OTHER.search(marks)) and not own and not whole
     return bool(parts.group(1)), name, f"{name}.{marks}" if marks else name, name not in _VOID and not parts.group(4), aside, own
 
 
@@ -131,7 +132,10 @@ class _Page:
     def blocks(self) -> list[int]:
         """Text blocks that the page's text is made of, but for the template's."""
         texts = [i for i, text in enumerate(self.texts) if text is not None]
-        return [i for i in texts if self.main[i] and not self.aside[i]] or [i for i in texts if not self.aside[i]]
+        for some in ([i for i in texts if self.main[i] and not self.aside[i]], [i for i in texts if self.buried[i]]):
+            if some:
+                return some
+        return [i for i in texts if not self.aside[i]]
 
 
 def _token(name: str, text: bool) -> int:

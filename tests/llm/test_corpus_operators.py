@@ -231,6 +231,28 @@ def test_copies_and_shared_article_blocks_keep_their_text(spark):
     assert page_texts(spark, rows) == want
 
 
+def test_template_despite_odd_pages_and_slots_of_any_size(spark):
+    shell = '<html><body class="right-sidebar"><p>Menu words</p><h1>Title {0}</h1><div>{1}</div><figure><figcaption>Figure {0}</figcaption></figure><p>Bottom line</p></body></html>'
+    text = "a long slot with many more words than its title has " * 5
+    rows = [(i, "https://h.example/x", shell.format(i, text + str(i))) for i in range(150)]
+    rows += [(200, "https://h.example/x", ""), (201, "https://h.example/x", "<p>Not found")]
+    want = {(i, f"Title {i}\n{text}{i}\nFigure {i}") for i in range(150)} | {(200, ""), (201, "Not found")}
+    held = '<form class="login"><main><p>Within {0}</p></main></form>'
+    rows += [(300 + i, "https://f.example/x", held.format(i)) for i in range(9)]
+    want |= {(300 + i, f"Within {i}") for i in range(9)}
+    assert page_texts(spark, rows) == want
+
+
+def test_classes_need_one_order_and_one_gap():
+    known = {10: 0, 20: 0, 11: 1, 13: 1}
+    classes = lambda tokens: {c for c, *_ in pages.placed(tokens, known)}
+    assert classes([10, 11, 5, 13, 11, 13, 20]) == {0, 1}
+    assert classes([10, 11, 20, 13]) == {0}
+    assert classes([10, 11, 13, 13, 11, 20]) == {0}
+    one, two = pages.placed([10, 11, 13, 20], known), pages.placed([10, 13, 11, 20], known)
+    assert one[1][:2] == two[1][:2] and one[1][2] != two[1][2]
+
+
 # --- pipeline ---------------------------------------------------------------------
 
 def test_stages_take_effect(spark):
