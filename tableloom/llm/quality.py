@@ -2,8 +2,9 @@
 
 Each text gives a vector of transformed statistics. Per language and source,
 the minimum covariance determinant estimate is found by concentration steps
-over all documents: from the medians and median deviations, then again and
-again from the three quarters of the group that lie nearest. A document whose
+over all documents: from several deterministic starts, then again and again from
+the three quarters of the group that lie nearest, until the determinant stops
+falling. The start that ends with the least determinant counts. A document whose
 Mahalanobis distance from its group exceeds the cutoff is rejected.
 
 Every step is a grouped sum over one narrow row per document, so a group may
@@ -15,6 +16,7 @@ of binned values, which add up exactly whatever the partitioning.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, lgamma, log
 
 import numpy as np
 import pandas as pd
@@ -89,8 +91,8 @@ VECTOR = ("words", "length", "symbols", "marks", "upper", "lines", "repeats")
 LEAST = (0.25, 0.06, 0.02, 0.03, 0.03, 0.08, 0.08)
 _P = len(VECTOR)
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
-#: Share of a group that the estimate rests on, concentration steps, least rows of a group of its own.
-KEPT_SHARE, STEPS, GROUP_ROWS = 0.75, 5, 60
+#: Share of a group that the estimate rests on, least fall of the determinant's logarithm, least rows of a group of its own.
+KEPT_SHARE, FALL, GROUP_ROWS = 0.75, 1e-3, 60
 SALTS = 32
 BIN = 1 / 256
 
@@ -109,8 +111,27 @@ def chi_square(quantile_z: float) -> float:
     return _P * (1 - 2 / (9 * _P) + quantile_z * (2 / (9 * _P)) ** 0.5) ** 3
 
 
-#: Beyond the 1 - 1e-9 quantile of the chi-square law, widened as texts are not normal.
-CUTOFF = 3.0 * chi_square(6.0)
+def _chi_square_share(x: float, freedom: int) -> float:
+    """Share of the chi-square law below ``x``, by the series of the incomplete gamma function."""
+    a, term, total = freedom / 2, 1.0, 1.0
+    for n in range(1, 400):
+        term *= x / 2 / (a + n)
+        total += term
+    return exp(a * log(x / 2) - x / 2 - lgamma(a + 1)) * total
+
+
+def _consistency(share: float) -> float:
+    """By how much the covariance of the nearest ``share`` of normal rows is below that of all."""
+    low, high = 0.0, 100.0
+    for _ in range(60):
+        x = (low + high) / 2
+        low, high = (x, high) if _chi_square_share(x, _P) < share else (low, x)
+    return share / _chi_square_share(high, _P + 2)
+
+
+CONSISTENCY = _consistency(KEPT_SHARE)
+#: The quantile of the chi-square law at seven standard deviations.
+CUTOFF = chi_square(7.0)
 
 
 def _quantile(counts: DataFrame, keys: list[str], share: float, value: Column) -> DataFrame:
@@ -135,23 +156,79 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def _inverse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Centre and inverse covariance of each group's sums. A deviation below LEAST is raised to it."""
+def _estimate(mean: np.ndarray, cov: np.ndarray) -> tuple[list[float], list[float], float]:
+    """Centre, inverse covariance and logarithm of the determinant. A deviation below LEAST is raised to it."""
+    cov = cov + np.diag(np.maximum(np.square(LEAST) - np.diag(cov), 0) + 1e-9)
+    inverse = np.linalg.inv(cov)
+    return mean.tolist(), [float(inverse[i, j]) for i, j in _PAIRS], float(np.linalg.slogdet(cov)[1])
+
+
+def _matrix(values: np.ndarray) -> np.ndarray:
+    out = np.zeros((_P, _P))
+    for (i, j), v in zip(_PAIRS, values):
+        out[i, j] = out[j, i] = v
+    return out
+
+
+def _concentrated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Estimates from the sums of each group and start."""
     for f in frames:
         rows = []
-        for g, n, sums, squares in zip(f["g"], f["n"], f["s"], f["ss"]):
+        for g, start, n, sums, squares in zip(f["g"], f["start"], f["n"], f["s"], f["ss"]):
             mean = np.asarray(sums) / n
-            cov = np.zeros((_P, _P))
-            for (i, j), v in zip(_PAIRS, squares):
-                cov[i, j] = cov[j, i] = v / n - mean[i] * mean[j]
-            cov += np.diag(np.maximum(np.square(LEAST) - np.diag(cov), 0) + 1e-9)
-            inverse = np.linalg.inv(cov)
-            rows.append((g, mean.tolist(), [float(inverse[i, j]) for i, j in _PAIRS]))
-        yield pd.DataFrame(rows, columns=["g", "m", "w"])
+            rows.append((g, start, *_estimate(mean, _matrix(np.asarray(squares) / n) - np.outer(mean, mean))))
+        yield pd.DataFrame(rows, columns=["g", "start", "m", "w", "det"])
+
+
+def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Starts of each group around its medians: median deviations, covariance of hyperbolic tangents, covariance of spatial signs."""
+    for f in frames:
+        rows = []
+        for g, n, m, d, sums, squares, signs in zip(f["g"], f["n"], f["m"], f["d"], f["s"], f["ss"], f["uu"]):
+            mean, scale = np.asarray(sums) / n, np.outer(d, d)
+            for start, cov in enumerate((np.eye(_P), _matrix(np.asarray(squares) / n) - np.outer(mean, mean), _matrix(np.asarray(signs) / n) * _P)):
+                middle, inverse, _ = _estimate(np.asarray(m), cov * scale)
+                rows.append((g, start, middle, inverse, float("inf")))
+        yield pd.DataFrame(rows, columns=["g", "start", "m", "w", "det"])
+
+
+_ESTIMATE = "g string, start int, m array<double>, w array<double>, det double"
+
+
+def _sums(columns: list[Column]) -> Column:
+    return F.array(*[F.sum(c) for c in columns])
+
+
+def _products(columns: list[Column]) -> Column:
+    return F.array(*[F.sum(columns[i] * columns[j]) for i, j in _PAIRS])
+
+
+def least_determinants(grouped: DataFrame, starts: DataFrame) -> DataFrame:
+    """(g, m, w): of all starts' estimates in each group the one of the least determinant. ``grouped``: g, salt, VECTOR.
+
+    A start takes concentration steps until its determinant falls by less than
+    FALL, so their number is bounded by the first estimate's determinant.
+    """
+    active, estimates = starts, []
+    while not active.isEmpty():
+        far = grouped.join(_salted(active.withColumnRenamed("det", "before")), ["g", "salt"]).withColumn("far", F.log2(_distance() + 1e-6))
+        bins = far.groupBy("g", "start", F.floor(F.col("far") * 64).alias("bin")).agg(F.count("*").alias("n"))
+        within = _quantile(bins, ["g", "start"], KEPT_SHARE, (F.col("bin") + 1) / 64)
+        near = far.join(_salted(within), ["g", "start", "salt"]).filter(F.col("far") < F.col("q"))
+        columns = [F.col(c) for c in VECTOR]
+        sums = near.groupBy("g", "start").agg(F.count("*").alias("n"), _sums(columns).alias("s"), _products(columns).alias("ss"))
+        found = stored(sums.mapInPandas(_concentrated, _ESTIMATE), "estimate")
+        estimates.append(found)
+        before = active.select("g", "start", F.col("det").alias("before"))
+        active = found.join(before, ["g", "start"]).filter(F.col("before") - F.col("det") >= FALL).drop("before")
+    every = estimates[0] if estimates else starts
+    for more in estimates[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("g").agg(F.min_by(F.struct("m", "w"), F.struct("det", "start")).alias("x")).select("g", "x.m", "x.w")
 
 
 def robust_distances(rows: DataFrame, lang: str, source: str) -> DataFrame:
-    """``rows`` (with COUNTS) plus ``distance``: squared, scaled so that its median is that of the chi-square law.
+    """``rows`` (with COUNTS) plus ``distance``: squared, corrected for consistency with the chi-square law.
 
     A language and source with fewer than GROUP_ROWS rows joins the other small
     sources of its language, and a language with few such rows joins those of
@@ -176,23 +253,18 @@ def robust_distances(rows: DataFrame, lang: str, source: str) -> DataFrame:
     around = grouped.join(_salted(middle), ["g", "salt"])
     spread = _quantile(binned(around, lambda c, i: F.abs(c - F.col("m")[i])), ["g", "d"], 0.5, edge).groupBy("g").agg(as_array("d"))
     # 1.4826 median deviations are a standard deviation.
-    start = [F.lit(0.0) if i != j else 1 / F.pow(F.greatest(F.col("d")[i] * 1.4826, F.lit(LEAST[i])), F.lit(2.0)) for i, j in _PAIRS]
-    estimate = stored(middle.join(spread, "g").select("g", "m", F.array(*start).alias("w")), "estimate")
-    for _ in range(STEPS):
-        far = grouped.join(_salted(estimate), ["g", "salt"]).withColumn("far", F.log2(_distance() + 1e-6))
-        bins = far.groupBy("g", F.floor(F.col("far") * 16).alias("bin")).agg(F.count("*").alias("n"))
-        within = _quantile(bins, ["g"], KEPT_SHARE, (F.col("bin") + 1) / 16)
-        near = far.join(_salted(within), ["g", "salt"]).filter(F.col("far") < F.col("q"))
-        sums = near.groupBy("g").agg(
-            F.count("*").alias("n"), F.array(*[F.sum(c) for c in VECTOR]).alias("s"),
-            F.array(*[F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])) for i, j in _PAIRS]).alias("ss"))
-        estimate = stored(sums.mapInPandas(_inverse, "g string, m array<double>, w array<double>"), "estimate")
-    far = grouped.join(_salted(estimate), ["g", "salt"]).withColumn("far", _distance())
-    bins = far.groupBy("g", F.floor(F.log2(F.col("far") + 1e-6) * 16).alias("bin")).agg(F.count("*").alias("n"))
-    scale = _quantile(bins, ["g"], 0.5, F.pow(F.lit(2.0), (F.col("bin") + 0.5) / 16))
-    # Never below 1: a tight group doesn't make its usual texts outliers.
-    factor = F.greatest(F.col("q") / chi_square(0.0), F.lit(1.0))
-    return far.join(_salted(scale), ["g", "salt"]).withColumn("distance", F.col("far") / factor).drop("g", "salt", "m", "w", "far", "q", "rows", *VECTOR)
+    scale = F.array(*[F.greatest(F.col("d")[i] * 1.4826, F.lit(LEAST[i])) for i in range(_P)])
+    centres = stored(middle.join(spread, "g").select("g", "m", scale.alias("d")), "centres")
+    narrow = grouped.select("g", "salt", *VECTOR)
+    z = F.array(*[(F.col(c) - F.col("m")[i]) / F.col("d")[i] for i, c in enumerate(VECTOR)])
+    length = F.greatest(F.sqrt(F.aggregate("z", F.lit(0.0), lambda a, x: a + x * x)), F.lit(1e-9))
+    scaled = narrow.join(_salted(centres), ["g", "salt"]).select("g", z.alias("z")).select("g", "z", length.alias("length"))
+    tanh, signs = [F.tanh(F.col("z")[i]) for i in range(_P)], [F.col("z")[i] / F.col("length") for i in range(_P)]
+    sums = scaled.groupBy("g").agg(F.count("*").alias("n"), _sums(tanh).alias("s"), _products(tanh).alias("ss"), _products(signs).alias("uu"))
+    starts = stored(sums.join(centres, "g").mapInPandas(_starts, _ESTIMATE), "starts")
+    estimate = stored(least_determinants(narrow, starts), "estimate")
+    far = grouped.join(_salted(estimate), ["g", "salt"])
+    return far.withColumn("distance", _distance() / CONSISTENCY).drop("g", "salt", "m", "w", *VECTOR)
 
 
 def judged(docs: DataFrame, key: str, text: str, lang: str, source: str, cutoff: float = CUTOFF) -> DataFrame:

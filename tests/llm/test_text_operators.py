@@ -1,6 +1,7 @@
 """Operators that judge or search single texts, against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -163,6 +164,28 @@ def test_quality_of_odd_rows(make):
     assert quality.judged(make([]), "doc_id", "text", "lang", "source").count() == 0
 
 
+def test_outliers_in_each_statistic(make):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    words = lambda n, size=6: [word(size) for _ in range(n)]
+    lines = lambda w: "\n".join(" ".join(w[i: i + 10]) for i in range(0, len(w), 10))
+    rows = [(i, lines([word(rng.randint(4, 8)) for _ in range(rng.randint(150, 400))])) for i in range(300)]
+    some = words(300)
+    odd = {
+        "words": lines(words(20_000)),
+        "length": lines(words(300, 30)),
+        "symbols": lines([w + "#" if i % 3 == 0 else w for i, w in enumerate(some)]),
+        "marks": lines([w + "," * 2 for w in some]),
+        "upper": lines([w.upper() for w in some]),
+        "lines": lines(some[:100]) + "\n" + "\n".join(rng.choice(some[200:220]) for _ in range(150)),
+        "lines and repeats": lines(some[:120]) + "\n" + "\n".join(some[200 + i % 7] for i in range(100)),
+    }
+    rows += [(1000 + i, text) for i, text in enumerate(odd.values())]
+    kept = {r.doc_id: r for r in quality.judged(make(rows), "doc_id", "text", "lang", "source").collect()}
+    assert all(kept[i].kept for i in range(300))
+    assert not any(kept[1000 + i].kept or kept[1000 + i].base_failed for i in range(len(odd)))
+
+
 # --- benchmark --------------------------------------------------------------------
 
 def brute_matches(text, items):
