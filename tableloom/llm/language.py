@@ -12,7 +12,9 @@ As statistics are frozen, the cost of a byte depends on the three bytes before
 it alone. The trees are therefore unfolded into two tables, one for contexts
 that have a node of their own in some language, and one for the rest, which
 fall back to order 2. Bytes that no training text holds share one class, since
-they cost the same everywhere.
+they cost the same everywhere. Every language of the training rows is learned:
+with many of them the rarest bytes join that class and fewer contexts get a node
+of their own, which bounds the tables.
 """
 
 from __future__ import annotations
@@ -21,14 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableloom.llm.common import pieces, text_bytes
 
 UNDETERMINED = "und"
-#: Bounds of the training sample: texts per language, bytes of a training text, languages.
-TEXTS, TEXT_BYTES, LANGUAGES = 400, 1 << 16, 64
+#: Bounds of the training sample: texts per language, bytes of a training text, bytes of all languages.
+TEXTS, TEXT_BYTES, SAMPLE_BYTES = 400, 1 << 16, 1 << 26
+#: Values of each of the two tables, and languages whose costs are looked up at once.
+TABLE, AT_ONCE = 1 << 25, 16
 #: A context gets a node of order 3 when training texts hold it so many times; most nodes at that order.
 NODE_COUNT, NODES = 4, 1 << 15
 
@@ -48,17 +52,31 @@ def held_out(key: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, key: str, text: str, lang: str) -> dict[str, list[bytes]]:
-    """About ``TEXTS`` texts per language, chosen by hash; longer ones than ``TEXT_BYTES`` are not used to train."""
+    """About ``TEXTS`` texts of every language, chosen by hash, and an equal share of ``SAMPLE_BYTES`` for each.
+
+    Longer texts than ``TEXT_BYTES`` train only a language without shorter ones, by their beginnings.
+    """
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key")).filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= TEXT_BYTES) & ~held_out(F.col("key")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
+    short = F.octet_length("text") <= TEXT_BYTES
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("n_short"))
+    languages = counts.count()
+    if not languages:
+        return {}
+    room = max(4, SAMPLE_BYTES // languages)
+    # One row per language.
+    usable = rows.join(F.broadcast(counts), "lang").filter(short | (F.col("n_short") == 0))
+    rate = F.least(F.lit(1.0), F.lit(float(TEXTS)) / F.when(F.col("n_short") > 0, F.col("n_short")).otherwise(F.col("n")))
+    place = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30))
+    limit = min(TEXT_BYTES, room)
+    # A character has four bytes at most.
+    part = F.when(F.octet_length("text") <= limit, F.col("text")).otherwise(F.substring("text", 1, limit // 4))
+    chosen = usable.filter(place < rate * (1 << 30)).select("lang", part.alias("text"), place.alias("place"))
+    order = Window.partitionBy("lang").orderBy("place", "text")
+    fitting = chosen.withColumn("row", F.row_number().over(order)).filter(F.col("row") <= 2 * TEXTS).withColumn(
+        "bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("bytes") <= room)
     out: dict[str, list[bytes]] = {}
-    if not counts:
-        return out
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, TEXTS / n))])
-    chosen = rows.filter(F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0)) * (1 << 30))
-    for r in chosen.select("lang", "text").orderBy("lang", "text").limit(2 * TEXTS * len(counts)).collect():
+    for r in fitting.select("lang", "text").orderBy("lang", "text").collect():
         out.setdefault(r["lang"], []).append(r["text"].encode())
     return out
 
@@ -80,14 +98,19 @@ def train(sample: dict[str, list[bytes]]) -> Models:
     """Context trees of each language of the sample, unfolded into cost tables."""
     languages = sorted(sample)
     joined = {k: [np.frombuffer(t, np.uint8) for t in sample[k]] for k in languages}
-    used = np.zeros(256, bool)
+    shares = np.zeros(256)
     for texts in joined.values():
-        for t in texts:
-            used[t] = True
+        times = sum((np.bincount(t, minlength=256) for t in texts), np.zeros(256, np.int64))
+        shares = np.maximum(shares, times / max(1, times.sum()))
+    # The bytes that have the largest share of some language, as many as the tables have room for.
+    most = max(1, int((TABLE / max(1, len(languages))) ** (1 / 3) + 1e-9) - 1)
+    used = np.zeros(256, bool)
+    used[np.argsort(-shares, kind="stable")[:most]] = True
+    used &= shares > 0
     classes = np.full(256, used.sum(), np.int64)
     classes[used] = np.arange(used.sum())
     a = int(used.sum()) + 1
-    # The last class stands for all unseen bytes, of which there may be none.
+    # The last class stands for all unseen and the rarest bytes, of which there may be none.
     base = np.full(a, 1 / 256)
     base[-1] = (256 - a + 1) / 256
     unseen = max(1, 256 - a + 1)
@@ -107,7 +130,7 @@ def train(sample: dict[str, list[bytes]]) -> Models:
         deep = np.concatenate(deep) if deep else np.zeros(0, np.int64)
         grams[k] = (*sums, np.unique(deep, return_counts=True))
         counted = np.maximum(counted, sums[2])
-    order = np.argsort(-counted, kind="stable")[: NODES]
+    order = np.argsort(-counted, kind="stable")[: max(1, min(NODES, TABLE // (a * max(1, len(languages)))))]
     own = np.sort(order[counted[order] >= NODE_COUNT])
     nodes = np.zeros(a ** 3, np.int32)
     nodes[own] = np.arange(1, len(own) + 1)
@@ -148,11 +171,14 @@ def code_lengths(models: Models, data: np.ndarray, offsets: np.ndarray) -> np.nd
                 before[i - 1][first] = a - 1
         context = (before[2] * a + before[1]) * a + before[0]
         node = models.nodes[context]
-        cost = models.second[(before[1] * a + before[0]) * a + own]
+        near = (before[1] * a + before[0]) * a + own
         deep = np.flatnonzero(node)
-        cost[deep] = models.third[node[deep].astype(np.int64) * a + own[deep]]
+        far = node[deep].astype(np.int64) * a + own[deep]
         rows = np.flatnonzero(at[1:] > at[:-1])
-        out[low + rows] = np.add.reduceat(cost, at[:-1][rows], axis=0, dtype=np.float64)
+        for k in range(0, len(models.languages), AT_ONCE):
+            cost = models.second[near, k: k + AT_ONCE]
+            cost[deep] = models.third[far, k: k + AT_ONCE]
+            out[low + rows, k: k + AT_ONCE] = np.add.reduceat(cost, at[:-1][rows], axis=0, dtype=np.float64)
     return out
 
 

@@ -53,6 +53,24 @@ def test_language_of_odd_rows(make):
     assert {r.f.lang for r in language.with_language(make(ODD), nothing, "text", "f").collect()} == {"und"}
 
 
+def test_every_language_is_learned(make, monkeypatch):
+    rng = random.Random(3)
+    names = [f"l{i:02}" for i in range(70)]
+    words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for n in names}
+    text = lambda n, size: " ".join(rng.choice(words[n]) for _ in range(size))
+    rows = [(10 * i + j, text(n, 200), n) for i, n in enumerate(names) for j in range(8)]
+    long = "".join(chr(0x3B1 + rng.randrange(24)) + " " * (rng.random() < 0.2) for _ in range(60_000))
+    rows += [(2000 + j, long[j:], "long") for j in range(8)]
+    docs = make(rows)
+    sample = language.training_sample(docs, "doc_id", "text", "lang")
+    assert set(sample) == {*names, "long"} and max(len(t) for t in sample["long"]) <= language.TEXT_BYTES
+    monkeypatch.setattr(language, "TABLE", 1 << 20)
+    models = language.train(sample)
+    assert models.second.size <= 1 << 20 and models.third.size <= (1 << 20) + 256 * 71
+    found = language.with_language(docs, models, "text", "f").select("lang", "f").collect()
+    assert sum(r.f.lang == r.lang for r in found) >= 0.98 * len(found)
+
+
 # --- secrets ----------------------------------------------------------------------
 
 SECRETS = [
