@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import decontam, language, licenses, neardup, packing, pages, pii, quality, secrets, tokenfiles
+from tableloom.llm import collocations, decontam, language, licenses, neardup, neighbours, packing, pages, pii, quality, secrets, spelling, tokenfiles
 from tableloom.llm.common import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,62 @@ def op10_decontaminate(table):
     named = F.concat_ws(",", F.array_sort(F.transform("items", lambda x: x.cast("string"))))
     return found.select(F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(named, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@_query("op11_neighbours")
+def op11_neighbours(table):
+    return neighbours.nearest(table("embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
+
+
+def _spelling_sql() -> str:
+    """The checksum is linear: each byte adds a value that depends on its distance from the end, found by rule."""
+    one = "xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    return rf"""
+WITH RECURSIVE eight(v0, v, i) AS (SELECT b, b, 0 FROM range(256) t(b) UNION ALL SELECT v0, {one}, i + 1 FROM eight WHERE i < 8),
+t AS (SELECT v0 AS b, v FROM eight WHERE i = 8),
+runs AS (SELECT k, r, count(*) AS c FROM (SELECT CAST(doc_id AS VARCHAR) AS k, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents) WHERE len(r) >= 7 GROUP BY k, r),
+coded AS (SELECT k, r, c, CAST(hex(encode(coalesce(k || ':', '') || r)) AS VARCHAR) AS x FROM runs),
+longest AS (SELECT max(len(x) // 2) AS n FROM coded),
+added(d, b, v) AS (SELECT 0, b, v FROM t UNION ALL SELECT a.d + 1, a.b, xor(a.v >> 8, t.v) FROM added a JOIN t ON t.b = a.v & 255 WHERE a.d < (SELECT n FROM longest)),
+start(n, v) AS (SELECT 0, CAST(4294967295 AS BIGINT) UNION ALL SELECT s.n + 1, xor(s.v >> 8, t.v) FROM start s JOIN t ON t.b = s.v & 255 WHERE s.n < (SELECT n FROM longest)),
+sums AS (SELECT k, r, c, len(x) // 2 AS n, bit_xor(a.v) AS v FROM (SELECT k, r, c, x, unnest(range(len(x) // 2)) AS i FROM coded) p
+         JOIN added a ON a.d = len(x) // 2 - 1 - i AND a.b = CAST('0x' || substring(x, 2 * i + 1, 2) AS BIGINT) GROUP BY k, r, c, x),
+hashed AS (SELECT k, r, c, xor(xor(sums.v, start.v), 4294967295) AS h FROM sums JOIN start USING (n)),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (SELECT CASE WHEN k IS NOT NULL AND h % 31 = 0
+              THEN substring(r, 1, CAST(h % len(r) AS INT)) || substring(r, CAST(h % len(r) AS INT) + 2) ELSE r END AS word, c FROM hashed)
+          WHERE len(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+cuts AS (SELECT word, p, substring(word, 1, CAST(p AS INT)) || substring(word, CAST(p AS INT) + 2) AS d FROM (SELECT word, unnest(range(len(word))) AS p FROM words)),
+near AS (SELECT a.word AS w, b.word AS x FROM cuts a JOIN cuts b ON a.d = b.d AND a.p = b.p AND a.word <> b.word
+         UNION SELECT c.word, w.word FROM cuts c JOIN words w ON c.d = w.word UNION SELECT w.word, c.word FROM cuts c JOIN words w ON c.d = w.word),
+best AS (SELECT w, count(*) AS n_near, arg_min(x, (-n, x)) AS x, max(n) AS near_n FROM near JOIN words ON words.word = x GROUP BY w),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN x END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n FROM words LEFT JOIN best ON w = word),
+chain(word, top) AS (SELECT word, word FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.top WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.top AS root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word JOIN forms e ON e.word = c.top AND e.form IS NULL"""
+
+
+@_query("op12_spelling", _spelling_sql())
+def op12_spelling(table):
+    return spelling.variants(table("documents"), "doc_id", "text")
+
+
+@_query("op13_collocations", r"""
+WITH lines AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+cut AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lines),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM cut),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+          FROM pieces, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY lang, k, phrase),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+words AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+cuts AS (SELECT lang, k, phrase, a, w, c, array_to_string(w[1:c], ' ') AS x, array_to_string(w[c + 1:], ' ') AS y FROM words, (VALUES (1), (2)) t(c) WHERE c < k),
+scored AS (SELECT cuts.*, l.a AS l, r.a AS r, CAST((CAST(1000000 AS HUGEINT) * cuts.a * cuts.a) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+           FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+held AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM words WHERE k = 3
+         UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM words WHERE k = 3) GROUP BY lang, phrase)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank, s.phrase, s.a, s.l, s.r, n, score
+FROM lowest s JOIN totals ON totals.lang = s.lang LEFT JOIN held h ON h.lang = s.lang AND h.phrase = s.phrase
+WHERE longer IS NULL OR 100 * longer < 50 * s.a QUALIFY rank <= 2000""")
+def op13_collocations(table):
+    return collocations.collocations(table("documents"), "text", "lang")

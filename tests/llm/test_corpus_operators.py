@@ -24,7 +24,7 @@ def test_same_rows_as_sql(spark, name):
     assert compare(QUERIES[name](spark, FOLDER), duck(FOLDER), ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - {"op11_neighbours"}))
 def test_one_row_per_document(spark, name):
     table, key = ("pages", "page_id") if name == "op5_pages" else ("documents", "doc_id")
     rows, source = QUERIES[name](spark, FOLDER), spark.read.parquet(f"{FOLDER}/{table}.parquet")
