@@ -32,7 +32,7 @@ BITS = 1 << 25
 #: The first frontier reaches down to the score of this many times ``TOP`` two-word phrases, each next one four times as far.
 FIRST_WIDTH = 2
 #: Bytes of text that are counted together in a task before Spark adds up.
-CHUNK = 1 << 23
+CHUNK = 1 << 20
 
 _BREAK = byte_set((0x0A, 0x0D))
 _BREAK[list(b".,;:!?")] = True
