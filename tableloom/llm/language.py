@@ -8,22 +8,24 @@ occurrences, D distinct bytes). Below order 0 all 256 bytes are equal. So every
 context has a proper distribution, and the sum of -log2 p over a text is the
 exact length of its code. The language with the shortest code wins.
 
-As statistics are frozen, the cost of a byte depends on the three bytes before
-it alone. The trees are therefore unfolded into two tables, one for contexts
-that have a node of their own in some language, and one for the rest, which
-fall back to order 2. Bytes that no training text holds share one class, since
-they cost the same everywhere. Every language of the training rows is learned:
-with many of them the rarest bytes join that class and fewer contexts get a node
-of their own, which bounds the tables.
+The trees are counted in tasks and stay sparse: a language costs as much as its
+own training texts hold, and changes nothing for the others. As statistics are
+frozen, a byte that was seen after its context has a cost of its own, and any
+other one costs the context's escape and what the shorter context charges. For
+scoring, the trees of up to ``AT_ONCE`` languages are laid side by side, so that
+one search finds a context for all of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableloom.llm.common import pieces, text_bytes
@@ -31,19 +33,12 @@ from tableloom.llm.common import pieces, text_bytes
 UNDETERMINED = "und"
 #: Bounds of the training sample: texts per language, bytes of a training text, bytes of all languages.
 TEXTS, TEXT_BYTES, SAMPLE_BYTES = 400, 1 << 16, 1 << 26
-#: Values of each of the two tables, and languages whose costs are looked up at once.
-TABLE, AT_ONCE = 1 << 25, 16
-#: A context gets a node of order 3 when training texts hold it so many times; most nodes at that order.
-NODE_COUNT, NODES = 4, 1 << 15
+#: Languages whose trees are searched at once.
+AT_ONCE = 16
+#: A context of three bytes is a node of its language's tree when the training texts hold it so many times.
+NODE_COUNT = 4
 
-
-@dataclass
-class Models:
-    languages: list[str]
-    classes: np.ndarray  # byte -> class
-    nodes: np.ndarray  # index of three classes -> row of ``third``, 0 without a node
-    second: np.ndarray  # [three classes][language] bits, by order 2
-    third: np.ndarray  # [node * classes + class][language] bits
+Grams = list[tuple[np.ndarray, np.ndarray]]
 
 
 def held_out(key: Column) -> Column:
@@ -51,8 +46,8 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, key: str, text: str, lang: str) -> dict[str, list[bytes]]:
-    """About ``TEXTS`` texts of every language, chosen by hash, and an equal share of ``SAMPLE_BYTES`` for each.
+def _training_texts(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """Rows (lang, text): about ``TEXTS`` texts of every language, chosen by hash, and an equal share of ``SAMPLE_BYTES`` for each.
 
     Longer texts than ``TEXT_BYTES`` train only a language without shorter ones, by their beginnings.
     """
@@ -60,10 +55,7 @@ def training_sample(docs: DataFrame, key: str, text: str, lang: str) -> dict[str
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
     short = F.octet_length("text") <= TEXT_BYTES
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("n_short"))
-    languages = counts.count()
-    if not languages:
-        return {}
-    room = max(4, SAMPLE_BYTES // languages)
+    room = max(4, SAMPLE_BYTES // max(1, counts.count()))
     # One row per language.
     usable = rows.join(F.broadcast(counts), "lang").filter(short | (F.col("n_short") == 0))
     rate = F.least(F.lit(1.0), F.lit(float(TEXTS)) / F.when(F.col("n_short") > 0, F.col("n_short")).otherwise(F.col("n")))
@@ -73,119 +65,228 @@ def training_sample(docs: DataFrame, key: str, text: str, lang: str) -> dict[str
     part = F.when(F.octet_length("text") <= limit, F.col("text")).otherwise(F.substring("text", 1, limit // 4))
     chosen = usable.filter(place < rate * (1 << 30)).select("lang", part.alias("text"), place.alias("place"))
     order = Window.partitionBy("lang").orderBy("place", "text")
-    fitting = chosen.withColumn("row", F.row_number().over(order)).filter(F.col("row") <= 2 * TEXTS).withColumn(
-        "bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("bytes") <= room)
-    out: dict[str, list[bytes]] = {}
-    for r in fitting.select("lang", "text").orderBy("lang", "text").collect():
-        out.setdefault(r["lang"], []).append(r["text"].encode())
+    return chosen.withColumn("row", F.row_number().over(order)).filter(F.col("row") <= 2 * TEXTS).withColumn(
+        "bytes", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("bytes") <= room).select("lang", "text")
+
+
+def _grams(data: np.ndarray, offsets: np.ndarray) -> Grams:
+    """Distinct runs of one to four bytes within rows, as numbers whose lowest byte is the last one, and their counts."""
+    out, run, at = [], data.astype(np.int64), np.arange(len(data))
+    start = np.repeat(offsets[:-1], np.diff(offsets))
+    for k in range(4):
+        if k:
+            run = (run[:-1] << 8 | data[k:]) if len(run) > 1 else run[:0]
+        inside = at[k:][start[k:] <= at[k:] - k] - k
+        out.append(np.unique(run[inside], return_counts=True))
     return out
 
 
-def _spread(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Distribution of a context with these counts, given the shorter context's; rows are contexts."""
-    total, seen = counts.sum(1, keepdims=True), counts > 0
-    distinct = seen.sum(1, keepdims=True)
-    left = np.where(seen, 0, below)
-    rest = left.sum(1, keepdims=True)
-    escape = distinct / np.maximum(total + distinct, 1)
-    # A context that has seen every byte keeps no room for an escape.
-    full = np.where(rest > 0, counts / np.maximum(total + distinct, 1) + escape * left / np.where(rest > 0, rest, 1),
-                    counts / np.maximum(total, 1))
-    return np.where(total > 0, full, below)
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        coded = batch.column(0).dictionary_encode()
+        for i, lang in enumerate(coded.dictionary.to_pylist()):
+            own = batch.column(1).filter(pa.array(np.asarray(coded.indices) == i))
+            for order, (grams, n) in enumerate(_grams(*text_bytes(own))):
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(np.full(len(grams), order, np.int32)), pa.array(grams), pa.array(n)],
+                                                 ["lang", "k", "gram", "n"])
+
+
+def _packed_tree(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row per order: the language's sorted grams and their counts."""
+    out = []
+    for k, own in rows.groupby("k"):
+        own = own.sort_values("gram")
+        out.append((own["lang"].iloc[0], k, own["gram"].to_numpy("<i8").tobytes(), own["n"].to_numpy("<i8").tobytes()))
+    return pd.DataFrame(out, columns=["lang", "k", "grams", "counts"])
+
+
+def learned(docs: DataFrame, key: str, text: str, lang: str) -> Models:
+    """Context trees of every language of the training rows, counted in tasks from a bounded sample.
+
+    What comes back is bounded by the sample: at most a gram of each order per byte, and in
+    practice a few hundred kilobytes a language. No training rows give no models.
+    """
+    counts = _training_texts(docs, key, text, lang).mapInArrow(_count_grams, "lang string, k int, gram long, n long")
+    summed = counts.groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
+    trees = summed.groupBy("lang").applyInPandas(_packed_tree, "lang string, k int, grams binary, counts binary")
+    out: dict[str, Grams] = {}
+    for r in trees.collect():
+        own = out.setdefault(r["lang"], [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * 4)
+        own[r["k"]] = np.frombuffer(r["grams"], "<i8"), np.frombuffer(r["counts"], "<i8")
+    return Models({k: out[k] for k in sorted(out)})
 
 
 def train(sample: dict[str, list[bytes]]) -> Models:
-    """Context trees of each language of the sample, unfolded into cost tables."""
-    languages = sorted(sample)
-    joined = {k: [np.frombuffer(t, np.uint8) for t in sample[k]] for k in languages}
-    shares = np.zeros(256)
-    for texts in joined.values():
-        times = sum((np.bincount(t, minlength=256) for t in texts), np.zeros(256, np.int64))
-        shares = np.maximum(shares, times / max(1, times.sum()))
-    # The bytes that have the largest share of some language, as many as the tables have room for.
-    most = max(1, int((TABLE / max(1, len(languages))) ** (1 / 3) + 1e-9) - 1)
-    used = np.zeros(256, bool)
-    used[np.argsort(-shares, kind="stable")[:most]] = True
-    used &= shares > 0
-    classes = np.full(256, used.sum(), np.int64)
-    classes[used] = np.arange(used.sum())
-    a = int(used.sum()) + 1
-    # The last class stands for all unseen and the rarest bytes, of which there may be none.
-    base = np.full(a, 1 / 256)
-    base[-1] = (256 - a + 1) / 256
-    unseen = max(1, 256 - a + 1)
-    grams, counted = {}, np.zeros(a ** 3, np.int64)
-    for k in languages:
-        sums = [np.zeros(a ** i, np.int64) for i in (1, 2, 3)]
-        deep = []
-        for t in joined[k]:
-            c = classes[t]
-            index = c
-            for i in (1, 2, 3):
-                if len(c) >= i:
-                    index = c if i == 1 else index[:-1] * a + c[i - 1:]
-                    sums[i - 1] += np.bincount(index, minlength=a ** i)
-            if len(c) >= 4:
-                deep.append(index[:-1] * a + c[3:])
-        deep = np.concatenate(deep) if deep else np.zeros(0, np.int64)
-        grams[k] = (*sums, np.unique(deep, return_counts=True))
-        counted = np.maximum(counted, sums[2])
-    order = np.argsort(-counted, kind="stable")[: max(1, min(NODES, TABLE // (a * max(1, len(languages)))))]
-    own = np.sort(order[counted[order] >= NODE_COUNT])
-    nodes = np.zeros(a ** 3, np.int32)
-    nodes[own] = np.arange(1, len(own) + 1)
-    second = np.zeros((a ** 3, len(languages)), np.float32)
-    third = np.zeros(((len(own) + 1) * a, len(languages)), np.float32)
-    bits = lambda p: -np.log2(np.maximum(p, 1e-300))
-    one = np.ones(a)
-    one[-1] = unseen  # an unseen byte has its share of the class
-    for j, k in enumerate(languages):
-        n1, n2, n3, (deep, times) = grams[k]
-        p0 = _spread(n1.reshape(1, a), base.reshape(1, a))
-        p1 = _spread(n2.reshape(a, a), np.repeat(p0, a, 0))
-        p2 = _spread(n3.reshape(a * a, a), np.tile(p1, (a, 1)))
-        second[:, j] = bits(p2 / one).ravel()
-        n4 = np.zeros((len(own) + 1, a), np.int64)
-        at = nodes[deep // a]
-        np.add.at(n4, (at[at > 0], deep[at > 0] % a), times[at > 0])
-        p3 = _spread(n4[1:], p2[own % (a * a)])
-        third[a:, j] = bits(p3 / one).ravel()
-    return Models(languages, classes, nodes, second, third)
+    """Context trees of given texts per language."""
+    trees = {}
+    for k in sorted(sample):
+        sizes = np.concatenate([[0], np.cumsum([len(t) for t in sample[k]])]).astype(np.int64)
+        trees[k] = _grams(np.frombuffer(b"".join(sample[k]), np.uint8), sizes)
+    return Models(trees)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of numbers among sorted keys, and which of them are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+class Tree:
+    """Costs in bits of one language: of bytes seen after a context, and of leaving the context."""
+
+    def __init__(self, grams: Grams) -> None:
+        self.seen: list[tuple[np.ndarray, np.ndarray]] = []
+        self.escape: list[tuple[np.ndarray, np.ndarray]] = []
+        for k, (keys, n) in enumerate(grams):
+            contexts, first, where = np.unique(keys >> 8, return_index=True, return_inverse=True)
+            total = np.bincount(where, n, len(contexts))
+            if k == 3:
+                keep = total[where] >= NODE_COUNT
+                keys, n = keys[keep], n[keep]
+                contexts, where = np.unique(keys >> 8, return_inverse=True)
+                total = np.bincount(where, n, len(contexts))
+            distinct = np.bincount(where, minlength=len(contexts))
+            # What the shorter context leaves to the bytes not seen here; one that has seen every byte needs no escape.
+            left = 1 - np.bincount(where, np.exp2(-self.cost(k - 1, keys & (1 << 8 * k) - 1)), len(contexts))
+            every = distinct == 256
+            room = np.where(every, total, total + distinct)
+            self.seen.append((keys, -np.log2(n / room[where])))
+            self.escape.append((contexts, np.where(every, 0.0, np.log2(np.maximum(left, 1e-12)) - np.log2(np.maximum(distinct, 1) / np.maximum(room, 1)))))
+
+    def cost(self, k: int, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each gram after its ``k`` bytes before."""
+        if k < 0:
+            return np.full(len(grams), 8.0)
+        keys, bits = self.seen[k]
+        at, there = _find(keys, grams)
+        out = np.zeros(len(grams))
+        out[there] = bits[at[there]]
+        rest = np.flatnonzero(~there)
+        if len(rest):
+            out[rest] = self.leave(k, grams[rest] >> 8) + self.cost(k - 1, grams[rest] & (1 << 8 * k) - 1)
+        return out
+
+    def leave(self, k: int, contexts: np.ndarray) -> np.ndarray:
+        """Bits of the escape from each context; a context that was never seen is left for nothing."""
+        keys, bits = self.escape[k]
+        at, there = _find(keys, contexts)
+        out = np.zeros(len(contexts))
+        out[there] = bits[at[there]]
+        return out
+
+
+class Index:
+    """Row of each of some 32-bit numbers, -1 for others: a hashed table, searched for many numbers at once."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.bits = max(8, int(4 * len(keys)).bit_length())
+        self.keys, self.rows = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int32)
+        todo, at = np.arange(len(keys)), self._slot(keys)
+        while len(todo):
+            free = self.rows[at] < 0
+            self.rows[at[free]] = todo[free]  # of several numbers the last one stays
+            self.keys[at[free]] = keys[todo[free]]
+            left = self.rows[at] != todo
+            todo, at = todo[left], (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(32 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slot(keys)
+        out, held = self.rows[at], self.keys[at]
+        wrong = np.flatnonzero((held != keys) & (out >= 0))
+        out[wrong] = -2
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & ((1 << self.bits) - 1)
+            slot = at[wrong]
+            same, free = self.keys[slot] == keys[wrong], self.rows[slot] < 0
+            out[wrong[same]] = self.rows[slot[same]]
+            out[wrong[free]] = -1
+            wrong = wrong[~same & ~free]
+        return out
+
+
+class Block:
+    """Trees of several languages side by side: rows of bits for grams that any of them has seen."""
+
+    def __init__(self, trees: list[Tree]) -> None:
+        side_by_side = lambda columns: np.stack(columns, 1).astype(np.float32)
+        self.first = side_by_side([t.cost(0, np.arange(256)) for t in trees])
+        self.second = side_by_side([t.cost(1, np.arange(1 << 16)) for t in trees])
+        self.grams, self.leave = {}, {}
+        for k in (2, 3):
+            keys = np.unique(np.concatenate([t.seen[k][0] for t in trees]))
+            self.grams[k] = Index(keys), side_by_side([t.cost(k, keys) for t in trees])
+            keys = np.unique(np.concatenate([t.escape[k][0] for t in trees]))
+            self.leave[k] = Index(keys), side_by_side([t.leave(k, keys) for t in trees])
+
+    def cost(self, k: int, grams: np.ndarray) -> np.ndarray:
+        """Bits [gram][language] of the last byte of each gram after its ``k`` bytes before."""
+        if k < 2:
+            return (self.first, self.second)[k][grams]
+        index, bits = self.grams[k]
+        row = index.find(grams)
+        out = bits[row] if len(bits) else np.zeros((len(grams), self.first.shape[1]), np.float32)
+        rest = np.flatnonzero(row < 0)
+        if len(rest):
+            short = self.cost(k - 1, grams[rest] & (1 << 8 * k) - 1)
+            index, bits = self.leave[k]
+            node = index.find(grams[rest] >> 8)
+            held = np.flatnonzero(node >= 0)
+            short[held] += bits[node[held]]
+            out[rest] = short
+        return out
+
+
+@dataclass
+class Models:
+    trees: dict[str, Grams]  # per language, sorted by name
+
+    @property
+    def languages(self) -> list[str]:
+        return list(self.trees)
+
+    @cached_property
+    def blocks(self) -> list[Block]:
+        """Built where texts are scored; only the counts travel."""
+        trees = [Tree(g) for g in self.trees.values()]
+        return [Block(trees[i: i + AT_ONCE]) for i in range(0, len(trees), AT_ONCE)]
 
 
 def code_lengths(models: Models, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bits of each row's text under each language: [row][language]. A text begins as if after three unseen bytes."""
-    a = round(len(models.second) ** (1 / 3))
+    """Bits of each row's text under each language: [row][language]. The first three bytes have shorter contexts."""
     out = np.zeros((len(offsets) - 1, len(models.languages)))
     for low, high in pieces(offsets):
         at = offsets[low: high + 1]
-        own = models.classes[data[at[0]: at[-1]]]
+        own = data[at[0]: at[-1]].astype(np.int64)
         if len(own) == 0:
             continue
         at = at - at[0]
-        before = [np.concatenate([np.full(i, a - 1), own[:-i]]) if len(own) > i else np.full(len(own), a - 1) for i in (1, 2, 3)]
-        for i in (1, 2, 3):  # the first bytes of a row see nothing of the row before
-            for step in range(i):
-                first = at[:-1] + step
-                first = first[first < at[1:]]
-                before[i - 1][first] = a - 1
-        context = (before[2] * a + before[1]) * a + before[0]
-        node = models.nodes[context]
-        near = (before[1] * a + before[0]) * a + own
-        deep = np.flatnonzero(node)
-        far = node[deep].astype(np.int64) * a + own[deep]
         rows = np.flatnonzero(at[1:] > at[:-1])
-        for k in range(0, len(models.languages), AT_ONCE):
-            cost = models.second[near, k: k + AT_ONCE]
-            cost[deep] = models.third[far, k: k + AT_ONCE]
-            out[low + rows, k: k + AT_ONCE] = np.add.reduceat(cost, at[:-1][rows], axis=0, dtype=np.float64)
+        run = own.copy()
+        for i in (1, 2, 3):
+            run[i:] |= own[:-i] << 8 * i
+        begins = []
+        for k in range(3):
+            place = at[:-1][rows] + k
+            begins.append(place[place < at[1:][rows]])
+        for i, block in enumerate(models.blocks):
+            cost = block.cost(3, run)
+            for k, place in enumerate(begins):
+                cost[place] = block.cost(k, run[place] & (1 << 8 * (k + 1)) - 1)
+            out[low + rows, i * AT_ONCE: i * AT_ONCE + cost.shape[1]] = np.add.reduceat(cost, at[:-1][rows], axis=0, dtype=np.float64)
     return out
 
 
-def predictor(models: Models):
+def predictor(models: Models, spark: SparkSession):
     """Column function from a text to its language, the language's posterior and the bits of its code."""
+    shared = spark.sparkContext.broadcast(models)
 
     def predict(text: pa.Array) -> pa.Array:
+        models = shared.value
         data, offsets = text_bytes(text)
         bits = code_lengths(models, data, offsets)
         best = bits.argmin(1)
@@ -211,7 +312,7 @@ def with_language(docs: DataFrame, models: Models, text: str, result: str) -> Da
     if not models.languages:
         return docs.withColumn(result, none)
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    found = predictor(models)(F.coalesce(F.col(text), F.lit("")))
+    found = predictor(models, docs.sparkSession)(F.coalesce(F.col(text), F.lit("")))
     return docs.withColumn(result, found).withColumn(result, F.when(letters, F.col(result)).otherwise(none))
 
 

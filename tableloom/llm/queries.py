@@ -31,7 +31,7 @@ def _query(name: str, sql: str | None = None):
 @_query("op1_language")
 def op1_language(table):
     docs = table("documents")
-    models = language.train(language.training_sample(docs, "doc_id", "text", "lang"))
+    models = language.learned(docs, "doc_id", "text", "lang")
     found = language.with_language(docs.select("doc_id", "text"), models, "text", "found")
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"),
                         F.col("found.score").alias("score"), F.col("found.bits").alias("bits"))

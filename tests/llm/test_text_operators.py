@@ -23,7 +23,7 @@ def documents(spark):
 
 def test_language_of_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    models = language.train(language.training_sample(docs, "doc_id", "text", "lang"))
+    models = language.learned(docs, "doc_id", "text", "lang")
     rows = language.with_language(docs, models, "text", "f").filter(language.held_out(F.col("doc_id"))).select("lang", "f").collect()
     assert sum(r.lang == r.f.lang for r in rows) >= 0.98 * len(rows)
     assert all(0 <= r.f.score <= 1 for r in rows)
@@ -53,20 +53,65 @@ def test_language_of_odd_rows(make):
     assert {r.f.lang for r in language.with_language(make(ODD), nothing, "text", "f").collect()} == {"und"}
 
 
-def test_every_language_is_learned(make, monkeypatch):
+def naive_bits(texts, text):
+    """Code length by counting contexts anew for every byte."""
+    def times(run):
+        return sum(t.startswith(run, i) for t in texts for i in range(len(t)))
+
+    def share(context, byte):
+        counts = {b: times(context + bytes([b])) for b in range(256)}
+        total, seen = sum(counts.values()), {b for b, n in counts.items() if n}
+        below = (lambda b: share(context[1:], b)) if context else (lambda b: 1 / 256)
+        if not total or (len(context) == 3 and total < language.NODE_COUNT):
+            return below(byte)
+        if byte in seen:
+            return counts[byte] / (total + len(seen))
+        return len(seen) / (total + len(seen)) * below(byte) / (1 - sum(below(b) for b in seen))
+
+    import math
+
+    return sum(-math.log2(share(text[max(0, i - 3): i], text[i])) for i in range(len(text)))
+
+
+def test_code_lengths_against_naive_counting():
+    import numpy as np
+
+    trained = {"a": [b"abracadabra", b"abcab", b"", b"cadabr"], "b": [b"banana banana", b"dab"]}
+    models = language.train(trained)
+    texts = [b"abra", b"banabra x", b"", b"q", b"dabanaca", b"ab", "éab".encode()]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    bits = language.code_lengths(models, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    assert np.allclose(bits, [[naive_bits(trained[k], t) for k in ("a", "b")] for t in texts], rtol=1e-5)
+
+
+def test_counts_of_tasks_are_those_of_the_whole_sample(make):
+    """Trees counted in tasks equal trees of all training texts at once."""
+    rows = [(i, f"text number {i} of {i % 7}", ("x", "y", None)[i % 3]) for i in range(90)] + [(91, None, "x"), (92, "", "z")]
+    docs = make(rows)
+    kept = docs.filter(~language.held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull()).collect()
+    texts = {}
+    for r in kept:
+        texts.setdefault(r.lang, []).append(r.text.encode())
+    found, whole = language.learned(docs, "doc_id", "text", "lang"), language.train({k: v for k, v in texts.items() if any(v)})
+    assert found.languages == whole.languages
+    for k in found.languages:
+        assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(found.trees[k], whole.trees[k]))
+    assert language.learned(make([]), "doc_id", "text", "lang").languages == []
+
+
+def test_every_language_is_learned(make):
+    """Three hundred languages, and one that has long texts only."""
     rng = random.Random(3)
-    names = [f"l{i:02}" for i in range(70)]
+    names = [f"l{i:03}" for i in range(300)]
     words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for n in names}
     text = lambda n, size: " ".join(rng.choice(words[n]) for _ in range(size))
     rows = [(10 * i + j, text(n, 200), n) for i, n in enumerate(names) for j in range(8)]
     long = "".join(chr(0x3B1 + rng.randrange(24)) + " " * (rng.random() < 0.2) for _ in range(60_000))
-    rows += [(2000 + j, long[j:], "long") for j in range(8)]
+    rows += [(4000 + j, long[j:], "long") for j in range(8)]
     docs = make(rows)
-    sample = language.training_sample(docs, "doc_id", "text", "lang")
-    assert set(sample) == {*names, "long"} and max(len(t) for t in sample["long"]) <= language.TEXT_BYTES
-    monkeypatch.setattr(language, "TABLE", 1 << 20)
-    models = language.train(sample)
-    assert models.second.size <= 1 << 20 and models.third.size <= (1 << 20) + 256 * 71
+    models = language.learned(docs, "doc_id", "text", "lang")
+    assert set(models.languages) == {*names, "long"}
+    assert models.trees["long"][0][1].sum() <= 2 * language.TEXTS * language.TEXT_BYTES
     found = language.with_language(docs, models, "text", "f").select("lang", "f").collect()
     assert sum(r.f.lang == r.lang for r in found) >= 0.98 * len(found)
 
