@@ -5,8 +5,8 @@ reaches over such a cut: both kinds of tokenizer here begin a new piece at a
 space unless white space stands on both sides of the place, and texts with such
 a place are encoded whole. The ids of a text are thus those of its chunks in
 order. Chunks repeat a lot, so each worker remembers the ids of up to
-``CHUNKS`` chunks and ``PIECES`` pieces; pieces are encoded by the library's
-model. Anything unusual goes to the library's whole encoder.
+``CHUNKS`` chunks and ``PIECES`` pieces; a word with a mark after it is the word
+and the mark, and pieces are encoded by the library's model. Anything unusual goes to the library's whole encoder.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ CHUNKS, PIECES, CHUNK_CHARS, TEXTS = 400_000, 200_000, 64, 256
 _UNSURE = re.compile(r"[^\S ] (?:\s|\Z)|  (?:\s|\Z)")
 #: Fixed value: how byte-level tokenizers cut text into pieces.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: marks that no pattern joins with the word before.
+_MARKS = frozenset(".,;:!?")
 _LATIN = re.compile("[\0-įı-ɏ]*")
 
 
@@ -42,16 +44,20 @@ _NAMES = str.maketrans(_byte_names())
 
 
 class _Memory(dict):
-    """Remembers what ``make`` gives for a key, and starts anew when full."""
+    """Remembers what ``make`` gives for a key, in two generations of half of ``most`` keys: when the young one is full
+    it becomes the old one, and what is met again in the old one is young again."""
 
     def __init__(self, make, most: int) -> None:
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= CHUNK_CHARS:
-            if len(self) >= self.most:
+            if len(self) >= self.most // 2:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -72,6 +78,7 @@ class Encoder:
             form = json.load(file)
         cutter = form["pre_tokenizer"]
         self.lower = form["normalizer"] is not None
+        self.before = " " if cutter["type"] == "ByteLevel" else ""
         self.cut = regex.compile(_PIECES if cutter["type"] == "ByteLevel" else cutter["pretokenizers"][0]["pattern"]["Regex"])
         self.pieces = _Memory(self._piece, PIECES)
         self.chunks = _Memory(self._chunk, CHUNKS)
@@ -80,11 +87,21 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        named = piece.encode().decode("latin-1").translate(_NAMES)
+        if piece.isascii() and piece.isalpha():
+            named = piece  # every byte names itself
+        else:
+            named = piece.encode().decode("latin-1").translate(_NAMES)
         raw = self.raw
         return b"".join([raw[t.id] for t in self.model.tokenize(named)])
 
     def _chunk(self, chunk: str) -> bytes:
+        # A word, or a word and a mark, is the usual chunk; all pieces' patterns agree on its pieces.
+        core = chunk[:-1] if chunk[-1:] in _MARKS else chunk
+        if core.isalpha() and (core.isascii() or _LATIN.fullmatch(core)):
+            if core is not chunk:
+                return self.chunks[core] + self.pieces[chunk[-1]]
+            small = chunk.lower() if self.lower else chunk
+            return self.chunks[small] if small != chunk else self._piece(self.before + chunk)
         text = " " + chunk
         if self.lower:
             if not _LATIN.fullmatch(text):
