@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-UNITS, BATCH, RATE = 16, 64, 0.02
+UNITS, BATCH, RATE = 24, 64, 0.02
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -103,7 +103,9 @@ class Tagger:
                 i, f, o = gates[:, :u], gates[:, u: 2 * u], gates[:, 2 * u:]
                 dc = dc + dh * o * (1 - flat * flat)
                 dz = np.concatenate([dc * new * i * (1 - i), dc * before * f * (1 - f), dh * flat * o * (1 - o), dc * i * (1 - new * new)], 1)
-                np.add.at(g[f"x{side}"], x[:, t], dz)
+                # Rows of equal symbols are summed by a product with their flags.
+                seen, which = np.unique(x[:, t], return_inverse=True)
+                g[f"x{side}"][seen] += (which == np.arange(len(seen))[:, None]).astype(np.float32) @ dz
                 g[f"h{side}"] += h.T @ dz
                 g[f"c{side}"] += dz.sum(0)
                 dh, dc = dz @ wh.T, dc * f

@@ -342,6 +342,80 @@ def test_spans_and_masks_of_odd_rows(make, tagger):
     assert make([]).withColumn("f", pii.spans(F.col("text"), None)).count() == 0
 
 
+#: Not among the forms that are planted in training.
+UNSEEN_HOME, UNSEEN_OTHER = ("0dd-dddd-dddd", "(0ddd) dddddd", "0ddd-ddd-ddd", "0dd.ddd.dddd"), ("20dd/0n/1d", "1n-0n-20dd", "978-dd-ddd-dddd-d", "nd.ddd.ddd", "n.dd.ddd", "nd/nd/nd")
+
+
+def planted(spark, forms, n=240):
+    """Texts of the odd half with a number at a space, and its place."""
+    import numpy as np
+
+    r = np.random.default_rng(17)
+    texts = [x.text for x in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 2 = 1").orderBy("doc_id").collect()]
+    out = []
+    for i in range(n):
+        text, number = texts[int(r.integers(0, len(texts)))][:3000], pii._number(r, forms[i % len(forms)])
+        at = text.find(" ", int(r.integers(0, len(text)))) + 1
+        out.append((text[:at] + number + " " + text[at:], at, at + len(number)))
+    return out
+
+
+def model_spans(tagger, texts):
+    import pyarrow as pa
+
+    return [[(s["start"], s["end"]) for s in found if not s["base"]] for found in pii._finder(tagger)(pa.array(texts)).to_pylist()]
+
+
+def test_tagger_finds_unseen_phones_and_leaves_other_numbers(spark, tagger):
+    rows = planted(spark, UNSEEN_HOME)
+    found = model_spans(tagger, [r[0] for r in rows])
+    assert sum((a, b) in f for f, (_, a, b) in zip(found, rows)) >= 0.9 * len(rows)
+    assert sum(len(f) for f in found) <= 1.05 * len(rows)
+    rows = planted(spark, UNSEEN_OTHER)
+    assert sum(bool(f) for f in model_spans(tagger, [r[0] for r in rows])) <= 0.05 * len(rows)
+
+
+def test_phone_check():
+    like = lambda t: pii.phone_like(f"a {t} b", 2, 2 + len(t))
+    assert all(map(like, ["030 1234 5678", "(030) 123 4567", "415-555-0132", "0049 30 123 4567", "415.555.0132"]))
+    assert not any(map(like, ["2024-01-01 10:00", "2024-01-01", "01.02.2024 12", "978-3-16-148410-0", "0-306-40615-2", "1,234,567,890", "1.234.567.890", "123456789", "2019-2020 2021", "12 34"]))
+    assert not pii.phone_like("x415-555-0132", 1, 13) and not pii.phone_like("415-555-01329", 0, 12)
+
+
+def test_spans_against_brute_force(spark, tagger):
+    """Every window of a text, not only those with a digit, and reconciliation span by span."""
+    texts = [r[0] for r in planted(spark, pii.HOME_FORMS + pii.OTHER_NUMBERS, 60)] + [t for _, t in PERSONAL]
+    texts.append(" ".join(r[0] for r in planted(spark, UNSEEN_HOME, 12)))
+    half, found = pii.WINDOW // 2, model_spans(tagger, texts)
+    for text, got in zip(texts, found):
+        symbols, base = pii._symbols(text), brute_personal(text)
+        spans = set()
+        for start in range(0, max(1, len(text)), half):
+            tags = tagger.decode(pii._window(symbols, start)[None])[0].tolist()
+            for i, tag in enumerate(tags):
+                if tag % 2:
+                    end = i + 1
+                    while end < len(tags) and tags[end] == tag + 1:
+                        end += 1
+                    a, b = start + i, start + end
+                    whole = (i > 0 or a == 0) and (end < len(tags) or b >= len(text))
+                    name = pii.KINDS[tag // 2]
+                    if whole and (pii.phone_like(text, a, b) if name == "phone" else pii.valid(name, text[a:b])):
+                        spans.add((a, b))
+        kept = []
+        for a, b in sorted(spans, key=lambda s: (s[0] - s[1], s)):
+            if all(b <= x or a >= y for x, _, y in base) and all(b <= x or a >= y for x, y in kept):
+                kept.append((a, b))
+        assert got == sorted(kept)
+
+
+def test_long_text_full_of_spans(tagger):
+    text = " ".join(f"user{i}@example.com" if i % 3 else f"030 {i % 9000 + 1000} 5678" for i in range(12_000))
+    assert len(model_spans(tagger, [text])[0]) > 1000
+    spans = [(20 * i, 0, 20 * i + 15) for i in range(30_000)]
+    assert pii._reconciled(spans, {(a + 16, 3, a + 19) for a, _, _ in spans} | set(spans)) == sorted((a + 16, 3, a + 19) for a, _, _ in spans)
+
+
 def test_digest_of_no_spans(make):
     found = make([(1, None)]).select(F.sha2(secrets.listed(pii.spans(F.col("text"), None)), 256).alias("h"))
     assert found.first().h == hashlib.sha256(b"").hexdigest()
