@@ -3,16 +3,19 @@
 A token is a tag in its place (the tags open around it) or a whole text block.
 Tokens with equal occurrence vectors over all distinct pages of a host form a
 class; a vector is known by the exclusive or of a hash per page and count, so
-classes come from grouped counts whatever the host's size. Only tokens on more
-than half of a host's pages take part, which bounds a host's classes by the size
-of its pages. The class on the most pages is the root. A class is valid where
-more than half of the host's pages hold its tokens in one order (a repeated class
-as a whole number of rounds) and in one gap of the root. Valid classes are the
-host's template; they are nested in the root's gaps, not in each other. What
-stands between the template's tokens are slots, and no slot is dropped for its
-size. Slots for menus, adverts and the like are told by the tags around them.
-
-A page with text in an article or main element has that text, none of which is
+classes come from grouped counts whatever the host's size. Tokens on at least
+``REPEATED_PAGES`` pages and one in ``LAYOUTS`` of a host's take part, so a host may
+have several layouts, and its classes are bounded by the size of its pages.
+
+Classes are nested: a page reads them from the widest support down, and each lies in
+one gap of every wider class or is crossed by it; its parent is the narrowest class
+around it. A class is valid where more than half of the pages that hold it have its
+tokens in one order (a repeated class as a whole number of rounds) and in one gap of
+one parent. Valid classes are the host's template. What stands between the template's
+tokens are slots, and no slot is dropped for its size. Slots for menus, adverts and
+the like are told by the tags around them.
+
+A page with text in an article or main element has the slots within, none of which is
 ever template. Other pages have all blocks but the template's and the asides'.
 """
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
 from collections import Counter
 from functools import lru_cache
 from hashlib import blake2b
@@ -31,18 +35,19 @@ from pyspark.sql import functions as F
 
 from tableloom.llm.common import stored
 
-#: Distinct pages of a host from which it has a template; parts into which a host's pages are dealt.
-REPEATED_PAGES, SALTS = 8, 64
+#: Distinct pages that make a layout, and layouts that a host may have; parts into which a host's pages are dealt.
+REPEATED_PAGES, LAYOUTS, SALTS = 8, 10, 64
 
+#: A tag ends at the next < at the latest, outside quotes, so that unclosed tags are passed over in one go.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|title|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?/a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[!?/a-zA-Z][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|title|select)\b[^<>]*>.*?(?:</\1\s*>|\Z)|<[!?/a-zA-Z](?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>|<[!?/a-zA-Z][^<>]*>",
     re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(.*?)(/?)>\Z", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements whose text is never an article's, elements without an end, and elements within a line.
 _ASIDE = frozenset("nav header footer aside form button menu dialog label input".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em embed font i img ins kbd map area mark object param picture source track q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Words in a class, id or role that tell menus, adverts, notices, comments and the like.
 _OTHER = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|login|menu|nav|navbar|navigation|newsletter|"
@@ -165,39 +170,50 @@ def _counted(column: pa.Array) -> pa.Array:
     return pa.array([[{"token": t, "times": n} for t, n in Counter(x.as_py()).items()] for x in column], kind)
 
 
-def placed(tokens: list[int], known: dict[int, int]) -> list[tuple[int, int, int]]:
-    """(class, gap, order) of each class that a page holds in whole rounds, each within one gap of class 0, the root.
+def placed(tokens: list[int], known: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """(class, gap, order, parent) of each class that a page holds in whole rounds and that no wider class crosses.
 
-    ``known`` has the class of each token. The gap is that of the first round, the
-    order a hash of the class's tokens as they follow each other.
+    ``known`` has the class of each token, numbered from the widest support down. The
+    parent is the narrowest class around all rounds, -1 if there is none, the gap that of
+    the first round in its parent, the order a hash of the class's tokens as they follow
+    each other.
     """
     size = Counter(known.values())
     seen: dict[int, list[tuple[int, int]]] = {}
-    gap = 0
-    for t in tokens:
+    for i, t in enumerate(tokens):
         c = known.get(t)
-        if c is None:
-            continue
-        gap += c == 0
-        seen.setdefault(c, []).append((t, gap))
-    out = []
-    for c, found in seen.items():
-        n = size[c]
+        if c is not None:
+            seen.setdefault(c, []).append((t, i))
+    out: list[tuple[int, int, int, int]] = []
+    whole: dict[int, list[int]] = {}
+    for c in sorted(seen):
+        found, n = seen[c], size[c]
         first = [t for t, _ in found[:n]]
-        rounds = len(found) % n == 0 and len(set(first)) == n and all(t == first[i % n] for i, (t, _) in enumerate(found))
-        if rounds and (c == 0 or all(found[i][1] == found[i + n - 1][1] for i in range(0, len(found), n))):
-            out.append((c, found[0][1], _token(",".join(map(str, first)), True)))
+        if len(found) % n or len(set(first)) != n or any(t != first[i % n] for i, (t, _) in enumerate(found)):
+            continue
+        at = [i for _, i in found]
+        parent, gap, crossed = -1, 0, False
+        for p, wider in whole.items():
+            begin = [bisect(wider, i) for i in at[::n]]
+            if any(bisect(wider, at[i + n - 1]) != g for i, g in zip(range(0, len(at), n), begin)):
+                crossed = True
+                break
+            if all(0 < g < len(wider) for g in begin):
+                parent, gap = p, begin[0]
+        if not crossed:
+            whole[c] = at
+            out.append((c, gap, _token(",".join(map(str, first)), True), parent))
     return out
 
 
 def _placed(tokens: pa.Array, classes: pa.Array) -> pa.Array:
     """``placed`` of each page; ``classes`` has its host's (class, token) pairs."""
-    kind = pa.list_(pa.struct([("class", pa.int32()), ("gap", pa.int32()), ("order", pa.int64())]))
+    kind = pa.list_(pa.struct([("class", pa.int32()), ("gap", pa.int32()), ("order", pa.int64()), ("parent", pa.int32())]))
     out, last, known = [], None, {}
     for page, pairs in zip(tokens, classes):
         if last is None or not pairs.equals(last):
             last, known = pairs, {x["token"]: x["class"] for x in pairs.as_py()}
-        out.append([{"class": c, "gap": g, "order": o} for c, g, o in placed(page.as_py(), known)])
+        out.append([{"class": c, "gap": g, "order": o, "parent": p} for c, g, o, p in placed(page.as_py(), known)])
     return pa.array(out, kind)
 
 
@@ -214,21 +230,23 @@ def templates(pages: DataFrame) -> DataFrame:
     sizes = _salted(pages.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= REPEATED_PAGES))
     each = pages.select("host", "page", F.explode(F.arrow_udf(_counted, "array<struct<token: bigint, times: int>>")("tokens")).alias("x"))
     vectors = each.groupBy("host", F.col("x.token").alias("token")).agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("page", "x.times")).alias("vector")).filter(2 * F.col("n") >= REPEATED_PAGES)
-    often = vectors.select("*", _salt(F.xxhash64("token"))).join(sizes, ["host", "salt"]).filter(2 * F.col("n") > F.col("pages"))
-    # A host has fewer of these tokens than two of its pages on average.
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("page", "x.times")).alias("vector")).filter(F.col("n") >= REPEATED_PAGES)
+    often = vectors.select("*", _salt(F.xxhash64("token"))).join(sizes, ["host", "salt"]).filter(LAYOUTS * F.col("n") >= F.col("pages"))
+    # A host has fewer of these tokens than ``LAYOUTS`` of its pages on average.
     size = F.count("*").over(Window.partitionBy("host", "n", "vector"))
     number = F.dense_rank().over(Window.partitionBy("host").orderBy(F.desc("n"), F.desc("size"), "vector")) - 1
-    classes = often.select("host", "pages", "token", "n", "vector", size.alias("size")).withColumn("class", number)
-    hosts = stored(classes.groupBy("host", "pages").agg(
-        F.sort_array(F.collect_list(F.struct("class", "token"))).alias("classes")), "classes")
-    # More than half of the pages agree on one gap and one order at most.
+    classes = often.select("host", "token", "n", "vector", size.alias("size")).withColumn("class", number)
+    hosts = stored(classes.groupBy("host").agg(
+        F.sort_array(F.collect_list(F.struct("class", "token", "n"))).alias("classes")), "classes")
     dealt = pages.select("host", "tokens", _salt(F.col("page"))).join(_salted(hosts), ["host", "salt"])
-    kind = "array<struct<class: int, gap: int, order: bigint>>"
-    held = dealt.select("host", "pages", F.explode(F.arrow_udf(_placed, kind)("tokens", "classes")).alias("x")).groupBy(
-        "host", "pages", "x.class", "x.gap", "x.order").agg(F.count("*").alias("n")).filter(2 * F.col("n") > F.col("pages"))
-    valid = held.select("host", "class").join(hosts.select("host", "classes"), "host")
-    texts = F.transform(F.filter("classes", lambda x: (x["class"] == F.col("class")) & (x["token"].bitwiseAND(F.lit(1)) == 1)), lambda x: x["token"])
+    kind = "array<struct<class: int, gap: int, order: bigint, parent: int>>"
+    pairs = F.transform("classes", lambda x: F.struct(x["class"].alias("class"), x["token"].alias("token")))
+    # More than half of a class's pages agree on one gap of one parent and on one order at most.
+    held = dealt.select("host", F.explode(F.arrow_udf(_placed, kind)("tokens", pairs)).alias("x")).groupBy(
+        "host", "x.class", "x.gap", "x.order", "x.parent").agg(F.count("*").alias("agreed"))
+    own = F.filter("classes", lambda x: x["class"] == F.col("class"))
+    valid = held.join(hosts, "host").withColumn("own", own).filter(2 * F.col("agreed") > F.col("own")[0]["n"])
+    texts = F.transform(F.filter("own", lambda x: x["token"].bitwiseAND(F.lit(1)) == 1), lambda x: x["token"])
     return valid.select("host", texts.alias("texts")).groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("template"))
 
 
@@ -238,7 +256,8 @@ def extracted(pages: DataFrame, key: str, url: str, source: str) -> DataFrame:
     A host's pages are dealt out by a salt, so that a host with any share of the
     pages goes to many tasks. A null or empty page has an empty text. Pages with a
     null url, or one without a host, count as one host. Repeated rows give equal
-    texts and count as one page; a null key is a key like others.
+    texts and count as one page; a null key is a key like others. An empty table gives
+    no rows, a very long page is read like any other, other columns are not read.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     read = F.arrow_udf(_read_pages, f"tokens array<bigint>, blocks {_BLOCKS}")

@@ -253,6 +253,44 @@ def test_classes_need_one_order_and_one_gap():
     assert one[1][:2] == two[1][:2] and one[1][2] != two[1][2]
 
 
+def test_two_layouts_of_one_host(spark):
+    """Each layout's shell goes, though either is on half of the pages, and nothing of the slots."""
+    one = "<html><body><div>Site name</div><div>Menu one</div><p>First {0}</p><div>Bottom one</div></body></html>"
+    two = "<html><body><div>Site name</div><section><span>Menu two</span><p>Second {0}</p></section><table><tr><td>Bottom two</td></tr></table></body></html>"
+    rows = [(i, "https://two.example/x", (one if i % 2 else two).format(i)) for i in range(60)]
+    assert page_texts(spark, rows) == {(i, ("First {0}" if i % 2 else "Second {0}").format(i)) for i in range(60)}
+
+
+def test_classes_are_nested():
+    known = {10: 0, 20: 0, 11: 1, 19: 1, 12: 2, 13: 2, 30: 3}
+    found = {c: (p, g) for c, g, _, p in pages.placed([10, 11, 12, 5, 13, 19, 20, 30], known)}
+    assert found == {0: (-1, 0), 1: (0, 1), 2: (1, 1), 3: (-1, 0)}
+
+
+def test_main_part_by_template_where_tags_say_nothing(spark):
+    """The same texts for pages whose article and main elements are plain divs."""
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    plain = table.withColumn("html", F.regexp_replace("html", r"(?i)<(/?)(article|main)\b", "<$1div"))
+    assert plain.exceptAll(table).count() > 200
+    want = {r.page_id: r.text for r in pages.extracted(table, "page_id", "url", "html").collect()}
+    got = {r.page_id: r.text for r in pages.extracted(plain, "page_id", "url", "html").collect()}
+    assert sum(got[k] == want[k] for k in want) >= 0.95 * len(want)
+
+
+def test_blocks_and_reader_comments(spark):
+    page = '<main><p>Hello <img src="x"> wide <picture><source></picture>world<br>Next</p><div class="comments"><p>Reader</p></div><p>End</p></main>'
+    assert page_texts(spark, [(1, "https://h.example", page)]) == {(1, "Hello wide world\nNext\nEnd")}
+
+
+@pytest.mark.parametrize("part", ["<a", "<a '", "<script", "<!", '<a "', "</script ", "<p>x", "< ", "<a href=\"x\">y</a>"])
+def test_long_pages_take_linear_time(part):
+    import time
+
+    start = time.process_time()
+    pages._Page(part * 100_000)
+    assert time.process_time() - start < 12
+
+
 # --- pipeline ---------------------------------------------------------------------
 
 def test_stages_take_effect(spark):
