@@ -76,16 +76,17 @@ def op2_secrets(table):
 def _licenses_sql() -> str:
     words = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     phrases = ", ".join(f"('{label}', '{p}', {len(p.split())})" for p, label in licenses.PHRASES.items())
-    templates = ", ".join(f"({i}, '{label}', list_distinct(string_split('{t}', ' ')), {o})"
+    templates = ", ".join(f"({i}, '{label}', list_distinct(string_split('{t}', ' ')), {o}, {licenses.span(t)})"
                           for (i, label, _, o), (_, t) in zip(licenses._sets(), licenses.TEMPLATES))
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {words.format("coalesce(text, '')")} AS w FROM documents),
-phrases(label, p, k) AS (VALUES {phrases}), templates(t, label, w, o) AS (VALUES {templates}),
+phrases(label, p, k) AS (VALUES {phrases}), templates(t, label, w, o, s) AS (VALUES {templates}),
 places AS (SELECT doc_id, label, i - 1 AS i FROM (SELECT doc_id, w, label, p, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, phrases WHERE len(w) >= k)
            WHERE w[i] = string_split(p, ' ')[1] AND array_to_string(w[i:i + k - 1], ' ') = p),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS b FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, list_distinct({words.format("line")}) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
-held AS (SELECT doc_id, label, len(list_intersect(l.w, t.w)) / len(t.w) AS share FROM lines l, templates t WHERE len(list_intersect(l.w, t.w)) >= t.o),
+cut AS (SELECT doc_id, s, list_distinct(w[k * s + 1: k * s + 2 * s]) AS w
+        FROM (SELECT doc_id, w, s, unnest(range(0, greatest(CAST(ceil((len(w) - 2 * s) / s) AS INT), 0) + 1)) AS k FROM d, (SELECT DISTINCT s FROM templates))),
+held AS (SELECT doc_id, label, len(list_intersect(c.w, t.w)) / len(t.w) AS share FROM cut c JOIN templates t ON c.s = t.s AND len(list_intersect(c.w, t.w)) >= t.o),
 labels AS (SELECT DISTINCT doc_id, label FROM places UNION SELECT DISTINCT doc_id, label FROM held)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(base.n, 0) AS n_base, base.a AS first_word, base.b AS last_word,
        coalesce((SELECT string_agg(label, ',' ORDER BY label) FROM (SELECT DISTINCT label FROM places p WHERE p.doc_id = d.doc_id)), '') AS base_labels,

@@ -172,10 +172,12 @@ def brute_licenses(text):
     words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.translate(LOWER))
     places = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(words)) if words[i: i + len(p.split())] == p.split()]
     more, best = set(), 0.0
-    for line in text.translate(LOWER).split("\n"):
-        block = set(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", line))
-        for label, template in licenses.TEMPLATES:
-            whole = set(template.split())
+    for label, template in licenses.TEMPLATES:
+        whole, span = set(template.split()), 1
+        while span < 1.25 * len(template.split()):
+            span *= 2
+        for start in range(0, max(len(words) - span, 1), span):
+            block = set(words[start: start + 2 * span])
             if len(block & whole) >= licenses.THRESHOLD * len(whole):
                 more.add(label)
                 best = max(best, len(block & whole) / len(whole))
@@ -184,6 +186,28 @@ def brute_licenses(text):
             tuple(base), tuple(sorted({*base, *more})), 1.0 if places else best)
 
 
+def wrapped(text, at=44):
+    """As in a source file: a few words a line, each behind a comment mark, within other text."""
+    import textwrap
+
+    lines = textwrap.wrap(text, at)
+    return "def f(x): return 1\n" * 9 + "\n".join(" * " + t for t in lines) + "\n" + "other words follow here\n" * 9
+
+
+def test_wrapped_notices_and_scattered_words(make):
+    """A notice over many lines is found wherever it begins; a template's words scattered over a long line aren't a notice."""
+    rows, want = [], {}
+    for i, (label, text) in enumerate(licenses.TEMPLATES):
+        for shift in range(0, 40, 13):
+            rows.append((100 * i + shift, "x " * shift + wrapped(text)))
+            want[100 * i + shift] = label
+        scattered = "".join(f"{w} " + " ".join(f"n{i}x{j}" for j in range(40)) + " " for j, w in enumerate(text.split()))
+        rows.append((5000 + i, scattered))
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.labelled(make(rows), "doc_id", "text").collect()}
+    assert all(label in got[i][0] and got[i][1] >= licenses.THRESHOLD for i, label in want.items())
+    assert all(got[5000 + i] == ([], 0.0) for i in range(len(licenses.TEMPLATES)))
+
+
 def test_licenses_against_brute_force(make):
     rows = licenses.labelled(make(ODD + NOTICES), "doc_id", "text").collect()
     got = Counter((r[0], r[1], r[2], r[3], r[4], tuple(r[5]), tuple(r[6]), r[7]) for r in rows)
