@@ -7,6 +7,7 @@ their memory whatever the batch holds; a single longer text is one piece.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 PIECE = 1 << 18
-#: Rows that a task hands to Python at once.
-BATCH_ROWS = 1024
+#: Rows and bytes that a task hands to Python at once.
+BATCH_ROWS, BATCH_BYTES = 1024, 1 << 22
 
 
 @cache
@@ -37,11 +38,16 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Hand at most ``BATCH_ROWS`` rows to Python at once in this session: Spark's 10,000 whole texts don't fit small workers."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = int(spark.conf.get(name))
+    """Hand at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES`` to Python at once in this session: Spark's 10,000 whole
+    texts, or its 64 MB, don't fit small workers."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = int(spark.conf.get(rows))
     if before <= 0 or before > BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+        spark.conf.set(rows, BATCH_ROWS)
+    number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", spark.conf.get(size).lower()).groups()
+    before = int(number) << 10 * " kmgtp".index(unit or " ")
+    if before <= 0 or before > BATCH_BYTES:
+        spark.conf.set(size, f"{BATCH_BYTES}b")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
