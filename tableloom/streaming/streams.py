@@ -140,6 +140,21 @@ def hourly_stats(df: DataFrame, ts: str, user: str, is_error: Column) -> DataFra
         F.count(F.lit(1)).alias("requests"), F.count_if(is_error).alias("errors"), users.alias("users"))
 
 
+def hourly_by_user(stream: DataFrame, ts: str, user: str, is_error: Column, delay: str) -> DataFrame:
+    """Requests and errors per hour and user, for update mode; ``hourly_totals`` of the newest rows are exact.
+
+    A stream cannot count distinct values, so the state has a row per hour and
+    user, which goes when the watermark has passed the hour.
+    """
+    return stream.withWatermark(ts, delay).groupBy(F.window(ts, "1 hour").alias("w"), user).agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if(is_error).alias("errors")).select(F.col("w.start").alias("hour"), user, "requests", "errors")
+
+
+def hourly_totals(newest: DataFrame, user: str) -> DataFrame:
+    """Requests, errors and different users per hour from one row per hour and user; a null user is none."""
+    return newest.groupBy("hour").agg(F.sum("requests").alias("requests"), F.sum("errors").alias("errors"), F.count(user).alias("users"))
+
+
 def keyed_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
     """Custom keyed state: running count and maximum per key, kept across batches.
 
@@ -168,16 +183,47 @@ def keyed_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
         update, schema, state, "update", GroupStateTimeout.NoTimeout)
 
 
+def expiring_totals(stream: DataFrame, key: str, value: str, ts: str, delay: str, idle_seconds: int) -> DataFrame:
+    """Running count and maximum per key, as ``keyed_totals``, whose state goes when a key has been idle.
+
+    A timer is set ``idle_seconds`` after a key's last event. When the watermark passes
+    it, a last row marked ``closed`` is put out and the state removed; a key that
+    comes back begins anew.
+    """
+    out = T.StructType([stream.schema[key], T.StructField("n", T.LongType()), T.StructField("top", T.DoubleType()), T.StructField("closed", T.BooleanType())])
+    state = T.StructType([T.StructField("n", T.LongType()), T.StructField("top", T.DoubleType()), T.StructField("last", T.LongType())])
+
+    def update(keys: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        n, top, last = held.get if held.exists else (0, None, 0)
+        if held.hasTimedOut:
+            held.remove()
+        else:
+            for batch in batches:
+                tops = [x for x in (top, *batch["top"]) if x is not None and x == x]
+                n, top, last = n + int(batch["n"].sum()), max(tops, default=None), max(last, int(batch["last"].max()))
+            held.update((n, top, last))
+            held.setTimeoutTimestamp(max(last + 1000 * idle_seconds, held.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({key: [keys[0]], "n": [n], "top": pd.array([top], "Float64"), "closed": [held.hasTimedOut]})
+
+    timed = stream.withWatermark(ts, delay)
+    narrow = timed.select(F.col(key), F.col(ts), F.lit(1).cast("long").alias("n"), F.col(value).cast("double").alias("top"), F.unix_millis(ts).alias("last"))
+    return narrow.groupBy(key).applyInPandasWithState(update, out, state, "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def join_static(stream: DataFrame, static: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     return stream.join(static, list(on), how)
 
 
-def join_streams(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, delay: str, within: str) -> DataFrame:
-    """Rows of two streams with the same key, the right one at most ``within`` later."""
+def join_streams(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, delay: str, within: str, how: str = "inner") -> DataFrame:
+    """Rows of two streams with the same key, the right one at most ``within`` later.
+
+    With ``how="leftOuter"`` a left row without a partner is put out with nulls once
+    the watermark has passed its range.
+    """
     a = left.withWatermark(left_ts, delay)
     b = right.withColumnRenamed(key, "__key").withWatermark(right_ts, delay)
     near = (F.col(right_ts) >= F.col(left_ts)) & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within}"))
-    return a.join(b, (F.col(key) == F.col("__key")) & near).drop("__key")
+    return a.join(b, (F.col(key) == F.col("__key")) & near, how).drop("__key")
 
 
 def rate_limit(df: DataFrame, client: str, ts: str, unique: str, limit: int, seconds: int) -> DataFrame:
@@ -250,3 +296,13 @@ def foreach_rows(df: DataFrame, action: Callable) -> None:
             action(row)
 
     df.foreachPartition(visit)
+
+
+def foreach_batches(df: DataFrame, action: Callable) -> None:
+    """Call ``action(batch)`` for every Arrow batch of rows, inside the tasks."""
+    def visit(batches) -> Iterator:
+        for batch in batches:
+            action(batch)
+            yield batch.slice(0, 0)
+
+    df.mapInArrow(visit, df.schema).write.format("noop").mode("overwrite").save()

@@ -95,6 +95,50 @@ def test_joins_and_restart(spark, events, stream, folder):
         assert streams.run_available(stream.select("id"), out, checkpoint).count() == 2000
 
 
+def three_starts(spark, events, build, mode):
+    """Output of a query started once for each third of the events, on one checkpoint."""
+    folder, out, checkpoint = (scratch(spark, x) for x in ("events", "out", "checkpoint"))
+    for i in range(3):
+        events.filter(f"id >= {i * 700} AND id < {(i + 1) * 700}").write.mode("append").parquet(folder)
+        done = streams.run_available(build(streams.event_time(streams.open_stream(spark, folder, events.schema), "ts")), out, checkpoint, mode)
+    return done
+
+
+def test_hourly_users_are_exact_on_a_stream(spark, events):
+    error = F.col("kind") == "error"
+    seen = three_starts(spark, events, lambda s: streams.hourly_by_user(s, "ts", "user", error, "1 hour"), "update")
+    got = streams.hourly_totals(streams.latest(seen, ["hour", "user"]), "user")
+    expected = streams.hourly_stats(streams.event_time(events, "ts"), "ts", "user", error)
+    columns = "hour", "requests", "errors", "users"
+    assert rows(got, *columns) == rows(expected, *columns) and got.count() > 3
+
+
+def test_state_of_an_idle_key_goes(spark, events):
+    """User 1 is seen in the first and last third only, all others throughout; user 2 never comes back."""
+    kept = events.filter("(user != 1 OR id < 700 OR id >= 1400) AND (user != 2 OR id < 700)")
+    done = three_starts(spark, kept, lambda s: streams.expiring_totals(s, "user", "value", "ts", "1 minute", 1800), "update")
+    closed = {r["user"]: r["n"] for r in done.filter("closed").collect()}
+    first = {r["user"]: r["n"] for r in kept.filter("id < 700").groupBy("user").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert closed == {1: first[1], 2: first[2]}
+    last = {r["user"]: r["n"] for r in streams.latest(done, ["user"]).filter("NOT closed").collect()}
+    counts = {r["user"]: r["n"] for r in kept.groupBy("user").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert last == {u: n - first[1] if u == 1 else n for u, n in counts.items() if u != 2}
+
+
+def test_outer_join_of_streams(spark, events):
+    """Rows without a partner come with nulls once both streams have passed their range, and none twice."""
+    def joined(s):
+        acks = s.filter("kind = 'error'").select("id", F.col("ts").alias("ack_ts"))
+        return streams.join_streams(s.select("id", "ts"), acks, "id", "ts", "ack_ts", "1 minute", "1 MINUTE", "leftOuter")
+
+    found = three_starts(spark, events, joined, "append")
+    got = {r["id"]: r["ack_ts"] is not None for r in found.collect()}
+    assert found.count() == len(got)
+    assert {i for i, hit in got.items() if hit} == set(range(0, 2000, 4))
+    missing = {i for i in range(2000) if i % 4} - {i for i, hit in got.items() if not hit}
+    assert missing and min(missing) > 1960
+
+
 def brute_force(times, limit, span):
     held, out = [], []
     for at in times:
