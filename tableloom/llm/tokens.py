@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNKS, PIECES, CHUNK_CHARS, TEXTS = 400_000, 200_000, 64, 256
+CHUNKS, PIECES, CHUNK_CHARS, TEXTS = 600_000, 100_000, 64, 256
 #: White space on both sides of a cut.
 _UNSURE = re.compile(r"[^\S ] (?:\s|\Z)|  (?:\s|\Z)")
 #: Fixed value: how byte-level tokenizers cut text into pieces.
