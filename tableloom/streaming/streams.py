@@ -7,16 +7,25 @@ are Spark's own. Event time must be ``timestamp`` on a stream (see
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tableloom.operators.ordered import join_null_safe
+from tableloom.session import stored
+
+#: Fewest requests that are worth a slice of their own.
+SLICE_ROWS = 65_536
 
 
 def open_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -226,41 +235,130 @@ def join_streams(left: DataFrame, right: DataFrame, key: str, left_ts: str, righ
     return a.join(b, (F.col(key) == F.col("__key")) & near, how).drop("__key")
 
 
-def rate_limit(df: DataFrame, client: str, ts: str, unique: str, limit: int, seconds: int) -> DataFrame:
+def _accepted(at: list[int], held: deque, limit: int, span: int) -> list[int]:
+    """Places of the accepted ones among rising times; ``held`` has the last ``limit`` accepted times and is brought up to date."""
+    places, i = [], 0
+    while i < len(at):
+        if len(held) == limit and at[i] <= held[0] + span:
+            i = bisect_right(at, held[0] + span, i)
+        else:
+            held.append(at[i])
+            places.append(i)
+            i += 1
+    return places
+
+
+def rate_limit(df: DataFrame, client: str, ts: str, unique: str, limit: int, seconds: int,
+               slices: int | None = None, least_rows: int = SLICE_ROWS) -> DataFrame:
     """Which requests are accepted: at most ``limit`` accepted ones per client in the last ``seconds``.
 
-    Refused requests do not count, so a client's requests are walked in time
-    order. A pause longer than the window forgets everything before it, and
-    clients are cut there; pauses are found on one row per client and
-    window-wide slot. Parts are sorted within partitions and streamed in Arrow
-    batches, with at most ``limit`` times held, never a whole client.
+    Refused requests do not count, so each decision depends on earlier ones. Time is
+    cut into slots as wide as the window. A slot that has at most ``limit`` requests
+    together with the slot before it is calm: all of its requests are accepted without
+    being walked, and they are all that the next slot needs to know. Only runs of other
+    slots are walked in time order. Long runs are cut into slices of a client's
+    slots, which are walked side by side; the accepted times at the end of a slice are
+    handed to the next one, and slices that were given other times are walked again,
+    until none changes. So a slice is right after as many passes as slices of its
+    run lie before it, mostly sooner. A task reads its slices in Arrow batches and holds at most
+    ``limit`` times. A request without a time is neither accepted nor refused (null).
     """
-    span = seconds * 1_000_000
+    spark, span = df.sparkSession, seconds * 1_000_000
     timed = df.select(client, unique, _micros(ts).alias("__at")).withColumn("__slot", F.floor(F.col("__at") / span))
+    if limit < 1:
+        return timed.select(unique, F.when(F.col("__at").isNotNull(), False).alias("accepted"))
+
     order = Window.partitionBy(client).orderBy("__slot")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slots = timed.select(client, "__slot").distinct()
-    # One empty slot in between means a pause longer than the window.
-    paused = F.coalesce(F.col("__slot") - F.lag("__slot").over(order) > 1, F.lit(True)).cast("int")
-    parts = slots.withColumn("__pause", paused).select(client, "__slot", F.sum("__pause").over(upto).alias("__part"))
-    placed = join_null_safe(timed, parts, [client, "__slot"]).select(client, "__part", "__at", unique)
-    ordered = placed.repartition(client, "__part").sortWithinPartitions(client, "__part", "__at", unique)
-    schema = T.StructType([df.schema[unique], T.StructField("accepted", T.BooleanType())])
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, held = object(), []
+    per_slot = timed.filter("__slot IS NOT NULL").groupBy(client, "__slot").agg(F.count(F.lit(1)).alias("__c"))
+    joined = F.coalesce(F.col("__slot") - F.lag("__slot").over(order) == 1, F.lit(False))
+    busy = F.col("__c") + F.when(joined, F.lag("__c").over(order)).otherwise(0) > limit
+    slots = stored(per_slot.withColumn("__joined", joined).withColumn("__busy", busy), "rate-slots")
+
+    # Slices of a run begin where its client's busy rows pass a multiple of the slice size.
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = F.greatest(F.lit(least_rows), F.ceil(slots.filter("__busy").agg(F.coalesce(F.sum("__c"), F.lit(0))).scalar() / n))
+    mine = F.when(F.col("__busy"), F.col("__c")).otherwise(0)
+    counted = slots.withColumn("__cut", F.floor((F.sum(mine).over(upto) - mine) / size))
+    opens = F.col("__busy") & ~(F.col("__joined") & F.coalesce(F.lag("__busy").over(order), F.lit(False)))
+    begins = opens | (F.col("__busy") & (F.col("__cut") > F.lag("__cut").over(order)))
+    marked = counted.withColumn("__opens", opens).withColumn("__begins", F.coalesce(begins, F.lit(False)))
+    parts = marked.withColumn("__part", F.sum(F.col("__begins").cast("int")).over(upto))
+    fed = F.lead("__opens").over(order) & F.lead("__joined").over(order)
+    parts = parts.withColumn("__feeds", F.when(~F.col("__busy") & fed, F.col("__part") + 1))
+    parts = stored(parts.withColumn("__part", F.when(F.col("__busy"), F.col("__part"))), "rate-parts")
+
+    where = parts.select(client, "__slot", "__part", "__feeds")
+    placed = stored(join_null_safe(timed, where, [client, "__slot"], "left").drop("__slot"), "rate-requests")
+    walked, key = placed.filter("__part IS NOT NULL"), [client, "__part"]
+
+    # What each slice begins with: the requests of the calm slot before its run, or nothing as a first guess.
+    fed_by = placed.filter("__feeds IS NOT NULL").groupBy(client, F.col("__feeds").alias("__part")).agg(F.sort_array(F.collect_list("__at")).alias("__start"))
+    named = parts.filter("__begins").select(client, "__part", (~F.col("__opens")).alias("__follows"))
+    followed = F.coalesce(F.lead("__follows").over(Window.partitionBy(client).orderBy("__part")), F.lit(False))
+    empty = F.array().cast("array<bigint>")
+    starts = stored(join_null_safe(named.withColumn("__followed", followed), fed_by, key, "left").withColumn("__start", F.coalesce("__start", empty)), "rate-starts")
+
+    def lined_up(begun: DataFrame, rows: DataFrame) -> DataFrame:
+        """Requests in order of slice and time, each slice led by a row with what it begins with."""
+        heads = begun.select(*key, F.lit(-(1 << 63)).alias("__at"), "__start")
+        body = rows.withColumn("__start", F.lit(None).cast("array<bigint>"))
+        return heads.unionByName(body, allowMissingColumns=True).repartition(*key).sortWithinPartitions(*key, "__at", unique)
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Per batch and slice in it: batch, place of its first request, times, times held; ``None`` held goes on with the slice before."""
         for batch in batches:
-            flags = []
-            for who, part, at in zip(batch[client], batch["__part"], batch["__at"]):
-                if (who, part) != current:
-                    current, held = (who, part), []
-                held = [h for h in held if h >= at - span]
-                flags.append(len(held) < limit)
-                if flags[-1]:
-                    held.append(at)
-            yield pd.DataFrame({unique: batch[unique], "accepted": flags})
-
-    return ordered.mapInPandas(walk, schema)
+            at, begun = batch.column("__at").to_pylist(), batch.column("__start").to_pylist()
+            heads = [i for i, s in enumerate(begun) if s is not None]
+            bounds = [*heads, len(at)]
+            if bounds[0] > 0:
+                yield batch, 0, at[:bounds[0]], None
+            for i, j in zip(heads, bounds[1:]):
+                yield batch, i + 1, at[i + 1:j], deque(begun[i], maxlen=limit)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, whose = deque(), 0, None
+
+        def closed() -> pa.RecordBatch:
+            live = pa.array([[h for h in held if h >= last - span]], pa.list_(pa.int64()))
+            # What the slice after this one begins with.
+            return pa.RecordBatch.from_arrays([whose.column(client), pc.add(whose.column("__part"), 1), live], [client, "__part", "__start"])
+
+        for batch, first, at, begun in stretches(batches):
+            if begun is not None:
+                if whose is not None:
+                    yield closed()
+                held, last, whose = begun, 0, batch.slice(first - 1, 1)
+            _accepted(at, held, limit, span)
+            last = at[-1] if at else last
+        if whose is not None:
+            yield closed()
+
+    def flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = deque()
+        for batch, first, at, begun in stretches(batches):
+            held = held if begun is None else begun
+            taken = np.zeros(len(at), dtype=bool)
+            taken[_accepted(at, held, limit, span)] = True
+            yield pa.RecordBatch.from_arrays([batch.column(unique).slice(first, len(at)), pa.array(taken)], [unique, "accepted"])
+
+    handed = T.StructType([df.schema[client], T.StructField("__part", T.LongType()), T.StructField("__start", T.ArrayType(T.LongType()))])
+    walk_again = starts.filter("__followed")
+    while not walk_again.isEmpty():
+        rows = walked.select(*key, "__at").withColumn(unique, F.lit(None).cast(df.schema[unique].dataType))
+        asked = join_null_safe(rows, walk_again.select(*key), key, "left_semi")
+        told = stored(lined_up(walk_again, asked).mapInArrow(ends, handed), "rate-ends").withColumnRenamed("__start", "__told")
+        known = join_null_safe(starts, told, key, "left")
+        changed = F.col("__told").isNotNull() & (F.col("__told") != F.col("__start"))
+        known = known.withColumn("__changed", changed).withColumn("__start", F.coalesce("__told", "__start"))
+        both = stored(known.drop("__told"), "rate-starts")
+        starts = both.drop("__changed")
+        walk_again = both.filter("__changed AND __followed").drop("__changed")
+
+    schema = T.StructType([df.schema[unique], T.StructField("accepted", T.BooleanType())])
+    decided = lined_up(starts, walked.select(*key, "__at", unique)).mapInArrow(flags, schema)
+    calm = placed.filter("__part IS NULL").select(unique, F.when(F.col("__at").isNotNull(), True).alias("accepted"))
+    return decided.unionByName(calm)
 
 
 def rate_limit_stream(stream: DataFrame, client: str, ts: str, unique: str, limit: int, seconds: int) -> DataFrame:

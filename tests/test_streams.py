@@ -160,6 +160,21 @@ def test_rate_limit(events, limit, seconds):
     assert len(got) == 2000
 
 
+@pytest.mark.parametrize("limit,step", [(1, 7), (4, 3), (50, 1)])
+def test_rate_limit_of_one_client_in_slices(spark, limit, step):
+    """Rows of one client are cut at many places, with ties, calm times, pauses, and overload that no calm time ends."""
+    at = F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, floor(id * {step} / 2) + 400 * floor(id / 900) + id % 900 * floor(id / 1800))")
+    some = spark.range(2400).select((F.col("id") + (1 << 60)).alias("id"), at.alias("ts"), F.lit(None).cast("string").alias("user"))
+    extra = spark.createDataFrame([(1, None, None), (2, None, "x")], "id long, ts timestamp_ntz, user string")
+    got = {r["id"]: r["accepted"] for r in streams.rate_limit(some.unionByName(extra), "user", "ts", "id", limit, 60, slices=9, least_rows=1).collect()}
+    seen = [(r["ts"].timestamp(), r["id"]) for r in some.orderBy("ts", "id").collect()]
+    assert got.pop(1) is None and got.pop(2) is None
+    assert [got[i] for _, i in seen] == brute_force([a for a, _ in seen], limit, 60)
+    assert len(got) == 2400
+    none = streams.rate_limit(some, "user", "ts", "id", 0, 60)
+    assert none.filter("NOT accepted").count() == 2400
+
+
 def test_rate_limit_on_a_stream(spark, events, stream):
     table = {r["id"]: r["accepted"] for r in streams.rate_limit(events, "user", "ts", "id", 3, 90).collect()}
     got = run(spark, streams.rate_limit_stream(stream, "user", "ts", "id", 3, 90))
