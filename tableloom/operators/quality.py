@@ -6,6 +6,7 @@ uniqueness and reference rules add a join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -14,8 +15,12 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.scalar import strip
 from tableloom.operators.clean import is_missing
-from tableloom.operators.ordered import join_null_safe, running_totals
-from tableloom.session import stored
+from tableloom.operators.ordered import join_null_safe
+
+#: Values left in a bracket that are listed rather than narrowed further.
+FEW_VALUES = 10_000
+#: A sketch's ranks are off by at most one in this many.
+SKETCH_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -158,39 +163,109 @@ def ingest(df: DataFrame, source: str, order: Sequence[str]) -> tuple[DataFrame,
     return accepted, rejected, audit
 
 
+def order_statistics(df: DataFrame, column: str, ranks: Callable[[int], Sequence[int]]) -> list[float]:
+    """The values at the ranks (from 1, ascending, NaN last, NULL not counted) that ``ranks`` names for the number of values.
+
+    Nothing is sorted or shuffled but partial aggregates. Each pass takes a quantile sketch of the
+    values inside the brackets of all ranks still open, counts exactly how many values lie
+    below and at the last pass's bracket ends, and narrows the brackets by those counts. A rank is settled
+    when an end of its bracket holds it, or when at most ``FEW_VALUES`` values are left inside,
+    which are then listed. The sketch only proposes ends; every step goes by exact counts, and each
+    pass leaves its ends out, so values shared by many rows are settled at once.
+    """
+    given = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    real = ~F.isnan("v")
+    n, numbers, low, high = given.agg(F.count("v"), F.count_if(real), F.min(F.when(real, F.col("v"))), F.max(F.when(real, F.col("v")))).first()
+    wanted = list(ranks(n)) if n else []
+    found = {r: math.nan for r in wanted if r > numbers}
+    # Per open rank: how many values lie below its bracket, how many inside, and the ends, themselves inside.
+    brackets = {r: (0, numbers, low, high) for r in wanted if r <= numbers}
+    while brackets:
+        inside = {b: F.col("v").between(b[2], b[3]) for b in set(brackets.values())}
+        few = {b: F.collect_list(F.when(c, F.col("v"))) for b, c in inside.items() if b[1] <= FEW_VALUES}
+        listed = [*few]
+        lists = given.agg(*[few[b] for b in listed]).first() if listed else ()
+        for b, values in zip(listed, lists):
+            values = sorted(values)
+            for r in [r for r, x in brackets.items() if x == b]:
+                found[r] = values[r - b[0] - 1]
+                del brackets[r]
+        if brackets:
+            brackets = _narrowed(given, brackets, found)
+    return [found[r] for r in wanted]
+
+
+def _narrowed(given: DataFrame, brackets: dict[int, tuple], found: dict[int, float]) -> dict[int, tuple]:
+    """Brackets of the ranks that stay open after one sketch and one exact count; settled ones go to ``found``."""
+    v, asked = F.col("v"), list(brackets.items())
+    margin = 2 / SKETCH_ACCURACY
+
+    def proposed(r: int, b: tuple) -> Column:
+        share = (r - b[0]) / b[1]
+        return F.percentile_approx(F.when(v.between(b[2], b[3]), v), [max(0.0, share - margin), min(1.0, share + margin)], SKETCH_ACCURACY)
+
+    ends = given.agg(*[proposed(r, b) for r, b in asked]).first()
+    counts = []
+    for (r, b), (lo, hi) in zip(asked, ends):
+        for x, y in ((lo, hi), (b[2], lo), (hi, b[3])):
+            strictly = (v > x) & (v < y)
+            counts += [F.min(F.when(strictly, v)), F.max(F.when(strictly, v)), F.count_if(strictly)]
+        counts += [F.count_if(v < lo), F.count_if(v <= lo), F.count_if(v < hi), F.count_if(v <= hi)]
+    told = given.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    still = {}
+    for i, ((r, b), (lo, hi)) in enumerate(zip(asked, ends)):
+        row = told[13 * i:13 * i + 13]
+        below_lo, upto_lo, below_hi, upto_hi = row[9:]
+        sides = [row[0:3], row[3:6], row[6:9]]
+        if below_lo < r <= upto_lo:
+            found[r] = lo
+        elif below_hi < r <= upto_hi:
+            found[r] = hi
+        elif upto_lo < r <= below_hi:
+            still[r] = (upto_lo, sides[0][2], sides[0][0], sides[0][1])
+        elif r <= below_lo:
+            # The sketch missed: go on between the old end, which may hold the rank itself, and the new one.
+            at_old = below_lo - b[0] - sides[1][2]
+            if r <= b[0] + at_old:
+                found[r] = b[2]
+            else:
+                still[r] = (b[0] + at_old, sides[1][2], sides[1][0], sides[1][1])
+        elif r <= upto_hi + sides[2][2]:
+            still[r] = (upto_hi, sides[2][2], sides[2][0], sides[2][1])
+        else:
+            found[r] = b[3]
+    return still
+
+
 def baseline(df: DataFrame, column: str) -> DataFrame:
     """Mean, sample deviation, median, extremes and exclusive quartiles, all exact.
 
     Quartile i of n values lies at i(n+1)/4 and is interpolated between its
-    two neighbours. Values are counted first and their counts accumulated in
-    order, so a repeated value is one row and no task sorts the whole column.
+    two neighbours; see ``order_statistics`` for how they are found.
     """
-    value = F.col(column).cast("double")
-    given = df.filter(F.col(column).isNotNull()).select(value.alias("v"))
-    counts = stored(given.groupBy("v").agg(F.count(F.lit(1)).alias("c")), "value-counts")
-    upto = running_totals(counts, [], ["v"], {"upto": F.col("c")})
-    size = counts.agg(F.sum("c").alias("n")).scalar()
-    placed = upto.withColumn("n", size)
-    n = F.col("n")
-
-    def at(position: Column) -> Column:
-        return F.min(F.when(F.col("upto") >= position, F.col("v")))
-
-    def quartile(i: int) -> Column:
-        j = F.greatest(F.lit(1), F.least(F.floor(F.lit(i) * (n + 1) / 4), n - 1))
-        delta = F.max(F.lit(i) * (n + 1) - j * 4)
-        blended = (at(j) * (4 - delta) + at(j + 1) * delta) / 4
-        return F.when(F.max(n) > 1, blended).otherwise(F.min("v"))
-
-    middle = (at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2
-    moments = given.agg(F.struct(
-        F.avg("v").alias("mean"),
-        F.when(F.count("v") > 1, F.stddev_samp("v")).otherwise(0.0).alias("std"),
-    )).scalar()
-    return placed.agg(
-        F.first(moments.getField("mean")).alias("mean"), F.first(moments.getField("std")).alias("std"),
-        middle.alias("median"), F.min("v").alias("min"), F.max("v").alias("max"),
-        quartile(1).alias("q1"), quartile(3).alias("q3"))
+    size = []
+
+    def places(n: int) -> list[int]:
+        size.append(n)
+        lower = [max(1, min(i * (n + 1) // 4, n - 1)) for i in (1, 3)]
+        return [(n + 1) // 2, n // 2 + 1, *[min(j + k, n) for j in lower for k in (0, 1)]]
+
+    at = order_statistics(df, column, places)
+    median = q1 = q3 = None
+    if at:
+        n = size[0]
+        median = (at[0] + at[1]) / 2
+
+        def quartile(i: int, low: float, high: float) -> float:
+            delta = i * (n + 1) - max(1, min(i * (n + 1) // 4, n - 1)) * 4
+            return (low * (4 - delta) + high * delta) / 4 if n > 1 else low
+
+        q1, q3 = quartile(1, at[2], at[3]), quartile(3, at[4], at[5])
+    v = F.col(column).cast("double")
+    return df.filter(F.col(column).isNotNull()).agg(
+        F.avg(v).alias("mean"), F.when(F.count(v) > 1, F.stddev_samp(v)).when(F.count(v) == 1, 0.0).alias("std"),
+        F.lit(median).cast("double").alias("median"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.lit(q1).cast("double").alias("q1"), F.lit(q3).cast("double").alias("q3"))
 
 
 def zscore_outliers(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:

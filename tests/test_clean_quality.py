@@ -1,5 +1,6 @@
 """Cleaning and quality rules on small rows with expectations worked out by hand or in plain Python."""
 
+import math
 import statistics
 
 import pytest
@@ -113,6 +114,21 @@ def test_baseline(spark, values):
     assert tuple(got) == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("accuracy", [8])
+def test_order_statistics_narrow_their_brackets(spark, monkeypatch, accuracy):
+    """Ranks found by narrowing alone, with coarse sketches, heavy ties at both ends, infinities, NaN and nulls."""
+    monkeypatch.setattr(dq, "FEW_VALUES", 2)
+    monkeypatch.setattr(dq, "SKETCH_ACCURACY", accuracy)
+    values = [5.0] * 300 + [7.0] * 300 + [float(i * 37 % 1009) / 4 for i in range(400)] + [math.inf, -math.inf, math.nan]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(4)
+    ranks = [1, 333, 501, 777, 1002]
+    ordered = sorted(v for v in values if v == v)
+    assert dq.order_statistics(df, "v", lambda n: ranks if n == 1003 else []) == [ordered[r - 1] for r in ranks]
+    assert math.isnan(dq.order_statistics(df, "v", lambda n: [n])[0])
+    assert dq.order_statistics(df.filter("v IS NULL"), "v", lambda n: [1]) == []
+    assert dq.baseline(df.filter("v IS NULL"), "v").first()["q1"] is None
+
+
 def test_outliers(spark):
     df = spark.createDataFrame([(i, 10.0 + i % 3) for i in range(60)] + [(99, 500.0)], "id int, v double")
     assert [r["id"] for r in dq.zscore_outliers(df, "v").collect()] == [99]
