@@ -108,8 +108,9 @@ def running_totals(
     order: Sequence[str],
     totals: dict[str, Column],
     slices: int | None = None,
+    tops: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums of each expression within its group.
+    """Add inclusive running sums, and running maxima of ``tops``, of each expression within its group.
 
     Counting, sampling and totalling read only the key columns; the data
     is shuffled once, on (group, slice). Offsets are kept for groups that a
@@ -117,7 +118,8 @@ def running_totals(
     the proven bound that lets them be broadcast.
     """
     n = _slices(df, slices)
-    keys = list(keys)
+    keys, tops = list(keys), tops or {}
+    folds = [*[(name, e, F.sum) for name, e in totals.items()], *[(name, e, F.max) for name, e in tops.items()]]
     keyed = df.withColumn(_KEY, sort_key(df, keys, order))
     pointed = keyed.withColumn(_POINTS, _split_points(keyed, n))
     cut = pointed.withColumn(_PLACE, _place(n)).drop(_POINTS).withColumn(_SLICE, F.col(f"{_PLACE}.slice"))
@@ -134,8 +136,8 @@ def running_totals(
     offsets = (
         cut.filter(spans)
         .groupBy(group.alias("g"), F.col(_SLICE).alias("b"))
-        .agg(*[F.sum(e).alias(f"t{i}") for i, e in enumerate(totals.values())])
-        .select("g", "b", *[F.sum(f"t{i}").over(before).alias(f"o{i}") for i in range(len(totals))])
+        .agg(*[fold(e).alias(f"t{i}") for i, (_, e, fold) in enumerate(folds)])
+        .select("g", "b", *[fold(f"t{i}").over(before).alias(f"o{i}") for i, (_, _, fold) in enumerate(folds)])
     )
     local = (
         Window.partitionBy(*keys, _SLICE).orderBy(_KEY)
@@ -147,8 +149,8 @@ def running_totals(
         "left",
     )
     out = [
-        (F.sum(expr).over(local) + F.coalesce(F.col(f"o{i}"), F.lit(0))).alias(name)
-        for i, (name, expr) in enumerate(totals.items())
+        (F.sum(expr).over(local) + F.coalesce(F.col(f"o{i}"), F.lit(0)) if fold is F.sum else F.greatest(F.max(expr).over(local), f"o{i}")).alias(name)
+        for i, (name, expr, fold) in enumerate(folds)
     ]
     return placed.select(*df.columns, *out)
 

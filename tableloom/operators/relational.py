@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions.scalar import bind
-from tableloom.operators.ordered import join_null_safe, numbered
+from tableloom.operators.ordered import join_null_safe, numbered, running_totals
+from tableloom.session import stored
 
 def join(
     left: DataFrame,
@@ -61,6 +62,40 @@ def in_band(df: DataFrame, value: str, bands: DataFrame, width: float) -> DataFr
     return df.withColumn("__band", number(value)).join(numbered_bands, "__band").drop("__band")
 
 
+def in_ranges(df: DataFrame, value: str, ranges: DataFrame, low: str, high: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Add how many ranges ``low <= value <= high`` of the same keys hold each row's value (``ranges_held``), and the largest ``high`` of these (``best_high``).
+
+    Ranges may overlap in any number; no pair of a row and a range is built. Ends and
+    values are swept in order: the ranges begun so far less those ended before the value hold it,
+    and if any does, the largest ``high`` begun so far is the largest that holds it. Equal
+    ends and equal values are one point each. A range with a NULL end or with
+    ``low > high`` holds nothing; a NULL value is held by nothing; NULL keys match NULL keys.
+    """
+    keys = list(keys)
+    valid = ranges.filter(F.col(low) <= F.col(high))
+
+    def points(rows: DataFrame, at: str, kind: int, add: Column, top: Column) -> DataFrame:
+        return rows.filter(F.col(at).isNotNull()).groupBy(*keys, F.col(at).alias("__at")).agg(
+            F.lit(kind).alias("__kind"), add.cast("long").alias("__add"), top.alias("__top"))
+
+    none = F.max(F.lit(None).cast(ranges.schema[high].dataType))
+    count = F.count(F.lit(1))
+    every = points(valid, low, 0, count, F.max(high)).unionByName(points(df, value, 1, F.lit(0), none)).unionByName(points(valid, high, 2, -count, none))
+    swept = running_totals(stored(every, "range-points"), keys, ["__at", "__kind"], {"ranges_held": F.col("__add")}, tops={"__best": F.col("__top")})
+    told = swept.filter("__kind = 1").select(*keys, F.col("__at").alias(value), "ranges_held", F.when(F.col("ranges_held") > 0, F.col("__best")).alias("best_high"))
+    return join_null_safe(df, told, [*keys, value], "left").withColumn("ranges_held", F.coalesce("ranges_held", F.lit(0)))
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], slice_by: str, column: str, log_size: int = 12) -> DataFrame:
+    """One mergeable sketch of the column's different values per keys and slice, to be stored; a new slice is sketched alone."""
+    return df.groupBy(*keys, slice_by).agg(F.hll_sketch_agg(column, F.lit(log_size)).alias("sketch"))
+
+
+def sketched_counts(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Approximate number of different values per keys over any slices; standard error 1.04 / sqrt(2 ** log_size)."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"))
+
+
 def cooccurrence(items: DataFrame, item_array: str, k: int | None = None) -> DataFrame:
     """How often two items share a row, from a column of distinct item arrays.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tableloom.functions import scalar as fn
 from tableloom.operators import ordered, relational as rel
 from tableloom.plans.registry import query
+from tableloom.session import stored
 
 # --- projection and predicates ------------------------------------------------
 
@@ -208,19 +209,19 @@ def _(t):
     return rel.pairs_within(t.lineitem, "l_orderkey", "l_linenumber", ["l_partkey"])
 
 
-# Suppliers' offers by balance, one band per thousand.
-OFFER_BANDS = "(SELECT floor(s_acctbal / 1000) * 1000 AS low, MIN(s_acctbal) AS offer_min, MAX(s_acctbal) AS offer_max FROM supplier GROUP BY 1)"
+# Suppliers' offers: salary ranges of different widths, many over each other.
+OFFERS_SQL = "(SELECT s_nationkey, s_acctbal - 2000 AS low, s_acctbal + s_suppkey % 7 * 300 AS high FROM supplier)"
 
 
 @query("j7_theta", f"""
-SELECT c_custkey, low, CASE WHEN c_acctbal BETWEEN offer_min AND offer_max THEN 'Salary Match' ELSE 'Salary Mismatch' END AS fit
-FROM customer JOIN {OFFER_BANDS} ON c_acctbal >= low AND c_acctbal < low + 1000""")
+SELECT c_custkey, COUNT(low) AS n_offers, MAX(high) AS best_offer, CASE WHEN COUNT(low) > 0 THEN 'Salary Match' ELSE 'Salary Mismatch' END AS fit
+FROM customer LEFT JOIN {OFFERS_SQL} ON c_nationkey = s_nationkey AND c_acctbal BETWEEN low AND high GROUP BY c_custkey""")
 def _(t):
-    low = (F.floor(F.col("s_acctbal") / 1000) * 1000).cast("double").alias("low")
-    bands = t.supplier.groupBy(low).agg(F.min("s_acctbal").alias("offer_min"), F.max("s_acctbal").alias("offer_max"))
+    ends = [F.col("s_nationkey").alias("c_nationkey"), (F.col("s_acctbal") - 2000).alias("low"), (F.col("s_acctbal") + F.col("s_suppkey") % 7 * 300).alias("high")]
+    held = rel.in_ranges(t.customer.select("c_custkey", "c_nationkey", "c_acctbal"), "c_acctbal", t.supplier.select(*ends), "low", "high", ["c_nationkey"])
     # The labels.
-    fit = F.when(F.col("c_acctbal").between(F.col("offer_min"), F.col("offer_max")), "Salary Match").otherwise("Salary Mismatch")
-    return rel.in_band(t.customer, "c_acctbal", bands, 1000.0).select("c_custkey", "low", fit.alias("fit"))
+    fit = F.when(F.col("ranges_held") > 0, "Salary Match").otherwise("Salary Mismatch")
+    return held.select("c_custkey", F.col("ranges_held").alias("n_offers"), F.col("best_high").alias("best_offer"), fit.alias("fit"))
 
 
 @query("j8_left_condition", """
@@ -318,9 +319,18 @@ def _(t):
         F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers"))
 
 
-@query("g6_approx_distinct")
+# Three standard errors of a sketch of 4,096 registers.
+SKETCH_ERROR = 3 * 1.04 / 64
+
+
+@query("g6_approx_distinct", "SELECT l_returnflag, COUNT(DISTINCT l_partkey) AS parts, TRUE AS within_error FROM lineitem GROUP BY 1")
 def _(t):
-    return t.lineitem.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.02).alias("parts"))
+    lines = t.lineitem.select("l_returnflag", "l_partkey", F.date_trunc("month", "l_shipdate").alias("month"))
+    sketches = stored(rel.distinct_sketches(lines, ["l_returnflag"], "month", "l_partkey"), "part-sketches")
+    exact = lines.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"))
+    off = F.abs(F.col("approx_distinct") - F.col("parts"))
+    return rel.join(exact, rel.sketched_counts(sketches, ["l_returnflag"]), ["l_returnflag"]).select(
+        "l_returnflag", "parts", (off <= F.col("parts") * SKETCH_ERROR).alias("within_error"))
 
 
 @query("g7_global", """

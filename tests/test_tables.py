@@ -163,6 +163,27 @@ def test_pairs_and_bands(spark):
     assert rows(rel.in_band(people, "have", bands, 10.0), "p", "name") == [(1, "a"), (2, "b"), (3, "b")]
 
 
+def test_overlapping_ranges(spark):
+    """Against a nested loop, with ties, ranges of one value, ends turned round, and nulls in keys, values and ends."""
+    people = [(i, i * 7 % 23 if i % 9 else None, None if i % 5 == 0 else "ab"[i % 2]) for i in range(120)]
+    ranges = [(i * 5 % 19, i * 5 % 19 + i % 6 - 1 if i % 8 else None, None if i % 4 == 0 else "ab"[i // 2 % 2]) for i in range(90)]
+    got = rel.in_ranges(spark.createDataFrame(people, "p int, have int, k string"), "have",
+                        spark.createDataFrame(ranges, "low int, high int, k string"), "low", "high", ["k"])
+    assert got.columns == ["p", "have", "k", "ranges_held", "best_high"]
+    for r in got.collect():
+        held = [h for lo, h, k in ranges if h is not None and r["have"] is not None and k == r["k"] and lo <= r["have"] <= h]
+        assert (r["ranges_held"], r["best_high"]) == (len(held), max(held, default=None))
+    assert got.count() == 120
+
+
+def test_sketches_of_slices(spark):
+    df = spark.range(20000).select((F.col("id") % 2).alias("k"), (F.col("id") % 30).alias("day"), (F.col("id") % 7001).alias("v"))
+    sketches = rel.distinct_sketches(df, ["k"], "day", "v")
+    assert sketches.count() == 30
+    for r in rel.sketched_counts(sketches, ["k"]).collect():
+        assert abs(r["approx_distinct"] - 7001) <= 7001 * 3 * 1.04 / 64
+
+
 def test_opened_versions_get_new_keys(spark):
     dim = wh.scd2_open(wh.with_key(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), ["id"], "k"), F.lit("2020-01-01"))
     new = wh.scd2_merge(dim, spark.createDataFrame([(2, "c"), (1, "a"), (7, "z")], "id long, v string"), "id", F.lit("2021-01-01"), "k")
