@@ -10,8 +10,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableloom.functions.scalar import bind
+
 #: Bits of a Z-order code; the sign bit stays free.
 CODE_BITS = 62
+#: Bits of a column's cell: 256 cells.
+CELL_BITS = 8
 
 
 def _checked(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -68,22 +72,70 @@ def changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
         F.coalesce("__k2", "__k1").alias(key), "change", *[shown[c].alias(c) for c in cols])
 
 
+def signed(changed: DataFrame, before: DataFrame, key: str) -> DataFrame:
+    """The rows that ``changes`` names as rows that came (``sign`` 1) and went (-1); an update is both."""
+    cols = [c for c in changed.columns if c != "change"]
+    came = changed.filter("change != 'delete'").select(*cols, F.lit(1).alias("sign"))
+    gone = before.join(changed.filter("change != 'insert'").select(key), key, "left_semi")
+    return came.unionByName(gone.select(*[c for c in cols if c in before.columns], F.lit(-1).alias("sign")), allowMissingColumns=True)
+
+
+def rank_cells(df: DataFrame, columns: Sequence[str], bits: int) -> list[Column]:
+    """For each numeric column, which of ``2 ** bits`` cells of about equal row counts holds the value; the first for NULL.
+
+    Cells end at quantiles of a sketch, one pass for all columns, so a skewed column fills
+    them as evenly as a flat one. A value has one cell, however many rows share it.
+    """
+    cells = 1 << bits
+    shares = [i / cells for i in range(1, cells)]
+    ends = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 16 * cells).alias(f"p{j}") for j, c in enumerate(columns)]).first()
+    steps = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
+
+    def cell(column: str, points: list[float] | None) -> Column:
+        if not points:
+            return F.lit(0)
+        given = F.struct(F.array(*[F.lit(p) for p in points]).alias("p"), F.col(column).cast("double").alias("v"))
+        return bind(given, lambda both: F.aggregate(
+            steps, F.lit(0), lambda at, width: F.when(F.get(both["p"], at + width - 1) < both["v"], at + width).otherwise(at)))
+
+    return [cell(c, points) for c, points in zip(columns, ends)]
+
+
 def z_order(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Bits of the numeric columns, each scaled to its range, interleaved into one number that is never negative."""
-    s = df.agg(F.struct(*[x for c in columns for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])).scalar()
-    bits = min(16, CODE_BITS // len(columns))
+    """Bits of the numeric columns' cells by rank, interleaved into one number that is never negative."""
+    bits = min(CELL_BITS, CODE_BITS // len(columns))
     if bits == 0:
         raise ValueError(f"at most {CODE_BITS} columns")
-    code = F.lit(0).cast("long")
-    for j, c in enumerate(columns):
-        lo, hi = s.getField(f"lo_{c}").cast("double"), s.getField(f"hi_{c}").cast("double")
-        cell = F.coalesce(F.floor(F.try_divide(F.col(c).cast("double") - lo, hi - lo) * ((1 << bits) - 1)), F.lit(0)).cast("long")
-        for i in range(bits):
-            bit = F.shiftright(cell, i).bitwiseAND(F.lit(1))
-            code = code.bitwiseOR(F.shiftleft(bit.cast("long"), i * len(columns) + j))
-    return code
+
+    def woven(cells: Column) -> Column:
+        code = F.lit(0).cast("long")
+        for j in range(len(columns)):
+            for i in range(bits):
+                bit = F.shiftright(cells[f"c{j}"], i).bitwiseAND(F.lit(1)).cast("long")
+                code = code.bitwiseOR(F.shiftleft(bit, i * len(columns) + j))
+        return code
+
+    return bind(F.struct(*[c.alias(f"c{j}") for j, c in enumerate(rank_cells(df, columns, bits))]), woven)
 
 
 def clustered(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
-    """The rows along a Z-order curve in ``files`` ranges, ready to be written."""
-    return df.withColumn("__z", z_order(df, columns)).repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z")
+    """The rows along a Z-order curve in ``files`` ranges, ready to be written.
+
+    Within a code the columns themselves and then a hash decide, so a cell that holds
+    a large part of the rows is cut too.
+    """
+    order = ["__z", *columns, "__h"]
+    keyed = df.withColumn("__z", z_order(df, columns)).withColumn("__h", F.xxhash64(*df.columns))
+    return keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("__z", "__h")
+
+
+def file_ranges(stored_rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per file of a stored table: rows, and the least and largest value of each column, as a reader skips files by them."""
+    ends = [x for c in columns for x in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))]
+    return stored_rows.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ends)
+
+
+def share_read(column: str, low, high) -> Column:
+    """Share of the files whose range of the column meets ``low`` to ``high``; use in ``ranges.agg``."""
+    meets = (F.col(f"{column}_max") >= F.lit(low)) & (F.col(f"{column}_min") <= F.lit(high))
+    return F.avg(F.coalesce(meets, F.lit(False)).cast("double"))

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.functions import scalar as fn
-from tableloom.operators.ordered import numbered
+from tableloom.operators.ordered import join_null_safe, numbered
+from tableloom.session import stored
 
 OPEN_END = "9999-12-31"
 
+#: Most tasks that write one folder of a stored summary.
+SUMMARY_FILES = 4
+
 # The default holiday map.
 HOLIDAYS = {
     "2023-01-01": "New Year",
@@ -144,6 +149,75 @@ def store_daily(fact: DataFrame) -> DataFrame:
         F.col("quantity").alias("total_items_sold"))
 
 
+@dataclass(frozen=True)
+class Summary:
+    """A stored summary per key: row count, sums and exact numbers of different values, refreshed from changes.
+
+    Two tables lie below ``path``, both in ``buckets`` folders by hash of the keys: ``totals``
+    with a row per key, ``members`` with a row per key, counted column and value and how many
+    rows have it, so that a value is uncounted when its last row goes. A refresh reads and
+    replaces only the folders of changed keys, and of these the summary, never the rows it was
+    made from. Sums of decimals and integers are exact, those of doubles up to rounding. NULL keys are a key;
+    NULL values aren't counted and add nothing. Keys without rows are left out when read.
+    Changes must be given once; after a driver lost while it replaced folders, build anew.
+    """
+
+    path: str
+    keys: tuple[str, ...]
+    sums: tuple[str, ...] = ()
+    distinct: tuple[str, ...] = ()
+    buckets: int = 64
+
+    def build(self, rows: DataFrame) -> None:
+        for name, table in self._deltas(rows.withColumn("sign", F.lit(1))).items():
+            # The types, also of a summary without rows.
+            table.limit(0).write.mode("overwrite").parquet(f"{self.path}/{name}-types")
+            self._store(name, table)
+
+    def refresh(self, signed_rows: DataFrame) -> None:
+        """Apply rows that came (``sign`` 1) and went (-1)."""
+        spark, deltas = signed_rows.sparkSession, self._deltas(signed_rows)
+        deltas["totals"] = stored(deltas["totals"], "summary-changes")
+        touched = [r[0] for r in deltas["totals"].select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        if not touched:
+            return
+        for name, delta in deltas.items():
+            old = self._open(spark, name)
+            counts = ["n", *self.sums] if name == "totals" else ["n"]
+            by = [c for c in old.columns if c not in counts]
+            both = old.filter(F.col("bucket").isin(touched)).unionByName(delta)
+            new = both.groupBy(*by).agg(*[F.sum(c).cast(old.schema[c].dataType).alias(c) for c in counts])
+            self._store(name, new, "dynamic")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Keys, ``n``, the sums, and ``distinct_<column>`` for each counted column."""
+        totals, members = (self._open(spark, name).filter("n > 0") for name in ("totals", "members"))
+        if not self.distinct:
+            return totals.drop("bucket")
+        counts = members.groupBy("bucket", *self.keys).agg(*[F.count_if(F.col("counted") == c).alias(f"distinct_{c}") for c in self.distinct])
+        zero = {c: F.coalesce(c, F.lit(0)) for c in (f"distinct_{d}" for d in self.distinct)}
+        return join_null_safe(totals, counts, ["bucket", *self.keys], "left").withColumns(zero).drop("bucket")
+
+    def _deltas(self, rows: DataFrame) -> dict[str, DataFrame]:
+        placed = rows.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        by = ["bucket", *self.keys]
+        zero = F.sum("sign") * 0
+        sums = [F.coalesce(F.sum(F.col(c) * F.col("sign")), zero).alias(c) for c in self.sums]
+        values = [F.struct(F.lit(c).alias("counted"), F.col(c).cast("string").alias("value")) for c in self.distinct]
+        listed = F.array(*values) if values else F.array().cast("array<struct<counted:string,value:string>>")
+        members = placed.select(*by, "sign", F.inline(listed)).filter("value IS NOT NULL")
+        return {"totals": placed.groupBy(*by).agg(F.sum("sign").alias("n"), *sums),
+                "members": members.groupBy(*by, "counted", "value").agg(F.sum("sign").alias("n"))}
+
+    def _open(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.schema(spark.read.parquet(f"{self.path}/{name}-types").schema).parquet(f"{self.path}/{name}")
+
+    def _store(self, name: str, rows: DataFrame, overwrite: str = "static") -> None:
+        # A folder's rows are dealt out to several tasks, so a key with very many values is not one task's.
+        spread = rows.repartition("bucket", F.pmod(F.xxhash64(*rows.columns), F.lit(SUMMARY_FILES)))
+        spread.write.partitionBy("bucket").mode("overwrite").option("partitionOverwriteMode", overwrite).parquet(f"{self.path}/{name}")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table."""
     counted = [

@@ -140,9 +140,19 @@ def _(t):
     return stored.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-@query("a14_materialize", "SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1")
+@query("a14_materialize", """
+SELECT o_custkey, COUNT(*) AS n, ROUND(SUM(CASE WHEN o_orderstatus = 'O' AND o_totalprice < 100000 THEN o_totalprice * 2 ELSE o_totalprice END), 2) AS total, COUNT(DISTINCT o_orderpriority) AS priorities
+FROM orders WHERE o_orderstatus != 'F' GROUP BY 1""")
 def _(t):
-    return src.materialize(t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), scratch(t.spark, "summary"))
+    now = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    # The state before: pending orders had not come, cheap open ones had half their price, finished ones had not gone.
+    cheap = F.expr("o_orderstatus = 'O' AND o_totalprice < 100000")
+    before = now.filter("o_orderstatus != 'P'")
+    after = now.filter("o_orderstatus != 'F'").withColumn("o_totalprice", F.when(cheap, F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")))
+    summary = wh.Summary(scratch(t.spark, "summary"), ("o_custkey",), ("o_totalprice",), ("o_orderpriority",), buckets=16)
+    summary.build(before)
+    summary.refresh(ch.signed(ch.changes(before, after, "o_orderkey"), before, "o_orderkey"))
+    return summary.read(t.spark).select("o_custkey", "n", F.round("o_totalprice", 2).alias("total"), F.col("distinct_o_orderpriority").alias("priorities"))
 
 
 @query("a16_zones", "SELECT event_type, COUNT(*) AS n, MAX(value) AS top FROM events GROUP BY 1")

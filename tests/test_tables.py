@@ -66,6 +66,48 @@ def test_clustering_keeps_rows_and_codes_are_not_negative(spark):
         assert low == 0 and high > 0
 
 
+def test_files_of_skewed_columns_are_skipped(spark):
+    """Both columns skewed, the values of one shared by a third of the rows: a narrow filter reads few files, on either column."""
+    table = spark.range(40000).select("id", F.pow(2.0, (F.col("id") * 7919 % 40000) / 2000).alias("x"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.pow(F.col("id") % 1000, 3)).alias("y"))
+    path = scratch(spark, "clustered")
+    ch.clustered(table, ["x", "y"], 64).write.parquet(path)
+    back = spark.read.parquet(path)
+    ranges = ch.file_ranges(back, ["x", "y"]).cache()
+    assert rows(back, "id", "x", "y") == rows(table, "id", "x", "y") and ranges.agg(F.sum("rows")).first()[0] == 40000
+    assert ranges.agg(F.max("rows")).first()[0] < 4 * 40000 / 64
+    for column in ("x", "y"):
+        for low, high in table.agg(F.percentile(column, F.array(*[F.lit(p) for p in (0.5, 0.52, 0.9, 0.92)])).alias("p")).select(F.array(F.struct(F.get("p", F.lit(0)), F.get("p", F.lit(1))), F.struct(F.get("p", F.lit(2)), F.get("p", F.lit(3))))).first()[0]:
+            assert ranges.agg(ch.share_read(column, low, high)).first()[0] <= 0.35
+    assert ranges.agg(ch.share_read("x", -5, -1)).first()[0] == 0
+    ranges.unpersist()
+
+
+def test_refreshed_summary_equals_a_rebuilt_one(spark):
+    """Keys that come and go, updates, values whose last row goes, nulls; folders of other keys are not replaced."""
+    before = spark.range(300).select("id", F.when(F.col("id") % 10 != 0, F.col("id") % 10).alias("k"), (F.col("id") % 7).cast("decimal(12,2)").alias("x"), F.when(F.col("id") % 4 != 0, F.col("id") % 13).alias("v"))
+    first = before.filter("id < 250 AND (k IS NULL OR k != 3)")
+    then = before.filter("id >= 20 AND (k IS NULL OR k NOT IN (4, 5))").withColumn("x", F.when(F.col("k") == 6, F.col("x") + 1).otherwise(F.col("x")).cast("decimal(12,2)"))
+    last = then.filter("k IS NULL OR k != 7").withColumn("v", F.when(F.col("k") == 8, None).otherwise(F.col("v")))
+    summary = wh.Summary(scratch(spark, "summary"), ("k",), ("x",), ("v",))
+    state = first
+    summary.build(first)
+    for new in (then, last, last):
+        files = set(spark.read.parquet(f"{summary.path}/totals").inputFiles())
+        summary.refresh(ch.signed(ch.changes(state, new, "id"), state, "id"))
+        state = new
+        expected = new.groupBy("k").agg(F.count("*").alias("n"), F.sum("x").cast("decimal(38,2)").alias("x"), F.count_distinct("v").alias("distinct_v"))
+        got = summary.read(spark)
+        key = lambda r: (r[0] is not None, r)
+        assert sorted(map(tuple, got.select("k", "n", "x", "distinct_v").collect()), key=key) == sorted(map(tuple, expected.collect()), key=key)
+        kept = files & set(spark.read.parquet(f"{summary.path}/totals").inputFiles())
+    assert kept == files  # no change, nothing written
+    summary.refresh(spark.createDataFrame([(9, 1, -1)], "k long, v long, sign int").withColumn("x", F.lit(0).cast("decimal(12,2)")))
+    assert len(files - set(spark.read.parquet(f"{summary.path}/totals").inputFiles())) == 1
+    nothing = wh.Summary(scratch(spark, "summary"), ("k",), (), ())
+    nothing.build(first.limit(0))
+    assert nothing.read(spark).count() == 0
+
+
 def test_tolerant_load(spark):
     path = scratch(spark, "csv")
     spark.createDataFrame([(str(i), "x" if i in (3, 5) else str(i)) for i in range(10)], "a string, b string").write.option("header", True).csv(path)
