@@ -94,29 +94,34 @@ def _(t):
     return src.parse_candidates(src.read_text(t.spark, path, "\n\n")).withColumn("skills", F.array_join("skills", "|"))
 
 
-def order_store(t):
+def order_store(t, copies=1):
+    """A text file of order keys and prices for each priority, in order, as often as asked for."""
     path = scratch(t.spark, "orders")
-    t.orders.write.partitionBy("o_orderstatus").parquet(path)
+    lines = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("kind"), F.concat_ws(" ", "o_orderkey", "o_custkey").alias("value"))
+    filed = lines.repartition("kind").sortWithinPartitions("kind", "o_orderkey").select("kind", "value")
+    for copy in range(copies):
+        filed.write.partitionBy("kind").text(f"{path}/{copy}")
     return path
 
 
-@query("a8_list_files")
+ORDER_FILES_SQL = "(SELECT o_orderpriority AS kind, string_agg(o_orderkey || ' ' || o_custkey || chr(10), '' ORDER BY o_orderkey) AS content FROM orders GROUP BY 1)"
+
+
+@query("a8_list_files", f"SELECT kind, CAST(strlen(content) AS BIGINT) AS size FROM {ORDER_FILES_SQL}")
 def _(t):
-    return src.list_files(t.spark, order_store(t), "part-")
+    kind = F.url_decode(F.regexp_extract("path", "kind=([^/]+)/", 1))
+    return src.list_files(t.spark, order_store(t), "part-").select(kind.alias("kind"), "size")
 
 
-@query("a9_store_size")
+@query("a9_store_size", f"""
+SELECT COUNT(*) AS object_count, CAST(SUM(strlen(content)) AS BIGINT) AS total_size_bytes, ROUND(SUM(strlen(content)) / 1048576, 4) AS total_size_mb FROM {ORDER_FILES_SQL}""")
 def _(t):
     return src.store_size(t.spark, order_store(t))
 
 
-@query("a10_duplicate_files")
+@query("a10_duplicate_files", f"SELECT md5(content) AS md5, CAST(strlen(content) AS BIGINT) AS length, 2 AS copies FROM {ORDER_FILES_SQL}")
 def _(t):
-    path = scratch(t.spark, "twice")
-    for copy in ("first", "second"):
-        t.nation.unionByName(t.nation).write.csv(f"{path}/{copy}")
-        t.supplier.write.csv(f"{path}/{copy}/supplier")
-    return src.duplicate_files(src.file_hashes(t.spark, path).filter("length > 0"))
+    return src.duplicate_files(src.list_files(t.spark, order_store(t, copies=2))).select("md5", "length", F.col("copies").cast("int").alias("copies"))
 
 
 @query("a11_from_rows", """

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
 
+#: Bytes of a file that one task digests, and that it holds at a time.
+BLOCK_BYTES, READ_BYTES = 64 << 20, 1 << 20
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -72,7 +80,7 @@ def parse_candidates(records: DataFrame, column: str = "value") -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """Path below the folder, size and time of every file; contents are not read."""
+    """Path below the folder, size and time of every file with a byte in it (Spark lists no others); contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     name = F.element_at(F.split("path", "/"), -1)
     return found.select(name.alias("name"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")) \
@@ -86,16 +94,62 @@ def store_size(spark: SparkSession, path: str) -> DataFrame:
         F.round(size / (1024 * 1024), 4).alias("total_size_mb"))
 
 
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """MD5 of every file."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return found.select("path", "length", F.md5("content").alias("md5"))
+def _opened(path: str) -> pa.NativeFile:
+    """A file by the path that Spark lists it under."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, inside = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    return system.open_input_file(inside)
+
+
+def _digested(listed: DataFrame, name: str) -> DataFrame:
+    """Add the MD5 of ``span`` bytes from ``start`` on of the file at ``path``, read in pieces, never held whole."""
+    schema = T.StructType([*listed.schema.fields, T.StructField(name, T.StringType())])
+
+    def digest(path: str, start: int, span: int) -> str:
+        out = md5(usedforsecurity=False)
+        with _opened(path) as file:
+            file.seek(start)
+            while span > 0:
+                piece = file.read(min(span, READ_BYTES))
+                if not piece:
+                    raise OSError(f"{path} is shorter than when it was listed")
+                out.update(piece)
+                span -= len(piece)
+        return out.hexdigest()
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [digest(*place) for place in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "span")))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], schema.names)
 
+    return listed.mapInArrow(digests, schema)
 
-def duplicate_files(hashes: DataFrame) -> DataFrame:
-    """Checksums shared by more than one file, with the first path by name."""
-    return hashes.groupBy("md5", "length").agg(F.count(F.lit(1)).alias("copies"), F.min("path").alias("first_path")) \
-        .filter("copies > 1")
+
+def file_hashes(files: DataFrame) -> DataFrame:
+    """MD5 of every listed file (``path``, ``size``); a file is read as a stream by one task, since MD5 goes by order."""
+    whole = files.select("path", F.col("size").alias("length"), F.lit(0).cast("long").alias("start"), F.col("size").alias("span"))
+    return _digested(whole.repartition("path"), "md5").select("path", "length", "md5")
+
+
+def duplicate_files(files: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
+    """Contents shared by more than one listed file (``path``, ``size``): ``md5``, ``length``, ``copies``, ``first_path`` by name.
+
+    Only files that share their size with another are read. Blocks of bytes are digested
+    side by side, also those of one file, and files met by size and the digests of all
+    their blocks in order. The MD5 of a shared content is taken from its first file alone.
+    """
+    alike = files.groupBy("size").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    rivals = files.select("path", "size").join(alike.select("size"), "size", "left_semi")
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(block).cast("long"))
+    blocks = rivals.withColumn("start", F.explode(starts)).withColumn("span", F.least(F.col("size") - F.col("start"), F.lit(block)))
+    told = _digested(blocks.repartition("path", "start"), "digest")
+    # One entry per block of a file.
+    content = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "digest"))), lambda x: x["digest"]), ""), 256)
+    shared = told.groupBy("path", "size").agg(content.alias("content")).groupBy("size", "content") \
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("path").alias("path")).filter("copies > 1")
+    kept = shared.select("path", "size", "copies", F.lit(0).cast("long").alias("start"), F.col("size").alias("span"))
+    return _digested(kept.repartition("path"), "md5").select("md5", F.col("size").alias("length"), "copies", F.col("path").alias("first_path"))
 
 
 def ingest_text(spark: SparkSession, path: str) -> DataFrame:
