@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from hashlib import md5
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,8 @@ CORRUPT = "_corrupt"
 
 #: Bytes of a file that one task digests, and that it holds at a time.
 BLOCK_BYTES, READ_BYTES = 64 << 20, 1 << 20
+#: Bytes of a JSON array that one task parses.
+JSON_BLOCK_BYTES = 16 << 20
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -56,8 +59,142 @@ def read_text(spark: SparkSession, path: str, sep: str | None = None) -> DataFra
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str, array_files: bool = False) -> DataFrame:
-    """JSON lines, or files that each hold one JSON array."""
-    return spark.read.schema(schema).option("multiLine", array_files).json(path)
+    """JSON lines, or files that each hold one JSON array (``json_elements``)."""
+    if not array_files:
+        return spark.read.schema(schema).json(path)
+    return json_elements(list_files(spark, path)).select(F.from_json("element", schema).alias("r")).select("r.*")
+
+
+# What the bytes of a JSON text do outside strings; a quote does it anywhere.
+_QUOTE, _OPEN, _CLOSE, _COMMA = 1, 2, 3, 4
+_KIND = np.zeros(256, np.int8)
+for _bytes, _kind in ((b'"', _QUOTE), (b"[{", _OPEN), (b"]}", _CLOSE), (b",", _COMMA)):
+    _KIND[list(_bytes)] = _kind
+
+
+def _backslashes_before(file: pa.NativeFile, at: int) -> int:
+    """Length of the run of backslashes that ends before a place of the file."""
+    run = 0
+    while at > 0:
+        span = min(at, 4096)
+        file.seek(at - span)
+        piece = file.read(span)
+        held = span - len(piece.rstrip(b"\\"))
+        run += held
+        if held < span:
+            break
+        at -= span
+    return run
+
+
+def _marks(data: bytes, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, kinds and depth steps of the quotes, brackets and commas; ``run`` backslashes come before. Escaped quotes are left out."""
+    codes = np.frombuffer(data, np.uint8)
+    kinds = _KIND[codes]
+    at = np.flatnonzero(kinds)
+    kinds = kinds[at]
+    quotes = np.flatnonzero(kinds == _QUOTE)
+    suspects = quotes[codes[np.maximum(at[quotes] - 1, 0)] == ord("\\")] if len(quotes) else quotes
+    if run and len(quotes) and at[quotes[0]] == 0:
+        suspects = np.union1d(suspects, quotes[:1])
+    keep = np.ones(len(at), bool)
+    for i in suspects.tolist():
+        j = end = int(at[i])
+        while j > 0 and data[j - 1] == ord("\\"):
+            j -= 1
+        keep[i] = (end - j + (run if j == 0 else 0)) % 2 == 0
+    at, kinds = at[keep], kinds[keep]
+    return at, kinds, (kinds == _OPEN).astype(np.int64) - (kinds == _CLOSE)
+
+
+def _cuts(data: bytes, run: int, inside: int, depth: int) -> tuple[list[tuple[int, bool]], int, int]:
+    """Where elements of the outermost array end or begin, with whether one begins there; then the state at the end."""
+    at, kinds, steps = _marks(data, run)
+    within = (np.cumsum(kinds == _QUOTE) + inside) % 2
+    steps = np.where(within == 0, steps, 0)
+    after = depth + np.cumsum(steps)
+    begins = (within == 0) & (after == 1) & ((kinds == _COMMA) | (kinds == _OPEN))
+    ends = (steps == -1) & (after == 0)
+    found = np.flatnonzero(begins | ends)
+    state = (int(within[-1]), int(after[-1])) if len(at) else (inside, depth)
+    return list(zip(at[found].tolist(), begins[found].tolist())), *state
+
+
+def json_elements(files: DataFrame, block: int = JSON_BLOCK_BYTES) -> DataFrame:
+    """The elements of files (``path``, ``size``) that each hold one JSON array, as texts: ``path``, ``element``.
+
+    A file is cut into ranges of bytes, which several tasks read. First each range tells what it does to
+    a state that runs through the file: whether it turns "inside a string" round, and how
+    far it changes the depth of brackets, for either way it may begin. One
+    row per range is put together in order, which gives the state each range begins with. Then each
+    range gives out the elements that begin in it, reading on to the end of the last one.
+    A file of another form, or one that is cut off, is an error.
+    """
+    starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(block).cast("long"))
+    ranges = files.select("path", "size", F.explode(starts).alias("start")).withColumn("span", F.least(F.col("size") - F.col("start"), F.lit(block)))
+
+    def effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = []
+            for row in batch.to_pylist():
+                with _opened(row["path"]) as file:
+                    run = _backslashes_before(file, row["start"])
+                    file.seek(row["start"])
+                    data = file.read(row["span"])
+                if row["start"] == 0 and data.strip()[:1] not in (b"[", b""):
+                    raise ValueError(f"{row['path']} is no JSON array")
+                _, kinds, steps = _marks(data, run)
+                within = np.cumsum(kinds == _QUOTE) % 2
+                told.append({**row, "run": run, "turns": int((kinds == _QUOTE).sum() % 2),
+                             "outside": int(steps[within == 0].sum()), "inside": int(steps[within == 1].sum())})
+            yield pa.RecordBatch.from_pylist(told, pa.schema([(n, batch.schema.field(n).type if n in batch.schema.names else pa.int64()) for n in told[0]]))
+
+    effect = T.StructType([*ranges.schema.fields, *[T.StructField(n, T.LongType()) for n in ("run", "turns", "outside", "inside")]])
+    told = ranges.repartition("path", "start").mapInArrow(effects, effect)
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    begun = told.withColumn("within", F.coalesce(F.sum("turns").over(earlier), F.lit(0)) % 2)
+    step = F.when(F.col("within") == 0, F.col("outside")).otherwise(F.col("inside"))
+    placed = begun.withColumn("step", step).withColumn("depth", F.coalesce(F.sum("step").over(earlier), F.lit(0)))
+
+    def elements_of(row: dict) -> Iterator[str]:
+        with _opened(row["path"]) as file:
+            at, run, state, begin, parts = row["start"], row["run"], (row["within"], row["depth"]), False, []
+            end = at + row["span"]
+            while at < end or begin:
+                file.seek(at)
+                data = file.read(min(READ_BYTES, end - at) if at < end else READ_BYTES)
+                if not data:
+                    raise ValueError(f"{row['path']} ends inside its array")
+                cuts, *state = _cuts(data, run, *state)
+                left = 0
+                for place, begins in cuts:
+                    if begin:
+                        text = b"".join([*parts, data[left:place]]).decode()
+                        if text.strip():
+                            yield text
+                    parts, left, begin = [], place + 1, begins and at + place < end
+                    if at + place >= end:
+                        return
+                if begin:
+                    parts.append(data[left:])
+                held = len(data) - len(data.rstrip(b"\\"))
+                run = held + (run if held == len(data) else 0)
+                at += len(data)
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                texts, size = [], 0
+                for text in elements_of(row):
+                    texts.append(text)
+                    size += len(text)
+                    if size > READ_BYTES:
+                        yield pa.RecordBatch.from_pydict({"path": [row["path"]] * len(texts), "element": texts})
+                        texts, size = [], 0
+                if texts:
+                    yield pa.RecordBatch.from_pydict({"path": [row["path"]] * len(texts), "element": texts})
+
+    return placed.select("path", "start", "span", "run", "within", "depth").repartition("path", "start").mapInArrow(elements, "path string, element string")
 
 
 def parse_log(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -1,6 +1,7 @@
 """Sources, star schema and changes of tables."""
 
 import hashlib
+import json
 import os
 from collections import Counter
 from datetime import datetime
@@ -145,6 +146,33 @@ def test_inventory_and_checksums(spark):
     assert len(sums) == 3 and sums[twice[0]["first_path"]] == twice[0]["md5"]
 
 
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 20])
+def test_json_array_read_by_several_tasks(spark, monkeypatch, block):
+    """Strings with brackets, commas, quotes and runs of backslashes, nested values, white space, empty arrays, and cuts at any byte."""
+    monkeypatch.setattr(src, "READ_BYTES", 5)
+    root = scratch(spark, "arrays")
+    os.makedirs(root)
+    texts = ["plain", "a],[{b", 'q"u"o,te', "back\\", "back\\\\", '\\"', "\\" * 40 + '"', "ünïcode ☃", "", '"', "}" * 9]
+    records = [{"id": i, "text": t, "list": [t, "x"] if i % 2 else [], "in": {"a": i}} for i, t in enumerate(texts)]
+    files = {"one": json.dumps(records), "two": " \n" + json.dumps(records, indent=2, ensure_ascii=False) + "\n", "none": "[]", "blank": " [ \n ] ", "single": "[" + json.dumps(records[5]) + "]"}
+    for name, text in files.items():
+        with open(f"{root}/{name}", "w", encoding="utf-8") as file:
+            file.write(text)
+    found = src.json_elements(src.list_files(spark, root), block)
+    got = sorted(json.dumps(json.loads(r["element"])) for r in found.collect())
+    assert got == sorted(json.dumps(r) for r in [*records, *records, records[5]])
+    if block == 64:
+        back = src.read_json(spark, root, "id long, text string, list array<string>", array_files=True)
+        assert sorted((r["id"], r["text"], r["list"]) for r in back.collect()) == sorted((r["id"], r["text"], r["list"]) for r in [*records, *records, records[5]])
+        for bad in ('{"id": 1}', '[{"id": 1}, {"id"'):
+            path = scratch(spark, "bad")
+            os.makedirs(path)
+            with open(f"{path}/x", "w") as file:
+                file.write(bad)
+            with pytest.raises(PySparkException):
+                src.json_elements(src.list_files(spark, path), block).collect()
+
+
 def test_duplicates_of_files_in_many_blocks(spark):
     """Binary files against whole checksums: copies, one byte changed in any block, blocks in another order, sizes at and beside block ends, empty files (not listed), odd names."""
     root = scratch(spark, "blocks")
