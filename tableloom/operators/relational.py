@@ -143,7 +143,8 @@ def reduce_by_key(df: DataFrame, key: str, value: str, fold: Callable) -> DataFr
             if len(held) > 100_000:
                 yield pd.DataFrame({key: list(held), value: list(held.values())})
                 held = {}
-        yield pd.DataFrame({key: list(held), value: list(held.values())})
+        if held:  # a table without rows has no types to convert
+            yield pd.DataFrame({key: list(held), value: list(held.values())})
 
     def final(keys: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, seen = None, False

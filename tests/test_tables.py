@@ -293,3 +293,10 @@ def test_collect_by_key_chunks(spark):
     got = rel.collect_by_key(df, "k", "id", ["id"], 20).collect()
     assert max(len(r["values"]) for r in got) == 20
     assert sorted(v for r in got for v in r["values"]) == list(range(100))
+
+
+def test_fold_with_partitions_without_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 2.0)], "k string, v double").coalesce(1)
+    for some in (df.unionByName(df.filter("v > 9")), df.filter("v > 9").unionByName(df.filter("v > 9"))):
+        want = [("a", 3.0), ("b", 2.0)] if some.count() else []
+        assert rows(rel.reduce_by_key(some, "k", "v", max), "k", "v") == want
