@@ -14,6 +14,9 @@ from tableloom.session import stored
 
 OPEN_END = "9999-12-31"
 
+#: About as many sales as one task of a star's joins and sums gets, whatever the fact's size.
+CUBE_ROWS = 1 << 18
+
 #: Most tasks that write one folder of a stored summary.
 SUMMARY_FILES = 4
 
@@ -104,26 +107,36 @@ def sales_measures(df: DataFrame, quantity: str, price: str, cost: str, discount
     })
 
 
+def _sales_tasks(df: DataFrame, size: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // CUBE_ROWS))
+
+
 def star_sales(lines: DataFrame, orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Order lines as a sales fact with date, customer and product keys.
 
     Columns expected: lines(order_id, product_id, store_key, quantity,
-    unit_price, discount), orders(order_id, customer_id, order_date).
+    unit_price, discount), orders(order_id, customer_id, order_date). Lines
+    are counted, so that more of them meet their orders in more tasks.
     """
-    fact = lines.join(orders, "order_id").withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
+    tasks = _sales_tasks(lines, lines.count())
+    fact = lines.repartition(tasks, "order_id").join(orders.repartition(tasks, "order_id"), "order_id").withColumn("date_key", F.date_format("order_date", "yyyyMMdd").cast("int"))
     fact = lookup_keys(fact, dim_customer, "customer_id", "customer_id", "customer_key")
     fact = lookup_keys(fact, dim_product, "product_id", "product_id", "product_key", ["unit_cost"])
     return sales_measures(fact, "quantity", "unit_price", "unit_cost", "discount").drop("order_date", "customer_id", "product_id")
 
 
-def _cube(df: DataFrame, keys: Sequence[str], totals: Sequence[str]) -> DataFrame:
+def _cube(df: DataFrame, keys: Sequence[str], totals: Sequence[str], size: int) -> DataFrame:
     """Sums (to four places), counts of sales and of different orders and customers per group.
 
     An order has one customer, so rows are summed per order, then per customer,
     and both counts are counts of rows: no distinct count that repeats every row.
+    Hardly two sales share a customer and a group, so they are dealt out once before
+    they are summed, to more tasks the larger ``size``, the fact's rows, is: summed
+    where they are joined, each task would hold all its rows in several tables.
     """
     kept = lambda: [F.sum(c).alias(c) for c in (*totals, "__n")]
-    rows = df.withColumn("__n", F.col("sales_amount").isNotNull().cast("long"))
+    sales = df.select(*keys, "customer_key", "order_id", *totals).repartition(_sales_tasks(df, size), *keys, "customer_key")
+    rows = sales.withColumn("__n", F.col("sales_amount").isNotNull().cast("long"))
     by_order = rows.groupBy(*keys, "customer_key", "order_id").agg(*kept())
     orders = F.count("order_id").alias("__orders")
     by_customer = by_order.groupBy(*keys, "customer_key").agg(*kept(), orders)
@@ -131,19 +144,23 @@ def _cube(df: DataFrame, keys: Sequence[str], totals: Sequence[str]) -> DataFram
         *[F.round(F.sum(c), 4).alias(c) for c in totals], F.sum("__n").alias("__n"), F.sum("__orders").alias("__orders"), F.count("customer_key").alias("__customers"))
 
 
-def sales_monthly(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], keys: Sequence[str]) -> DataFrame:
-    """Monthly cube row: sums of sales, quantity and profit, distinct orders and customers, mean sale."""
+def sales_monthly(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], keys: Sequence[str], size: int | None = None) -> DataFrame:
+    """Monthly cube row: sums of sales, quantity and profit, distinct orders and customers, mean sale.
+
+    ``size``: about how many rows the fact has, where that is known; else they are counted.
+    """
     joined = fact
     for dim, key in dims:
         joined = joined.join(dim, key)
-    return _cube(joined, keys, ["sales_amount", "quantity", "profit_amount"]).select(
+    return _cube(joined, keys, ["sales_amount", "quantity", "profit_amount"], fact.count() if size is None else size).select(
         *keys, F.col("sales_amount").alias("total_sales"), F.col("quantity").alias("total_quantity"), F.col("profit_amount").alias("total_profit"),
         F.col("__orders").alias("order_count"), F.col("__customers").alias("customer_count"), (F.col("sales_amount") / F.col("__n")).alias("avg_order_value"))
 
 
-def store_daily(fact: DataFrame) -> DataFrame:
+def store_daily(fact: DataFrame, size: int | None = None) -> DataFrame:
+    """Daily row of a store; ``size`` as in :func:`sales_monthly`."""
     keys = ["date_key", "store_key"]
-    return _cube(fact, keys, ["sales_amount", "quantity"]).select(
+    return _cube(fact, keys, ["sales_amount", "quantity"], fact.count() if size is None else size).select(
         *keys, F.col("sales_amount").alias("total_sales"), F.col("__orders").alias("transaction_count"),
         F.col("__customers").alias("unique_customers"), (F.col("sales_amount") / F.col("__n")).alias("avg_transaction_value"),
         F.col("quantity").alias("total_items_sold"))

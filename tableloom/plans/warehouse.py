@@ -299,7 +299,8 @@ def _(t):
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("s_suppkey").alias("store_key"), "r_name")
     dims = [(dates, "date_key"), (products.select("product_key", "category_name"), "product_key"),
             (customers.select("customer_key", "c_mktsegment"), "customer_key"), (stores, "store_key")]
-    return wh.sales_monthly(fact, dims, ["year", "month_number", "category_name", "c_mktsegment", "r_name"])
+    return wh.sales_monthly(fact, dims, ["year", "month_number", "category_name", "c_mktsegment", "r_name"],
+                            t.lineitem.count())
 
 
 @query("g19_store_daily", f"""
@@ -307,7 +308,7 @@ SELECT date_key, store_key, ROUND(SUM(sales), 4) AS total_sales, COUNT(DISTINCT
  ROUND(SUM(sales), 4) / COUNT(*) AS avg_transaction_value, ROUND(SUM(quantity), 4) AS total_items_sold FROM {FACT_SQL} GROUP BY ALL""")
 def _(t):
     fact, _, _ = sales_fact(t)
-    return wh.store_daily(fact)
+    return wh.store_daily(fact, t.lineitem.count())
 
 
 COUNTED = ("customer", "orders", "lineitem", "part", "supplier", "nation", "region", "events")

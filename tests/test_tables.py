@@ -300,3 +300,17 @@ def test_fold_with_partitions_without_rows(spark):
     for some in (df.unionByName(df.filter("v > 9")), df.filter("v > 9").unionByName(df.filter("v > 9"))):
         want = [("a", 3.0), ("b", 2.0)] if some.count() else []
         assert rows(rel.reduce_by_key(some, "k", "v", max), "k", "v") == want
+
+
+def test_cubes_deal_out_sales_by_size(spark, monkeypatch):
+    monkeypatch.setattr(wh, "CUBE_ROWS", 5)
+    sales = [(1 + i % 3, i % 4, i // 2, None if i % 7 == 0 else i % 5, float(i), 1.0) for i in range(60)]
+    fact = spark.createDataFrame(sales, "date_key int, store_key int, order_id long, customer_key long, sales_amount double, quantity double")
+    daily = wh.store_daily(fact)
+    assert "hashpartitioning(date_key" in (plan := daily._jdf.queryExecution().toString()) and ", 12), REPARTITION_BY_NUM" in plan
+    want = []
+    for day, store in {s[:2] for s in sales}:
+        own = [s for s in sales if s[:2] == (day, store)]
+        total = sum(s[4] for s in own)
+        want.append((day, store, total, len({(s[3], s[2]) for s in own}), len({s[3] for s in own} - {None}), total / len(own), float(len(own))))
+    assert rows(daily, *daily.columns) == sorted(want)
