@@ -83,7 +83,7 @@ def education(text: Column) -> Column:
         F.when(text.rlike(_ci(PHD)), "PhD"),
         F.when(text.rlike(_ci(GRADES)) & (gpa != ""), F.concat(F.lit("GPA: "), gpa)),
     ))
-    return F.when(F.size(found) == 0, F.array(F.lit("Education details not found"))).otherwise(found)
+    return fn.bind(found, lambda f: F.when(F.size(f) == 0, F.array(F.lit("Education details not found"))).otherwise(f))
 
 
 def years(text: Column) -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tableloom.operators import relational as rel, text as tx, warehouse as wh
 from tableloom.plans.registry import query
+from tableloom.session import stored
 
 # Chosen for the invented prose of the corpus, where technology terms are rare.
 CORPUS_TERMS = (
@@ -279,7 +280,8 @@ UNION ALL SELECT 'skill', doc_id, s, 0 FROM (SELECT doc_id, unnest(skills) AS s
 UNION ALL SELECT 'skill', doc_id, s, 1 FROM (SELECT doc_id, unnest(matched) AS s FROM m)
 UNION ALL SELECT 'suggestion', doc_id, s, 0 FROM (SELECT doc_id, unnest(suggestions) AS s FROM a)""")
 def _(t):
-    fact, skills, hints = wh.analysis_star(analysis(t))
+    # Analysed once, as the rows of all tables come from it.
+    fact, skills, hints = wh.analysis_star(stored(analysis(t), "analysis"))
     return (
         fact.select(F.lit("fact").alias("tbl"), "analysis_id", F.col("experience_level").alias("item"), F.col("overall_score").cast("long").alias("n"))
         .unionByName(skills.select(F.lit("skill").alias("tbl"), "analysis_id", F.col("skill_name").alias("item"), F.col("is_matched").cast("long").alias("n")))

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tableloom import plans
 from tableloom.operators import relational as rel, text as tx
 
 TEXT = """Jo Ray
@@ -121,3 +122,20 @@ def test_cooccurrence(spark):
     df = spark.createDataFrame([(["b", "a", "a"],), (["a", "c", "b"],), ([],)], "items array<string>")
     got = {(r[0], r[1]): r[2] for r in rel.cooccurrence(df, "items").collect()}
     assert got == {("a", "b"): 2, ("a", "c"): 1, ("b", "c"): 1}
+
+
+@pytest.mark.parametrize("name", ["a15_star_store"])
+def test_documents_are_analysed_once(spark, tmp_path, name):
+    text = "Bachelor of science, 4 years of java and sql for the machine learning team"
+    docs = [(i, "src5" if i == 3 else "src1", "en" if i < 4 else "de", text if i != 2 else "") for i in range(6)]
+    spark.createDataFrame(docs, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "java and spark"), (1, "sql")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = plans.QUERIES[name](spark, str(tmp_path))
+    assert df.inputFiles() and not any("documents.parquet" in f for f in df.inputFiles())
+    got = df.collect()
+    if name == "x21_prefer_valid":
+        assert {r.doc_id: r.source for r in got} == {0: "primary", 1: "primary", 2: "primary", 3: "local", 4: "local", 5: "local"}
+        assert all(r.summary == f"remote {r.doc_id}" for r in got if r.source == "primary")
+    else:
+        assert sorted(r.analysis_id for r in got if r.tbl == "fact") == list(range(6))
+        assert {(r.analysis_id, r.item) for r in got if r.tbl == "skill" and r.n == 1} == {(0, "java"), (4, "java"), (1, "sql"), (3, "sql"), (5, "sql")}
