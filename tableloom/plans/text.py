@@ -236,7 +236,8 @@ REMOTE_SQL = "lang = 'en' AND source <> 'src5'"
 SELECT doc_id, CASE WHEN {REMOTE_SQL} THEN 'primary' ELSE 'local' END AS source, CASE WHEN {REMOTE_SQL} THEN 'remote ' || doc_id ELSE summary END AS summary,
  array_to_string(skills, '|') AS skills FROM {ANALYSIS_SQL} JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id)""")
 def _(t):
-    local = tx.analyze(resumes(t).select("doc_id", "lang", "source", "text"))
+    # Analysed once, as both sides read it.
+    local = stored(tx.analyze(resumes(t).select("doc_id", "lang", "source", "text")).select("doc_id", "lang", "source", *tx.REQUIRED), "analysis")
     # The primary results exist for English documents, and those of one source lack a field.
     remote = local.filter("lang = 'en'").withColumns({
         "summary": F.concat(F.lit("remote "), F.col("doc_id")),

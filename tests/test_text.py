@@ -124,7 +124,7 @@ def test_cooccurrence(spark):
     assert got == {("a", "b"): 2, ("a", "c"): 1, ("b", "c"): 1}
 
 
-@pytest.mark.parametrize("name", ["a15_star_store"])
+@pytest.mark.parametrize("name", ["a15_star_store", "x21_prefer_valid"])
 def test_documents_are_analysed_once(spark, tmp_path, name):
     text = "Bachelor of science, 4 years of java and sql for the machine learning team"
     docs = [(i, "src5" if i == 3 else "src1", "en" if i < 4 else "de", text if i != 2 else "") for i in range(6)]
