@@ -16,9 +16,9 @@ import zlib
 
 import numpy as np
 
-BLOCK, LANES = 8192, 1024
+BLOCK, LANES = 2048, 4096
 #: Slots of the tables of orders 2 and 1; growth and bound of counts.
-SLOTS, GROW, BOUND = 4096, 24, 1 << 11
+SLOTS, GROW, BOUND = 2048, 24, 1 << 11
 STATES, NODES = 32, 1 + 16 + 256
 _TOP, _BOTTOM, _MASK = np.uint64(1 << 32), np.uint64(1 << 16), np.uint64((1 << 48) - 1)
 _16, _32 = np.uint64(16), np.uint64(32)

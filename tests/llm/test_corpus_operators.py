@@ -320,3 +320,11 @@ def test_pipeline_of_odd_documents(spark, make, tmp_path):
     make([]).write.parquet(str(empty / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(empty / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_blocks_of_a_segment_are_coded_in_step():
+    assert 2048 <= tokenfiles.SEGMENT // coder.BLOCK < coder.LANES  # no short second round for the last document's ids
+    ids = np.random.default_rng(5).zipf(1.3, coder.BLOCK * 3 + 17).clip(0, 50_000).astype(np.uint32)
+    blocks = coder.packed_blocks(ids)
+    assert [b[0] for b in blocks] == [coder.BLOCK] * 3 + [17]
+    assert np.array_equal(np.concatenate(coder.unpacked_blocks(blocks)), ids)
