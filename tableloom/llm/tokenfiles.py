@@ -2,9 +2,9 @@
 
 A file holds segments, rows of whole documents with about ``SEGMENT`` ids. A
 segment lists its documents' keys and numbers of ids, and the blocks that hold
-their ids in order; each block is coded on its own and has a checksum. Segments
-know their part (the range of keys that one task wrote) and the ids before them
-in it, so that any part of the corpus can be read alone.
+their ids in order; each block has a checksum, and a segment's blocks share their
+statistics. Segments know their part (the range of keys that one task wrote) and
+the ids before them in it, so that any segment can be read alone.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from tableloom.llm.coder import packed_blocks, unpacked_blocks
 from tableloom.llm.common import stored
 from tableloom.llm.tokens import _encoder
 
-SEGMENT = 4 << 20
+#: Ids of a segment, about, and chunks of text whose ids a worker remembers.
+SEGMENT, CHUNKS = 4 << 20, 1_500_000
 _BLOCK = pa.struct([("n", pa.int32()), ("check", pa.int64()), ("payload", pa.binary())])
 
 
@@ -30,7 +31,7 @@ def _writer(tokenizer: str, end: int):
                         ("sizes", pa.list_(pa.int64())), ("blocks", pa.list_(_BLOCK))])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, last = _encoder(tokenizer), TaskContext.get().partitionId(), np.array([end], "<u4").tobytes()
+        encoder, part, last = _encoder(tokenizer, CHUNKS), TaskContext.get().partitionId(), np.array([end], "<u4").tobytes()
         before, keys, held, size = 0, [], [], 0
 
         def segment() -> pa.RecordBatch:
@@ -40,11 +41,10 @@ def _writer(tokenizer: str, end: int):
             return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py() or "") + last
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
                 keys.append(key)
-                held.append(ids)
-                size += len(ids) // 4
+                held.append(ids + last)
+                size += len(held[-1]) // 4
                 if size >= SEGMENT:
                     yield segment()
                     before, keys, held, size = before + size, [], [], 0
@@ -70,8 +70,9 @@ def write(docs: DataFrame, key: str, text: str, tokenizer: str, end: int = 0) ->
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            part, before, keys, sizes, blocks = (batch.column(i)[row].as_py() for i in range(5))
-            raw = b"".join(x.astype("<u4").tobytes() for x in unpacked_blocks([(b["n"], b["check"], b["payload"]) for b in blocks]))
+            part, before, keys, sizes = (batch.column(i)[row].as_py() for i in range(4))
+            blocks = batch.column(4)[row].values.flatten()
+            raw = np.concatenate(unpacked_blocks(list(zip(*(b.to_pylist() for b in blocks))))).tobytes()
             edge = np.concatenate([[0], np.cumsum(sizes)])
             for low in range(0, len(keys), 1024):
                 high = min(low + 1024, len(keys))

@@ -5,7 +5,7 @@ reaches over such a cut: both kinds of tokenizer here begin a new piece at a
 space unless white space stands on both sides of the place, and texts with such
 a place are encoded whole. The ids of a text are thus those of its chunks in
 order. Chunks repeat a lot, so each worker remembers the ids of up to
-``CHUNKS`` chunks and ``PIECES`` pieces; a word with a mark after it is the word
+``CHUNKS`` chunks (or as many as it is given) and ``PIECES`` pieces; a word with a mark after it is the word
 and the mark, and pieces are encoded by the library's model. Anything unusual goes to the library's whole encoder.
 """
 
@@ -19,6 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 CHUNKS, PIECES, CHUNK_CHARS, TEXTS = 600_000, 100_000, 64, 256
 #: White space on both sides of a cut.
 _UNSURE = re.compile(r"[^\S ] (?:\s|\Z)|  (?:\s|\Z)")
+_AFTER = re.compile(r" (?:\s|\Z)")
 #: Fixed value: how byte-level tokenizers cut text into pieces.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fixed value: marks that no pattern joins with the word before.
@@ -41,6 +43,7 @@ def _byte_names() -> dict[int, str]:
 
 
 _NAMES = str.maketrans(_byte_names())
+_SPACE = _byte_names()[0x20]
 
 
 class _Memory(dict):
@@ -66,7 +69,7 @@ class _Memory(dict):
 class Encoder:
     """Texts to ids, as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, chunks: int = CHUNKS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,7 +84,8 @@ class Encoder:
         self.before = " " if cutter["type"] == "ByteLevel" else ""
         self.cut = regex.compile(_PIECES if cutter["type"] == "ByteLevel" else cutter["pretokenizers"][0]["pattern"]["Regex"])
         self.pieces = _Memory(self._piece, PIECES)
-        self.chunks = _Memory(self._chunk, CHUNKS)
+        self.chunks = _Memory(self._chunk, chunks)
+        self.heads = _Memory(self._whole, PIECES)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -89,6 +93,8 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if piece.isascii() and piece.isalpha():
             named = piece  # every byte names itself
+        elif piece[:1] == " " and piece.isascii() and piece[1:].isalpha():
+            named = _SPACE + piece[1:]
         else:
             named = piece.encode().decode("latin-1").translate(_NAMES)
         raw = self.raw
@@ -117,10 +123,35 @@ class Encoder:
         chunks = self.chunks
         return self._whole(first) + b"".join([chunks[c] for c in rest])
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """What ``encode`` gives for each text; a null text is empty. A chunk is looked up once for all texts that have it."""
+        heads, rests = [], []
+        for text in texts.to_pylist():
+            if text is None:
+                head, rest = b"", None
+            elif _AFTER.search(text) and _UNSURE.search(text):
+                head, rest = self._whole(text), None
+            else:
+                first, space, rest = text.partition(" ")
+                head, rest = self.heads[first], rest if space else None
+            heads.append(head)
+            rests.append(rest)
+        lists = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        ids = [self.chunks[c] for c in coded.dictionary.to_numpy(zero_copy_only=False)]
+        size, flat = np.fromiter(map(len, ids), np.int64, len(ids)) // 4, np.frombuffer(b"".join(ids), "<u4")
+        chunk = coded.indices.to_numpy()
+        long = size[chunk]
+        end = np.cumsum(long)
+        every = flat[np.repeat((np.cumsum(size) - size)[chunk] - (end - long), long) + np.arange(long.sum())]
+        text_end = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        edge, raw = 4 * np.concatenate([[0], end])[np.concatenate([[0], text_end])], every.tobytes()
+        return [head + raw[edge[i]: edge[i + 1]] for i, head in enumerate(heads)]
+
 
 @cache
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+def _encoder(path: str, chunks: int = CHUNKS) -> Encoder:
+    return Encoder(path, chunks)
 
 
 def token_ids(text: Column, path: str, end: int) -> Column:

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -328,3 +329,25 @@ def test_blocks_of_a_segment_are_coded_in_step():
     blocks = coder.packed_blocks(ids)
     assert [b[0] for b in blocks] == [coder.BLOCK] * 3 + [17]
     assert np.array_equal(np.concatenate(coder.unpacked_blocks(blocks)), ids)
+
+
+def test_blocks_share_learned_statistics():
+    # All bits of an id are learned, and what one block shows helps the others: one bit an id is left, and a word a block.
+    ids = np.random.default_rng(6).integers(40_000, 40_002, coder.BLOCK * 300 + 5).astype(np.uint32)
+    blocks = coder.packed_blocks(ids)
+    assert 8 * sum(len(p) for _, _, p in blocks) < 1.2 * len(ids)
+    assert np.array_equal(np.concatenate(coder.unpacked_blocks(blocks)), ids)
+    n, check, payload = blocks[7]
+    blocks[7] = n, check, bytes([payload[0] ^ 64]) + payload[1:]
+    with pytest.raises(ValueError):
+        coder.unpacked_blocks(blocks)
+    with pytest.raises(ValueError):
+        coder.packed_blocks(np.array([65_536], np.uint32))
+
+
+def test_texts_encoded_at_once():
+    encoder, texts = Encoder(vocabulary("byte_bpe_50k.json"), 8), [*STRANGE, None, "", " ", "a ", "a b", "a, b. a, b.", "x" * 5000, "a b"]
+    want = [Encoder(vocabulary("byte_bpe_50k.json")).encode(t or "") for t in texts]
+    assert encoder.encode_all(pa.array(texts, pa.string())) == want
+    assert encoder.encode_all(pa.array([None, "", "one"], pa.string())) == want[:0] + [b"", b"", encoder.encode("one")]
+    assert encoder.encode_all(pa.array([], pa.string())) == []
